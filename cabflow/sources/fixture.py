@@ -100,9 +100,11 @@ def zones_csv_frame(t: dict[str, DataFrame]) -> DataFrame:
 def write_landing(raw: DataFrame, base: str) -> None:
     """Write raw trips as slice folders ``{base}/{service}/source_month=YYYY-MM``.
 
-    Lineage columns are dropped from the files (the reader stamps them).
-    Green files get ``lpep_*`` timestamp names; the drift slice stores
-    ``pulocationid`` as double and has an extra ``airport_fee`` column.
+    Only the slices present in ``raw`` are (re)written, each replaced as a
+    whole with new file names, so this also models a redelivery.  Lineage
+    columns are dropped from the files (the reader stamps them).  Green files
+    get ``lpep_*`` timestamp names; the drift slice stores ``pulocationid``
+    as double and has an extra ``airport_fee`` column.
     """
     body = raw.drop("ingest_ts")
     is_drift = (F.col("service_type") == DRIFT_SERVICE) & (F.col("source_month") == DRIFT_MONTH)
@@ -113,10 +115,15 @@ def write_landing(raw: DataFrame, base: str) -> None:
     drift = (body.where(is_drift).drop("service_type", "source_month")
              .withColumn("pulocationid", F.col("pulocationid").cast("double"))
              .withColumn("airport_fee", F.lit(1.75)))
-    # Each slice is small; partitionBy writes one folder per month.
-    yellow.write.mode("overwrite").partitionBy("source_month").parquet(f"{base}/yellow")
-    green.write.mode("overwrite").partitionBy("source_month").parquet(f"{base}/green")
-    drift.write.mode("overwrite").parquet(f"{base}/{DRIFT_SERVICE}/source_month={DRIFT_MONTH}")
+
+    def put(df: DataFrame, path: str) -> None:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("source_month").parquet(path))
+
+    put(yellow, f"{base}/yellow")
+    put(green, f"{base}/green")
+    if not drift.isEmpty():
+        drift.write.mode("overwrite").parquet(f"{base}/{DRIFT_SERVICE}/source_month={DRIFT_MONTH}")
 
 
 def landing_months(raw: DataFrame) -> DataFrame:
