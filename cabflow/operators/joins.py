@@ -6,13 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+_PROVEN: dict[tuple[int, int], tuple[DataFrame, bool]] = {}
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     Reads at most ``max_rows + 1`` rows (a limit job), so the check itself is
-    bounded whatever the size of ``df``.
+    bounded whatever the size of ``df``.  The answer is remembered for the
+    same DataFrame object (dimensions are checked once per build).
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (id(df), max_rows)
+    hit = _PROVEN.get(key)
+    if hit is not None and hit[0] is df:
+        return hit[1]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if len(_PROVEN) > 256:
+        _PROVEN.clear()
+    _PROVEN[key] = (df, ok)
+    return ok
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int, *, bound: int | None = None) -> DataFrame:

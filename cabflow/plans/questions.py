@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabflow.functions.predicates import pickup_range
-from cabflow.operators.joins import bounded_broadcast
+from cabflow.operators.joins import row_count_at_most
 from cabflow.operators.topk import top_k, top_n_per_group
 from cabflow.params import Params
 
@@ -21,8 +21,13 @@ Tables = dict[str, DataFrame]
 
 
 def _dim(t: Tables, name: str, p: Params, *cols, bound: int | None = None) -> DataFrame:
-    d = t[name].select(*cols) if cols else t[name]
-    return bounded_broadcast(d, p.broadcast_max_rows, bound=bound)
+    """Dimension projection, broadcast once the whole dimension's size is
+    proven (by ``bound`` or a bounded count, remembered per dimension)."""
+    full = t[name]
+    small = ((bound is not None and bound <= p.broadcast_max_rows)
+             or row_count_at_most(full, p.broadcast_max_rows))
+    d = full.select(*cols) if cols else full
+    return F.broadcast(d) if small else d
 
 
 def _fact(t: Tables, p: Params, *, year: bool = False, since_min: bool = False) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
 
@@ -35,27 +36,27 @@ def conform_slice(df: DataFrame, service: str, month: str,
 
     Each file is conformed on its own footer schema before any union, because
     the same column may be bigint in one month and double in another.
-    Columns outside the canonical list are carried as they are.
+    Columns outside the canonical list are carried as they are.  Built as a
+    single projection from the footer schema (one analysis per slice).
     """
-    lower = {f.name: f.name.lower() for f in df.schema.fields}
-    df = df.withColumnsRenamed({k: v for k, v in lower.items() if k != v})
-    df = df.withColumnsRenamed({k: v for k, v in GREEN_RENAMES.items() if k in df.columns})
-    have = {f.name: f.dataType for f in df.schema.fields}
-    canon = []
+    have: dict[str, tuple[str, T.DataType]] = {}
+    for f in df.schema.fields:
+        name = f.name.lower()
+        name = GREEN_RENAMES.get(name, name)
+        have.setdefault(name, (f.name, f.dataType))
+    cols = []
     for f in RAW_TRIP_SCHEMA.fields:
         if f.name in have:
-            canon.append(_cast_to(f.name, have[f.name], f.dataType).alias(f.name))
+            src, t = have[f.name]
+            cols.append(_cast_to(f"`{src}`", t, f.dataType).alias(f.name))
         else:
-            canon.append(F.lit(None).cast(f.dataType).alias(f.name))
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    cols += [F.lit(service).alias("service_type"),
+             F.lit(month).alias("source_month"),
+             F.lit(ingest_ts).cast("timestamp_ntz").alias("ingest_ts")]
     known = {f.name for f in RAW_TRIP_SCHEMA.fields} | {"service_type", "source_month", "ingest_ts"}
-    extras = [F.col(c) for c in df.columns if c not in known]
-    return df.select(
-        *canon,
-        F.lit(service).alias("service_type"),
-        F.lit(month).alias("source_month"),
-        F.lit(ingest_ts).cast("timestamp_ntz").alias("ingest_ts"),
-        *extras,
-    )
+    cols += [F.col(f"`{src}`").alias(name) for name, (src, _) in have.items() if name not in known]
+    return df.select(*cols)
 
 
 def read_slice(spark: SparkSession, base: str, service: str, month: str,
@@ -75,7 +76,11 @@ def read_trips(spark: SparkSession, base: str, services, months,
                ingest_ts: datetime) -> DataFrame:
     """S1 + P1 + P2 + U2: every existing (service, month) slice, conformed and
     stacked with ``unionByName(allowMissingColumns=True)``."""
-    parts = [read_slice(spark, base, s, m, ingest_ts) for m in months for s in services]
+    keys = [(s, m) for m in months for s in services]
+    # Opening a slice lists its folder and reads one footer on the driver;
+    # doing that for many slices at once hides the storage latency.
+    with ThreadPoolExecutor(max_workers=min(8, max(1, len(keys)))) as pool:
+        parts = list(pool.map(lambda k: read_slice(spark, base, k[0], k[1], ingest_ts), keys))
     parts = [p for p in parts if p is not None]
     if not parts:
         schema = T.StructType(list(RAW_TRIP_SCHEMA.fields) + [
