@@ -33,13 +33,16 @@ class Gold:
 
 
 def build_gold(spark: SparkSession, bronze: DataFrame, zones: DataFrame, params: Params,
-               *, out_dir: str | None = None) -> Gold:
+               *, out_dir: str | None = None, cluster_fact: bool = False,
+               domain: tuple | None = None) -> Gold:
     """Build the star schema.
 
     ``out_dir=None``: the (small) dimension domains are checkpointed to the
     session's checkpoint folder, then dims and fact are lazy frames.
     ``out_dir`` given: dims are written as tables and the fact as Parquet
     partitioned by month; the returned frames read the written tables.
+    ``cluster_fact`` range-partitions the fact by month first (for bronze that
+    is not stored per slice); ``domain=(lo, hi)`` checks the RANGE domain.
     """
     silver = silver_trips(bronze, zones, params)
     domains = dimension_domains(silver)
@@ -59,5 +62,6 @@ def build_gold(spark: SparkSession, bronze: DataFrame, zones: DataFrame, params:
         dims[name] = static_dim(spark, name)
     fact = fct_trips(silver, dims, params)
     if out_dir is not None:
-        fact = write_fact(fact, f"{out_dir.rstrip('/')}/fct_trips")
+        lo, hi = domain if domain else (None, None)
+        fact = write_fact(fact, f"{out_dir.rstrip('/')}/fct_trips", lo=lo, hi=hi, cluster=cluster_fact)
     return Gold(silver=silver, dims=dims, fact=fact)

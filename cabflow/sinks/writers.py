@@ -94,7 +94,10 @@ def write_fact(fact: DataFrame, path: str, *, lo: date | None = None, hi: date |
     """
     if lo is not None or hi is not None:
         _raise_on_violations(check_partition_domain(fact, "pickup_date", lo, hi), "fct_trips")
-    out = fact.repartitionByRange("pickup_month", "pickup_date") if cluster else fact
+    # The range key ends in a deterministic row hash, so a hot month or day is
+    # split over several tasks instead of landing in one.
+    spread = F.xxhash64("pickup_time_key", "pickup_location_key", "dropoff_location_key", "total_amount")
+    out = fact.repartitionByRange("pickup_month", "pickup_date", spread) if cluster else fact
     (out.sortWithinPartitions("pickup_month", "pickup_date")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("pickup_month").parquet(path))
