@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cabflow.functions.calendar import ntz_literal
 from cabflow.schemas import MONEY
 
 FIXTURE_TABLES = ("lineitem", "orders", "part", "supplier", "customer", "nation", "region")
@@ -53,7 +54,7 @@ def trips_view(t: dict[str, DataFrame]) -> DataFrame:
         F.when(F.col("l_linestatus") == "O", "yellow").otherwise("green").alias("service_type"),
         F.date_format(F.when(F.col("l_linenumber") == 7, F.col("l_shipdate"))
                       .otherwise(F.col("o_orderdate")), "yyyy-MM").alias("source_month"),
-        F.lit(FIXTURE_INGEST_TS).cast("timestamp_ntz").alias("ingest_ts"),
+        ntz_literal(FIXTURE_INGEST_TS).alias("ingest_ts"),
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from cabflow.functions.calendar import ntz_literal
 from cabflow.schemas import GREEN_RENAMES, RAW_TRIP_SCHEMA, ZONE_CSV_SCHEMA
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -53,7 +54,7 @@ def conform_slice(df: DataFrame, service: str, month: str,
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     cols += [F.lit(service).alias("service_type"),
              F.lit(month).alias("source_month"),
-             F.lit(ingest_ts).cast("timestamp_ntz").alias("ingest_ts")]
+             ntz_literal(ingest_ts).alias("ingest_ts")]
     known = {f.name for f in RAW_TRIP_SCHEMA.fields} | {"service_type", "source_month", "ingest_ts"}
     cols += [F.col(f"`{src}`").alias(name) for name, (src, _) in have.items() if name not in known]
     return df.select(*cols)

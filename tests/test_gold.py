@@ -74,3 +74,17 @@ def test_fact_keys_and_rounding(spark):
 def test_pg_int_rounds_half_even(spark):
     df = spark.createDataFrame([(2.5,), (3.5,), (-2.5,), (2.4,)], "x double")
     assert [r[0] for r in df.select(pg_int("x")).collect()] == [2, 4, -2, 2]
+
+
+def test_duration_ignores_session_time_zone(spark):
+    from datetime import datetime
+
+    from cabflow.functions.calendar import duration_minutes
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([(datetime(1996, 4, 7, 1, 56), datetime(1996, 4, 7, 4, 50, 30, 250000))],
+                                   "a timestamp_ntz, b timestamp_ntz")
+        assert df.select(duration_minutes("a", "b")).first()[0] == 174.50416666666666
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
