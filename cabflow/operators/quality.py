@@ -51,3 +51,13 @@ def relationships_report(checks, max_broadcast_rows: int = 2_000_000) -> DataFra
         r = relationship_failures(child, key, parent, pkey, name, max_broadcast_rows)
         out = r if out is None else out.unionByName(r)
     return out
+
+
+def assert_defined(df: DataFrame | None, name: str = "output") -> DataFrame:
+    """T5: a block's output must exist and hold at least one row (a limit-1
+    job, whatever the size of ``df``)."""
+    if df is None:
+        raise AssertionError(f"{name} is undefined")
+    if df.isEmpty():
+        raise AssertionError(f"{name} is empty")
+    return df

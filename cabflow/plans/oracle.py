@@ -463,6 +463,43 @@ nodes AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS node_id
 }
 
 
+def _murmur3_int(src: str, key: str, seed: int = 42) -> str:
+    """CTE steps computing Spark's ``hash(int)`` (Murmur3 x86_32, seed 42) in
+    32-bit unsigned arithmetic; the last step ``_h12`` carries column ``x``."""
+    m = "CAST(4294967295 AS UBIGINT)"
+
+    def u(v):
+        return f"CAST({v} AS UBIGINT)"
+    steps = [
+        f"CAST(CAST({key} AS BIGINT) & 4294967295 AS UBIGINT)",
+        f"(x * {u(0xCC9E2D51)}) & {m}",
+        f"((x << 15) | (x >> 17)) & {m}",
+        f"(x * {u(0x1B873593)}) & {m}",
+        f"xor(x, {u(seed)})",
+        f"((x << 13) | (x >> 19)) & {m}",
+        f"(x * {u(5)} + {u(0xE6546B64)}) & {m}",
+        f"xor(x, {u(4)})",
+        "xor(x, x >> 16)",
+        f"(x * {u(0x85EBCA6B)}) & {m}",
+        "xor(x, x >> 13)",
+        f"(x * {u(0xC2B2AE35)}) & {m}",
+        "xor(x, x >> 16)",
+    ]
+    out, prev = [], src
+    for i, e in enumerate(steps):
+        keep = "*" if i == 0 else "* EXCLUDE (x)"
+        out.append(f"_h{i} AS (SELECT {keep}, {e} AS x FROM {prev})")
+        prev = f"_h{i}"
+    return ",\n".join(out)
+
+
+LAYER_SQL["hash_bucket"] = _w(
+    "SELECT CAST(zone_key AS BIGINT) AS zone_key, zone_name, borough, "
+    "CAST((((CASE WHEN x >= 2147483648 THEN CAST(x AS BIGINT) - 4294967296 ELSE CAST(x AS BIGINT) END) % 4)"
+    " + 4) % 4 AS BIGINT) AS bucket FROM _h12",
+    GOLD + ",\n" + _murmur3_int("dim_zone", "zone_key"))
+
+
 def oracle_queries() -> dict[str, str]:
     out = {k: _w(v) for k, v in QUESTIONS_SQL.items()}
     out.update(LAYER_SQL)

@@ -45,3 +45,20 @@ def test_impute_on_fixture_column(spark):
     df = li.select(F.when(F.col("l_partkey") % 5 != 0, F.col("l_extendedprice")).alias("Fare"))
     vals = [r.Fare for r in df.collect()]
     assert upper_medians(df, ["Fare"], accuracy=100, exact_rows=100)["Fare"] == brute(vals)
+
+
+def test_passenger_csv_demo(spark, scratch):
+    import pytest
+
+    from cabflow.operators.quality import assert_defined
+    from cabflow.plans.pipeline import fill_missing_csv
+    from cabflow.sinks.writers import write_csv
+    rows = [(1, 22.0, 7.25, None, 3), (2, None, 71.28, 0, 1), (3, 26.0, None, 0, 3), (4, 35.0, 53.1, 1, None)]
+    src = spark.createDataFrame(rows, "PassengerId int, Age double, Fare double, Parch int, Pclass int")
+    write_csv(src.coalesce(1), f"{scratch}/in")
+    schema = "PassengerId int, Age double, Fare double, Parch int, Pclass int"
+    out = fill_missing_csv(spark, f"{scratch}/in", f"{scratch}/out", ["Age", "Fare", "Parch", "Pclass"], schema)
+    got = sorted(tuple(r) for r in out.collect())
+    assert got == sorted([(22.0, 7.25, 0, 3), (26.0, 71.28, 0, 1), (26.0, 53.1, 0, 3), (35.0, 53.1, 1, 3)])
+    with pytest.raises(AssertionError):
+        assert_defined(src.limit(0), "empty")
