@@ -88,3 +88,20 @@ def test_duration_ignores_session_time_zone(spark):
         assert df.select(duration_minutes("a", "b")).first()[0] == 174.50416666666666
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_pickup_range_equivalence(spark):
+    from datetime import timedelta
+
+    from cabflow.functions.predicates import pickup_range
+    days = [date(2023, 12, 25) + timedelta(days=i) for i in range(80)]
+    df = spark.createDataFrame([(x,) for x in days], "pickup_date date").withColumn(
+        "pickup_month", F.trunc("pickup_date", "month"))
+    cases = [(date(2024, 1, 1), date(2024, 2, 1), False), (date(2024, 1, 1), date(2024, 1, 31), True),
+             (date(2024, 1, 10), date(2024, 2, 5), False), (date(2024, 1, 10), date(2024, 2, 5), True),
+             (date(2024, 1, 1), None, False), (date(2023, 12, 28), None, False), (None, date(2024, 3, 1), False)]
+    for lo, hi, closed in cases:
+        got = sorted(r[0] for r in df.where(pickup_range(lo, hi, closed=closed)).collect())
+        want = [x for x in days if (lo is None or x >= lo) and
+                (hi is None or (x <= hi if closed else x < hi))]
+        assert got == want, (lo, hi, closed)
