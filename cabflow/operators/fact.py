@@ -86,3 +86,14 @@ def rowcount_invariant(silver: DataFrame, fact: DataFrame) -> DataFrame:
     s = silver.agg(F.lit("silver").alias("layer"), F.count(F.lit(1)).alias("row_count"))
     f = fact.agg(F.lit("fact").alias("layer"), F.count(F.lit(1)).alias("row_count"))
     return s.unionByName(f)
+
+
+def dimension_usage(fact: DataFrame, dim: DataFrame, dim_key: str, fact_key: str | None = None) -> DataFrame:
+    """Dimension rows with the number of fact rows referencing each (0 when
+    none).  The fact is reduced to one row per key with map-side partial
+    aggregation before the (small) join."""
+    fk = fact_key or dim_key
+    used = fact.where(F.col(fk).isNotNull()).groupBy(F.col(fk).alias(dim_key)).agg(
+        F.count(F.lit(1)).alias("trips"))
+    return (dim.join(used, dim_key, "left")
+            .withColumn("trips", F.coalesce(F.col("trips"), F.lit(0).cast("long"))))

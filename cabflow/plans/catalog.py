@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from cabflow.operators.bronze import bronze_trips, bronze_zones, narrow_types
 from cabflow.operators.coverage import coverage
-from cabflow.operators.fact import rowcount_invariant, unmatched_keys
+from cabflow.operators.fact import dimension_usage, rowcount_invariant, unmatched_keys
 from cabflow.operators.impute import impute_upper_median
 from cabflow.operators.quality import relationships_report, run_checks
 from cabflow.operators.reshape import pivot_counts, route_edges, unpivot_measures
@@ -293,6 +293,11 @@ QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     "dim_time": lambda r: r.gold.dims["dim_time"],
     "dim_zone": lambda r: r.gold.dims["dim_zone"],
     "dim_service_type": lambda r: r.gold.dims["dim_service_type"],
+    # S5 inline dimensions, each row with the count of fact rows using it
+    "dim_payment_type": lambda r: dimension_usage(r.gold.fact, r.gold.dims["dim_payment_type"],
+                                                  "payment_type_key"),
+    "dim_vendor": lambda r: dimension_usage(r.gold.fact, r.gold.dims["dim_vendor"], "vendor_key"),
+    "dim_ratecode": lambda r: dimension_usage(r.gold.fact, r.gold.dims["dim_ratecode"], "ratecode_key"),
     "fct_trips": lambda r: r.gold.fact,
     "unmatched_keys": lambda r: unmatched_keys(r.gold.fact),
     "fact_rowcount_invariant": lambda r: rowcount_invariant(r.silver, r.gold.fact),

@@ -383,6 +383,16 @@ FROM raw""", f"{TRIPS},\n{RAW}"),
                    "CAST(minute AS BIGINT) AS minute, time_period FROM dim_time"),
     "dim_zone": _w("SELECT CAST(zone_key AS BIGINT) AS zone_key, zone_name, borough FROM dim_zone"),
     "dim_service_type": _w("SELECT service_type_key, service_type FROM dim_service_type"),
+    "dim_payment_type": _w("SELECT CAST(d.payment_type_key AS BIGINT) AS payment_type_key, d.payment_type, "
+                           "d.payment_category, coalesce(u.trips, 0) AS trips FROM dim_payment_type d LEFT JOIN "
+                           "(SELECT payment_type_key, COUNT(*) AS trips FROM fct_trips GROUP BY 1) u "
+                           "USING (payment_type_key)"),
+    "dim_vendor": _w("SELECT CAST(d.vendor_key AS BIGINT) AS vendor_key, d.vendor_name, coalesce(u.trips, 0) AS trips "
+                     "FROM dim_vendor d LEFT JOIN (SELECT vendor_key, COUNT(*) AS trips FROM fct_trips GROUP BY 1) u "
+                     "USING (vendor_key)"),
+    "dim_ratecode": _w("SELECT CAST(d.ratecode_key AS BIGINT) AS ratecode_key, d.ratecode_name, "
+                       "coalesce(u.trips, 0) AS trips FROM dim_ratecode d LEFT JOIN "
+                       "(SELECT ratecode_key, COUNT(*) AS trips FROM fct_trips GROUP BY 1) u USING (ratecode_key)"),
     "fct_trips": _w(f"SELECT {_norm(FACT_T)} FROM (SELECT *, CAST(date_trunc('month', pickup_date) AS DATE) "
                     "AS pickup_month FROM fct_trips)"),
     "unmatched_keys": _w(" UNION ALL ".join(
