@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -31,7 +31,7 @@ def _cast_to(c: str, src: T.DataType, dst: T.DataType):
     return col.cast(dst)
 
 
-def conform_slice(df: DataFrame, service: str, month: str,
+def conform_slice(df: DataFrame, service: str, month,
                   ingest_ts: datetime) -> DataFrame:
     """Cast one slice to the canonical raw schema (P1, P2, per-file casts).
 
@@ -39,6 +39,8 @@ def conform_slice(df: DataFrame, service: str, month: str,
     the same column may be bigint in one month and double in another.
     Columns outside the canonical list are carried as they are.  Built as a
     single projection from the footer schema (one analysis per slice).
+    ``month`` is the slice's month as text, or a Column holding it (for a
+    merged read of several slices).
     """
     have: dict[str, tuple[str, T.DataType]] = {}
     for f in df.schema.fields:
@@ -53,7 +55,7 @@ def conform_slice(df: DataFrame, service: str, month: str,
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     cols += [F.lit(service).alias("service_type"),
-             F.lit(month).alias("source_month"),
+             (month.cast("string") if isinstance(month, Column) else F.lit(month)).alias("source_month"),
              ntz_literal(ingest_ts).alias("ingest_ts")]
     known = {f.name for f in RAW_TRIP_SCHEMA.fields} | {"service_type", "source_month", "ingest_ts"}
     cols += [F.col(f"`{src}`").alias(name) for name, (src, _) in have.items() if name not in known]
@@ -73,16 +75,61 @@ def read_slice(spark: SparkSession, base: str, service: str, month: str,
     return conform_slice(df, service, month, ingest_ts)
 
 
+# Groups of at most this many slices are opened one by one.
+_MIN_MERGED_GROUP = 8
+
+
+def _read_slices(spark: SparkSession, base: str, service: str, months, ingest_ts) -> list[DataFrame]:
+    # Opening a slice lists its folder and reads one footer on the driver;
+    # doing that for several slices at once hides the storage latency.
+    with ThreadPoolExecutor(max_workers=min(8, max(1, len(months)))) as pool:
+        parts = list(pool.map(lambda m: read_slice(spark, base, service, m, ingest_ts), months))
+    return [p for p in parts if p is not None]
+
+
+def _read_service(spark: SparkSession, base: str, service: str, months: list[str],
+                  ingest_ts: datetime) -> list[DataFrame]:
+    """All requested slices of one service.
+
+    First as ONE scan: a brace glob over the slice folders (missing months
+    simply match nothing) with ``mergeSchema``, whose footer merge runs as a
+    distributed job; ``source_month`` comes from the folder names.  When the
+    footers cannot be merged (a column is int in one month and double in
+    another, or names differ only in case), the months are split in halves
+    and each half is tried again, so a drifted slice ends up read on its own
+    footer schema while the others stay merged.
+    """
+    if not months:
+        return []
+    if len(months) <= _MIN_MERGED_GROUP:
+        return _read_slices(spark, base, service, months, ingest_ts)
+    root = f"{base.rstrip('/')}/{service}"
+    pattern = f"{root}/source_month={{{','.join(months)}}}"
+    try:
+        df = spark.read.option("basePath", root).option("mergeSchema", "true").parquet(pattern)
+        names = [f.name.lower() for f in df.schema.fields]
+        merged_ok = len(set(names)) == len(names)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return []
+        raise
+    except Exception as e:  # the schema merge job failed on incompatible footers
+        if "CANNOT_MERGE" not in str(e) and "Failed to merge" not in str(e):
+            raise
+        merged_ok = False
+    if merged_ok:
+        return [conform_slice(df, service, F.col("source_month"), ingest_ts)]
+    mid = len(months) // 2
+    return (_read_service(spark, base, service, months[:mid], ingest_ts)
+            + _read_service(spark, base, service, months[mid:], ingest_ts))
+
+
 def read_trips(spark: SparkSession, base: str, services, months,
                ingest_ts: datetime) -> DataFrame:
     """S1 + P1 + P2 + U2: every existing (service, month) slice, conformed and
     stacked with ``unionByName(allowMissingColumns=True)``."""
-    keys = [(s, m) for m in months for s in services]
-    # Opening a slice lists its folder and reads one footer on the driver;
-    # doing that for many slices at once hides the storage latency.
-    with ThreadPoolExecutor(max_workers=min(8, max(1, len(keys)))) as pool:
-        parts = list(pool.map(lambda k: read_slice(spark, base, k[0], k[1], ingest_ts), keys))
-    parts = [p for p in parts if p is not None]
+    months = sorted(set(months))
+    parts = [p for s in services for p in _read_service(spark, base, s, months, ingest_ts)]
     if not parts:
         schema = T.StructType(list(RAW_TRIP_SCHEMA.fields) + [
             T.StructField("service_type", T.StringType()),

@@ -102,3 +102,25 @@ def test_stream_ingest_two_batches_and_redelivery(spark, tables, scratch):
     ingest_available(spark, landing, bronze, ckpt, fixture.FIXTURE_INGEST_TS)
     ingest_available(spark, landing, bronze, ckpt, fixture.FIXTURE_INGEST_TS)  # nothing new
     assert spark.read.parquet(bronze).count() == raw.count()
+
+
+def test_read_trips_isolates_case_and_type_drift(spark, scratch):
+    from datetime import datetime
+
+    from cabflow.sources.trips import read_trips
+    base = f"{scratch}/landing"
+    cols = "vendorid int, tpep_pickup_datetime timestamp_ntz, trip_distance double, pulocationid int"
+    for i in range(1, 21):
+        m = f"2024-{i:02d}" if i <= 12 else f"2025-{i - 12:02d}"
+        df = spark.createDataFrame([(1, datetime(2024, 1, 1), float(i), 5)], cols)
+        if m == "2024-05":
+            df = df.withColumnRenamed("vendorid", "VendorID")            # name differs in case only
+        if m == "2025-03":
+            df = df.withColumn("pulocationid", df.pulocationid.cast("long"))   # bigint in one month
+        df.write.parquet(f"{base}/yellow/source_month={m}")
+    months = [f"2024-{i:02d}" for i in range(1, 13)] + [f"2025-{i:02d}" for i in range(1, 10)]
+    got = read_trips(spark, base, ["yellow"], months, datetime(2026, 1, 1))
+    rows = {r.source_month: r for r in got.collect()}
+    assert len(rows) == 20 and "2025-09" not in rows
+    assert rows["2024-05"].vendorid == 1 and rows["2025-03"].pulocationid == 5
+    assert dict(got.dtypes)["pulocationid"] == "int"
