@@ -7,6 +7,7 @@ column pruning costs less than writing and re-reading all of silver.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,10 +55,11 @@ def build_gold(spark: SparkSession, bronze: DataFrame, zones: DataFrame, params:
         base = out_dir.rstrip("/")
         replace_table(domains, f"{base}/_dimension_domains")
         domains = spark.read.parquet(f"{base}/_dimension_domains")
-        dims = {}
-        for name, df in data_dims(silver, params, domains=domains).items():
-            replace_table(df.coalesce(1), f"{base}/{name}")
-            dims[name] = spark.read.parquet(f"{base}/{name}")
+        built = data_dims(silver, params, domains=domains)
+        # four small independent writes: run them as concurrent jobs
+        with ThreadPoolExecutor(max_workers=len(built)) as pool:
+            list(pool.map(lambda kv: replace_table(kv[1].coalesce(1), f"{base}/{kv[0]}"), built.items()))
+        dims = {name: spark.read.parquet(f"{base}/{name}") for name in built}
     for name in STATIC_DIMS:
         dims[name] = static_dim(spark, name)
     fact = fct_trips(silver, dims, params)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabflow.functions.predicates import pickup_range
+from cabflow.operators.fact import STRUCTURAL_BOUNDS
 from cabflow.operators.joins import row_count_at_most
 from cabflow.operators.topk import top_k, top_n_per_group
 from cabflow.params import Params
@@ -24,6 +25,7 @@ def _dim(t: Tables, name: str, p: Params, *cols, bound: int | None = None) -> Da
     """Dimension projection, broadcast once the whole dimension's size is
     proven (by ``bound`` or a bounded count, remembered per dimension)."""
     full = t[name]
+    bound = bound if bound is not None else STRUCTURAL_BOUNDS.get(name)
     small = ((bound is not None and bound <= p.broadcast_max_rows)
              or row_count_at_most(full, p.broadcast_max_rows))
     d = full.select(*cols) if cols else full
