@@ -124,3 +124,21 @@ def test_read_trips_isolates_case_and_type_drift(spark, scratch):
     assert len(rows) == 20 and "2025-09" not in rows
     assert rows["2024-05"].vendorid == 1 and rows["2025-03"].pulocationid == 5
     assert dict(got.dtypes)["pulocationid"] == "int"
+
+
+def test_materialize_kinds(spark, scratch):
+    from cabflow.sinks.writers import materialize
+    df = spark.createDataFrame([("yellow", "2024-01", 1), ("green", "2024-01", 2), ("yellow", "2024-02", 3)],
+                               "service_type string, source_month string, v int")
+    v = materialize(df, "cabflow_test_view", "view")
+    assert v.count() == 3 and spark.table("cabflow_test_view").count() == 3
+    t = materialize(df, "tbl", "table", base=scratch)
+    assert t.count() == 3
+    materialize(df, "tbl", "table", base=scratch)
+    assert spark.read.parquet(f"{scratch}/tbl").count() == 3          # overwrite, not append
+    keys = ["service_type", "source_month"]
+    materialize(df, "inc", "incremental", base=scratch, keys=keys)
+    again = materialize(df.where("source_month = '2024-02'"), "inc", "incremental", base=scratch, keys=keys)
+    assert again.count() == 3                                          # only the touched slice replaced
+    with pytest.raises(ValueError):
+        materialize(df, "x", "ephemeral", base=scratch)

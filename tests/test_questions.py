@@ -66,3 +66,15 @@ def test_questions_on_fixture_have_expected_shapes(spark):
     assert Q.pruned_count(t, r.p).first()[0] == (
         t["fct_trips"].where((F.col("pickup_date") >= date(1997, 1, 1)) &
                              (F.col("pickup_date") <= date(1997, 1, 31))).count())
+
+
+def test_approx_percentiles_switch(spark):
+    from cabflow.plans.catalog import Run
+    from cabflow.plans import questions as Q
+    from tests.conftest import SF001
+    r = Run(spark, SF001)
+    exact = {x.borough: (x.p50, x.p90) for x in Q.q18(r.t, r.p).collect()}
+    approx = {x.borough: (x.p50, x.p90) for x in Q.q18(r.t, r.p.with_(approx_percentiles=True)).collect()}
+    assert exact.keys() == approx.keys()
+    for b in exact:
+        assert abs(exact[b][0] - approx[b][0]) <= 1.0 and abs(exact[b][1] - approx[b][1]) <= 1.0
