@@ -26,6 +26,6 @@ def coverage(bronze: DataFrame, silver: DataFrame, grid: DataFrame) -> DataFrame
     return out.select(
         *KEYS,
         br.alias("bronze_rows"), sr.alias("silver_rows"), (br - sr).alias("rejected"),
-        F.when(br > 0, (br - sr) * 100.0 / br).alias("reject_pct"),
+        F.when(br > 0, (br - sr).cast("double") * 100.0 / br.cast("double")).alias("reject_pct"),
         F.when(br == 0, "missing").otherwise("ok").alias("status"),
     )

@@ -2,8 +2,9 @@
 
 Written from the reference's SQL (bronze/silver/gold models and the
 questions) over the raw test tables, not from Spark output.  Casts mirror
-``catalog.normalize``: integral -> BIGINT, money -> DOUBLE rounded to cents,
-other fractions -> DOUBLE rounded to 6 places.
+``catalog.normalize``: integral -> BIGINT, decimals -> DOUBLE.  Means use
+the same exact fixed-point definition as ``questions.exact_mean``, so they
+are equal bit for bit; interpolated percentiles are rounded to 6 places.
 """
 
 from __future__ import annotations
@@ -134,7 +135,15 @@ fct_trips AS (
   LEFT JOIN dim_service_type serty ON t.service_type = serty.service_type_key
 )"""
 
-TIP = "AVG(CAST(f.tip_amount AS DOUBLE) / NULLIF(CAST(f.fare_amount AS DOUBLE), 0)) * 100"
+def _mean(x: str, scale: str = "1.0") -> str:
+    """Exact mean of an integral expression, divided once in double."""
+    return (f"CAST(SUM(CAST({x} AS DECIMAL(38,0))) AS DOUBLE) / CAST(NULLIF(COUNT({x}), 0) AS DOUBLE)"
+            f" / CAST({scale} AS DOUBLE)")
+
+
+TIP_E9 = ("(CAST(f.tip_amount * 100 AS BIGINT) * 1000000000) "
+          "// NULLIF(CAST(f.fare_amount * 100 AS BIGINT), 0)")
+TIP = _mean(TIP_E9, "1e7")
 YEAR_F = f"f.pickup_date >= DATE '{Y0}' AND f.pickup_date < DATE '{Y1}'"
 SINCE_F = f"f.pickup_date >= DATE '{MIN}'"
 
@@ -143,12 +152,16 @@ def _w(body: str, cte: str = GOLD) -> str:
     return f"WITH {cte.strip()}\n{body}"
 
 
-def _r6(x: str) -> str:
+def _round6(x: str) -> str:
     return f"ROUND(CAST({x} AS DOUBLE), 6)"
 
 
+def _r6(x: str) -> str:
+    return f"CAST({x} AS DOUBLE)"
+
+
 def _r2(x: str) -> str:
-    return f"ROUND(CAST({x} AS DOUBLE), 2)"
+    return f"CAST({x} AS DOUBLE)"
 
 
 QUESTIONS_SQL = {
@@ -204,25 +217,25 @@ WHERE {SINCE_F} GROUP BY 1 ORDER BY SUM(f.total_amount) DESC, zone_name LIMIT {P
        {_r2('SUM(f.total_amount)')} AS total_revenue, {_r6(TIP)} AS avg_tip_pct
 FROM fct_trips f WHERE {SINCE_F} GROUP BY 1""",
     "q15": f"""SELECT CAST(EXTRACT(MONTH FROM f.pickup_date) AS BIGINT) AS month,
-       {_r6('AVG(f.trip_duration_minutes)')} AS avg_duration
+       {_mean('f.trip_duration_minutes')} AS avg_duration
 FROM fct_trips f WHERE {YEAR_F} GROUP BY 1 ORDER BY 1""",
     "q16": f"""SELECT CAST(EXTRACT(MONTH FROM f.pickup_date) AS BIGINT) AS month,
-       {_r6('AVG(CAST(f.trip_distance AS DOUBLE))')} AS avg_distance
+       {_mean('CAST(f.trip_distance * 100 AS BIGINT)', '100')} AS avg_distance
 FROM fct_trips f WHERE {YEAR_F} GROUP BY 1 ORDER BY 1""",
     "q17": f"""SELECT z.borough, CAST(f.pickup_time_key // 100 AS BIGINT) AS hour_slot,
-       {_r6('AVG(CAST(f.trip_distance AS DOUBLE) / NULLIF(f.trip_duration_minutes / 60.0, 0))')} AS avg_speed_mph
+       {_mean('(CAST(f.trip_distance * 100 AS BIGINT) * 600000000) // NULLIF(f.trip_duration_minutes, 0)', '1e9')} AS avg_speed_mph
 FROM fct_trips f JOIN dim_zone z ON f.pickup_location_key = z.zone_key
 WHERE {SINCE_F} GROUP BY 1, 2""",
     "q17_ref": f"""SELECT z.borough, CAST(f.pickup_time_key // 60 AS BIGINT) AS hour_slot,
-       {_r6('AVG(CAST(f.trip_distance AS DOUBLE) / NULLIF(f.trip_duration_minutes // 60, 0))')} AS avg_speed_mph
+       {_mean('(CAST(f.trip_distance * 100 AS BIGINT) * 10000000) // NULLIF(f.trip_duration_minutes // 60, 0)', '1e9')} AS avg_speed_mph
 FROM fct_trips f JOIN dim_zone z ON f.pickup_location_key = z.zone_key
 WHERE {SINCE_F} GROUP BY 1, 2""",
     "q18": f"""SELECT z.borough,
-       {_r6('quantile_cont(f.trip_duration_minutes, 0.5)')} AS p50,
-       {_r6('quantile_cont(f.trip_duration_minutes, 0.9)')} AS p90
+       {_round6('quantile_cont(f.trip_duration_minutes, 0.5)')} AS p50,
+       {_round6('quantile_cont(f.trip_duration_minutes, 0.9)')} AS p90
 FROM fct_trips f JOIN dim_zone z ON f.pickup_location_key = z.zone_key
 WHERE {SINCE_F} GROUP BY 1""",
-    "q19": f"""SELECT zone_name, {_r6('p90')} AS p90 FROM (
+    "q19": f"""SELECT zone_name, {_round6('p90')} AS p90 FROM (
   SELECT z.zone_name, quantile_cont(f.trip_duration_minutes, 0.9) AS p90
   FROM fct_trips f JOIN dim_zone z ON f.pickup_location_key = z.zone_key
   WHERE {SINCE_F} GROUP BY 1 ORDER BY p90 DESC, zone_name LIMIT {P.top_k})""",
@@ -408,7 +421,8 @@ FROM (SELECT unnest(generate_series(date_trunc('month', min(pickup_date)), date_
     "coverage": _w(f"""SELECT service_type, source_month,
        coalesce(bronze_rows, 0) AS bronze_rows, coalesce(silver_rows, 0) AS silver_rows,
        coalesce(bronze_rows, 0) - coalesce(silver_rows, 0) AS rejected,
-       {_r6("CASE WHEN coalesce(bronze_rows, 0) > 0 THEN (bronze_rows - coalesce(silver_rows, 0)) * 100.0 / bronze_rows END")} AS reject_pct,
+       CASE WHEN coalesce(bronze_rows, 0) > 0 THEN CAST(bronze_rows - coalesce(silver_rows, 0) AS DOUBLE)
+            * CAST(100.0 AS DOUBLE) / CAST(bronze_rows AS DOUBLE) END AS reject_pct,
        CASE WHEN coalesce(bronze_rows, 0) = 0 THEN 'missing' ELSE 'ok' END AS status
 FROM (SELECT service_type, source_month FROM grid) g
 FULL JOIN (SELECT service_type, source_month, COUNT(*) AS bronze_rows FROM bronze GROUP BY 1, 2) b

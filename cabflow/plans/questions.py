@@ -41,10 +41,28 @@ def _fact(t: Tables, p: Params, *, year: bool = False, since_min: bool = False)
     return f
 
 
+# Means are exact and reproducible: each averaged quantity is a fixed-point
+# integer (ratios at 1e-9 resolution, truncated toward zero), summed as
+# decimal(38,0), and divided once in double.  A double AVG would depend on
+# how rows are split over tasks; this does not.
+_TIP_RATIO_E9 = ("(CAST(tip_amount * 100 AS BIGINT) * 1000000000) "
+                 "div nullif(CAST(fare_amount * 100 AS BIGINT), 0)")
+# mph * 1e9: distance in hundredths * 60 * 1e7 / minutes
+_SPEED_E9 = "(CAST(trip_distance * 100 AS BIGINT) * 600000000) div nullif(trip_duration_minutes, 0)"
+# q17_ref: minutes div 60 whole hours, as written in the reference
+_SPEED_REF_E9 = "(CAST(trip_distance * 100 AS BIGINT) * 10000000) div nullif(trip_duration_minutes div 60, 0)"
+
+
+def exact_mean(x, scale: float = 1.0):
+    """mean(x) / scale for an integral (fixed-point) ``x``; NULL for no rows."""
+    x = F.expr(x) if isinstance(x, str) else x
+    return (F.sum(x.cast("decimal(38,0)")).cast("double")
+            / F.nullif(F.count(x), F.lit(0)).cast("double") / F.lit(float(scale)))
+
+
 def _tip_pct():
-    """A5: mean of per-trip ratios, fare 0 drops out of the mean."""
-    ratio = F.col("tip_amount").cast("double") / F.nullif(F.col("fare_amount").cast("double"), F.lit(0.0))
-    return F.avg(ratio) * 100
+    """A5: mean of per-trip ratios tip / fare, in percent; fare 0 drops out."""
+    return exact_mean(_TIP_RATIO_E9, 1e7)
 
 
 def _count():
@@ -172,35 +190,32 @@ def q14(t: Tables, p: Params) -> DataFrame:
 def q15(t: Tables, p: Params) -> DataFrame:
     """Mean duration (whole minutes, D2) by month of the year."""
     return (_fact(t, p, year=True).groupBy(F.month("pickup_date").alias("month"))
-            .agg(F.avg("trip_duration_minutes").alias("avg_duration")).orderBy("month"))
+            .agg(exact_mean(F.col("trip_duration_minutes")).alias("avg_duration")).orderBy("month"))
 
 
 def q16(t: Tables, p: Params) -> DataFrame:
     """Mean distance by month of the year."""
     return (_fact(t, p, year=True).groupBy(F.month("pickup_date").alias("month"))
-            .agg(F.avg(F.col("trip_distance").cast("double")).alias("avg_distance")).orderBy("month"))
+            .agg(exact_mean(F.expr("CAST(trip_distance * 100 AS BIGINT)"), 100).alias("avg_distance"))
+            .orderBy("month"))
 
 
 def q17(t: Tables, p: Params) -> DataFrame:
     """Mean speed (mph) by pickup borough and hour of day: the intended
     reading of the question (hour = HHMM key div 100, hours as a fraction)."""
     z = _dim(t, "dim_zone", p, "zone_key", "borough")
-    hours = F.col("trip_duration_minutes") / F.lit(60.0)
-    speed = F.col("trip_distance").cast("double") / F.nullif(hours, F.lit(0.0))
     return (_fact(t, p, since_min=True).join(z, F.col("pickup_location_key") == F.col("zone_key"))
-            .groupBy("borough", F.floor(F.col("pickup_time_key") / 100).alias("hour_slot"))
-            .agg(F.avg(speed).alias("avg_speed_mph")))
+            .groupBy("borough", F.expr("pickup_time_key div 100").alias("hour_slot"))
+            .agg(exact_mean(_SPEED_E9, 1e9).alias("avg_speed_mph")))
 
 
 def q17_ref(t: Tables, p: Params) -> DataFrame:
     """q17 as literally written (D3): slot = HHMM key div 60, and
     duration div 60 in whole hours, so trips under an hour drop out."""
     z = _dim(t, "dim_zone", p, "zone_key", "borough")
-    whole_hours = F.expr("trip_duration_minutes div 60")
-    speed = F.col("trip_distance").cast("double") / F.nullif(whole_hours, F.lit(0))
     return (_fact(t, p, since_min=True).join(z, F.col("pickup_location_key") == F.col("zone_key"))
             .groupBy("borough", F.expr("pickup_time_key div 60").alias("hour_slot"))
-            .agg(F.avg(speed).alias("avg_speed_mph")))
+            .agg(exact_mean(_SPEED_REF_E9, 1e9).alias("avg_speed_mph")))
 
 
 def q18(t: Tables, p: Params) -> DataFrame:

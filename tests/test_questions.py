@@ -78,3 +78,19 @@ def test_approx_percentiles_switch(spark):
     assert exact.keys() == approx.keys()
     for b in exact:
         assert abs(exact[b][0] - approx[b][0]) <= 1.0 and abs(exact[b][1] - approx[b][1]) <= 1.0
+
+
+def test_exact_mean_is_partition_independent(spark):
+    import random
+    from fractions import Fraction
+
+    from cabflow.plans.questions import exact_mean
+    rnd = random.Random(3)
+    vals = [rnd.randint(-10**12, 10**12) for _ in range(5000)] + [None] * 7
+    df = spark.createDataFrame([(v,) for v in vals], "x long")
+    got = {df.repartition(n).agg(exact_mean(F.col("x"), 1e9).alias("m")).first().m for n in (1, 3, 17)}
+    assert len(got) == 1
+    nn = [v for v in vals if v is not None]
+    assert abs(got.pop() - float(Fraction(sum(nn), len(nn)) / 10**9)) < 1e-9
+    empty = df.where(F.col("x").isNull()).agg(exact_mean(F.col("x")).alias("m")).first().m
+    assert empty is None
