@@ -238,7 +238,7 @@ WHERE {SINCE_F} GROUP BY 1""",
     "q19": f"""SELECT zone_name, {_round6('p90')} AS p90 FROM (
   SELECT z.zone_name, quantile_cont(f.trip_duration_minutes, 0.9) AS p90
   FROM fct_trips f JOIN dim_zone z ON f.pickup_location_key = z.zone_key
-  WHERE {SINCE_F} GROUP BY 1 ORDER BY p90 DESC, zone_name LIMIT {P.top_k})""",
+  WHERE {SINCE_F} GROUP BY 1 ORDER BY ROUND(p90, 6) DESC, zone_name LIMIT {P.top_k})""",
     "q20": f"""SELECT zp.borough AS p_bor, zd.borough AS d_bor, COUNT(*) AS total
 FROM fct_trips f JOIN dim_zone zp ON f.pickup_location_key = zp.zone_key
 JOIN dim_zone zd ON f.dropoff_location_key = zd.zone_key
