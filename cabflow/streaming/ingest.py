@@ -23,16 +23,22 @@ from cabflow.sinks.writers import replace_slice
 from cabflow.sources.trips import read_trips
 
 _PATH_RE = r"/([^/]+)/source_month=([0-9]{4}-[0-9]{2})/[^/]+$"
-# The file source needs a schema; one column every slice file has is enough,
-# since only file paths are used.
-_PROBE_SCHEMA = T.StructType([T.StructField("trip_distance", T.DoubleType())])
+# The binaryFile source's fixed schema (a stream source must be given one).
+_FILE_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType(), False),
+    T.StructField("modificationTime", T.TimestampType(), False),
+    T.StructField("length", T.LongType(), False),
+    T.StructField("content", T.BinaryType(), True),
+])
 
 
 def slice_arrivals(spark: SparkSession, landing: str) -> DataFrame:
-    """Streaming frame of (service_type, source_month) per newly seen file."""
-    files = (spark.readStream.format("parquet").schema(_PROBE_SCHEMA)
+    """Streaming frame of (service_type, source_month), one row per newly
+    seen file.  The ``binaryFile`` source yields one row per file, and only
+    its path is selected, so file contents are never read here."""
+    files = (spark.readStream.format("binaryFile").schema(_FILE_SCHEMA)
              .load(f"{landing.rstrip('/')}/*/source_month=*/*.parquet"))
-    path = F.col("_metadata.file_path")
+    path = F.col("path")
     return files.select(F.regexp_extract(path, _PATH_RE, 1).alias("service_type"),
                         F.regexp_extract(path, _PATH_RE, 2).alias("source_month"))
 
