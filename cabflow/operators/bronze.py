@@ -12,10 +12,19 @@ from cabflow.schemas import MONEY
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
+def _num(df: DataFrame, c: str):
+    """The raw column, with floating NaN read as missing (a NaN in a raw
+    dataframe became NULL when the batch was stored)."""
+    t = df.schema[c].dataType
+    if isinstance(t, (T.FloatType, T.DoubleType)):
+        return F.nanvl(F.col(c), F.lit(None).cast(t))
+    return F.col(c)
+
+
 def _int(df: DataFrame, c: str):
     """``::int``: round half to even for fractional inputs, plain cast otherwise."""
     t = df.schema[c].dataType
-    return (F.rint(F.col(c)) if isinstance(t, _FRACTIONAL) else F.col(c)).cast("int")
+    return (F.rint(_num(df, c)) if isinstance(t, _FRACTIONAL) else F.col(c)).cast("int")
 
 
 def narrow_types(df: DataFrame) -> DataFrame:
@@ -43,15 +52,15 @@ def bronze_trips(raw: DataFrame) -> DataFrame:
         pick.alias("pickup_ts"),
         drop.alias("dropff_ts"),
         _int(raw, "passenger_count").alias("passengers_count"),
-        F.col("trip_distance").cast(MONEY).alias("trip_distance"),
+        _num(raw, "trip_distance").cast(MONEY).alias("trip_distance"),
         _int(raw, "pulocationid").alias("pickup_location"),
         _int(raw, "dolocationid").alias("dropff_location"),
         _int(raw, "ratecodeid").alias("ratecode_id"),
         _int(raw, "payment_type").alias("payment_type"),
-        F.col("fare_amount").cast(MONEY).alias("fare_amount"),
-        F.col("tip_amount").cast(MONEY).alias("tip_amount"),
-        F.col("tolls_amount").cast(MONEY).alias("tolls_amount"),
-        F.col("total_amount").cast(MONEY).alias("total_amount"),
+        _num(raw, "fare_amount").cast(MONEY).alias("fare_amount"),
+        _num(raw, "tip_amount").cast(MONEY).alias("tip_amount"),
+        _num(raw, "tolls_amount").cast(MONEY).alias("tolls_amount"),
+        _num(raw, "total_amount").cast(MONEY).alias("total_amount"),
         F.col("service_type").cast("string"),
         F.col("source_month").cast("string"),
         F.col("ingest_ts").cast("timestamp_ntz"),

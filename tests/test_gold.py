@@ -105,3 +105,22 @@ def test_pickup_range_equivalence(spark):
         want = [x for x in days if (lo is None or x >= lo) and
                 (hi is None or (x <= hi if closed else x < hi))]
         assert got == want, (lo, hi, closed)
+
+
+def test_bronze_reads_nan_as_missing(spark):
+    from datetime import datetime
+
+    from cabflow.operators.bronze import bronze_trips
+    nan = float("nan")
+    raw = spark.createDataFrame(
+        [(1, datetime(2024, 1, 1, 10), datetime(2024, 1, 1, 10, 30), nan, 2.5, nan, 1, 2, 2.5,
+          nan, 1.0, 0.0, 12.345, "yellow", "2024-01", datetime(2026, 1, 1))],
+        "vendorid int, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
+        "passenger_count double, trip_distance double, ratecodeid double, pulocationid int, dolocationid int, "
+        "payment_type double, fare_amount double, tip_amount double, tolls_amount double, total_amount double, "
+        "service_type string, source_month string, ingest_ts timestamp_ntz")
+    r = bronze_trips(raw).first()
+    assert (r.passengers_count, r.ratecode_id, r.fare_amount) == (None, None, None)
+    assert r.payment_type == 2                       # 2.5 rounds half to even
+    assert str(r.total_amount) == "12.35"            # half-cent rounds half up
+    assert r.trip_duration_minutes == 30.0
