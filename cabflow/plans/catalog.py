@@ -329,8 +329,24 @@ QUERIES: dict[str, Callable[[Run], DataFrame]] = {
 }
 
 
+_RUNS: dict[tuple, Run] = {}
+
+
+def run_for(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Run:
+    """One lazily built Run per (session, tables, params): the registered
+    queries share its plans and its checkpointed dimension domains; every
+    result is still computed from the tables when it is collected."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), params)
+    run = _RUNS.get(key)
+    if run is None or run.spark is not spark:
+        if len(_RUNS) >= 4:
+            _RUNS.clear()
+        run = _RUNS[key] = Run(spark, sf_dir, params)
+    return run
+
+
 def run_query(name: str, spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> DataFrame:
-    return normalize(QUERIES[name](Run(spark, sf_dir, params)), ROUND6.get(name, ()))
+    return normalize(QUERIES[name](run_for(spark, sf_dir, params)), ROUND6.get(name, ()))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
