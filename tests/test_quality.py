@@ -23,3 +23,18 @@ def test_relationship_orphans_plus_matches_is_all(spark):
     matched = child.join(parent, F.col("k") == F.col("pk"), "left_semi").count()
     assert orphans == 2                                   # 7 and 9; NULL children pass
     assert orphans + matched == child.where(F.col("k").isNotNull()).count()
+
+
+def test_fused_relationships_match_separate_tests(spark):
+    from cabflow.operators.quality import relationships_report
+    child = spark.createDataFrame(
+        [(1, "a", 10), (2, "b", 10), (5, "a", None), (None, "z", 11), (1, "z", 12), (6, None, 10)],
+        "k1 int, k2 string, k3 int")
+    p1 = spark.createDataFrame([(1,), (2,), (3,)], "id int")
+    p2 = spark.createDataFrame([("a",), ("b",)], "code string")
+    p3 = spark.createDataFrame([(10,), (11,)], "id int")
+    checks = [("t1", child, "k1", p1, "id"), ("t2", child, "k2", p2, "code"), ("t3", child, "k3", p3, "id"),
+              ("t1_again", child, "k1", p3, "id")]
+    fused = {r.test: r.failures for r in relationships_report(checks).collect()}
+    single = {name: relationship_failures(c, k, p, pk, name).first().failures for name, c, k, p, pk in checks}
+    assert fused == single == {"t1": 2, "t2": 2, "t3": 1, "t1_again": 5}
