@@ -68,7 +68,8 @@ def _fused_failures(checks, max_broadcast_rows: int) -> DataFrame:
     parents = bounded_broadcast(parents.where(F.col("_k").isNotNull()).distinct(), max_broadcast_rows)
     orphans = (long.join(F.broadcast(tests), "_col").join(parents, ["test", "_k"], "left_anti")
                .groupBy("test").agg(F.sum("_n").alias("_f")))
-    return (tests.join(orphans, "test", "left")
+    # at most one row per test: a structural bound, so it is broadcast
+    return (tests.join(F.broadcast(orphans), "test", "left")
             .select("test", F.coalesce(F.col("_f"), F.lit(0)).cast("long").alias("failures")))
 
 
