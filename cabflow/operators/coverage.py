@@ -16,16 +16,18 @@ def slice_counts(df: DataFrame, name: str) -> DataFrame:
 def coverage(bronze: DataFrame, silver: DataFrame, grid: DataFrame) -> DataFrame:
     """Expected slices (``grid``) with bronze and silver counts, rejected rows,
     reject percentage and a status: ``missing`` when the slice has no bronze
-    rows, else ``ok``.  All three inputs are one row per slice."""
-    b = slice_counts(bronze, "bronze_rows")
-    s = slice_counts(silver, "silver_rows")
-    g = grid.select(*KEYS).distinct()
-    out = g.join(b, KEYS, "full").join(s, KEYS, "left")
-    br = F.coalesce(F.col("bronze_rows"), F.lit(0))
-    sr = F.coalesce(F.col("silver_rows"), F.lit(0))
-    return out.select(
-        *KEYS,
-        br.alias("bronze_rows"), sr.alias("silver_rows"), (br - sr).alias("rejected"),
+    rows, else ``ok``.
+
+    No joins: grid, bronze and silver rows are stacked with 0/1 markers and
+    summed in ONE aggregate, whose map-side partial aggregation reduces every
+    task to one row per slice before the shuffle."""
+    mark = lambda df, b, s: df.select(*KEYS, F.lit(b).alias("_b"), F.lit(s).alias("_s"))
+    stacked = mark(grid, 0, 0).unionByName(mark(bronze, 1, 0)).unionByName(mark(silver, 0, 1))
+    counts = stacked.groupBy(*KEYS).agg(F.sum("_b").cast("long").alias("bronze_rows"),
+                                        F.sum("_s").cast("long").alias("silver_rows"))
+    br, sr = F.col("bronze_rows"), F.col("silver_rows")
+    return counts.select(
+        *KEYS, br.alias("bronze_rows"), sr.alias("silver_rows"), (br - sr).alias("rejected"),
         F.when(br > 0, (br - sr).cast("double") * 100.0 / br.cast("double")).alias("reject_pct"),
         F.when(br == 0, "missing").otherwise("ok").alias("status"),
     )
