@@ -108,5 +108,7 @@ def dimension_usage(fact: DataFrame, dim: DataFrame, dim_key: str, fact_key: str
     fk = fact_key or dim_key
     used = fact.where(F.col(fk).isNotNull()).groupBy(F.col(fk).alias(dim_key)).agg(
         F.count(F.lit(1)).alias("trips"))
-    return (dim.join(used, dim_key, "left")
+    # the fact's key column holds only dimension keys (unmatched codes became
+    # NULL in fct_trips), so ``used`` has at most as many rows as ``dim``
+    return (dim.join(F.broadcast(used), dim_key, "left")
             .withColumn("trips", F.coalesce(F.col("trips"), F.lit(0).cast("long"))))
