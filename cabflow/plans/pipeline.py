@@ -105,12 +105,12 @@ def fill_missing_csv(spark: SparkSession, src: str, dst: str, cols, schema=None)
     """The passenger demo (S3 + P8 + M1 + K3): read a CSV with a header, keep
     the numeric columns, fill each column's NULLs with its upper median and
     write the result as CSV with a header."""
-    from cabflow.operators.impute import impute_upper_median
+    from cabflow.operators.impute import impute_upper_median, select_numeric
     from cabflow.operators.quality import assert_defined
     from cabflow.sinks.writers import write_csv
     reader = spark.read.option("header", True)
     df = reader.schema(schema).csv(src) if schema is not None else reader.option("inferSchema", True).csv(src)
-    filled = impute_upper_median(assert_defined(df, src), list(cols))
+    filled = impute_upper_median(select_numeric(assert_defined(df, src), list(cols)), list(cols))
     write_csv(filled, dst)
     return spark.read.option("header", True).schema(filled.schema).csv(dst)
 

@@ -125,8 +125,3 @@ def write_landing(raw: DataFrame, base: str) -> None:
     put(green, f"{base}/green")
     if not drift.isEmpty():
         drift.write.mode("overwrite").parquet(f"{base}/{DRIFT_SERVICE}/source_month={DRIFT_MONTH}")
-
-
-def landing_months(raw: DataFrame) -> DataFrame:
-    """Distinct source months present (used to enumerate slice paths)."""
-    return raw.select("source_month").distinct()

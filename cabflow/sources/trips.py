@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from cabflow.functions.calendar import ntz_literal
-from cabflow.schemas import GREEN_RENAMES, RAW_TRIP_SCHEMA, ZONE_CSV_SCHEMA
+from cabflow.schemas import GREEN_RENAMES, LINEAGE_FIELDS, RAW_TRIP_SCHEMA, ZONE_CSV_SCHEMA
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -131,10 +131,7 @@ def read_trips(spark: SparkSession, base: str, services, months,
     months = sorted(set(months))
     parts = [p for s in services for p in _read_service(spark, base, s, months, ingest_ts)]
     if not parts:
-        schema = T.StructType(list(RAW_TRIP_SCHEMA.fields) + [
-            T.StructField("service_type", T.StringType()),
-            T.StructField("source_month", T.StringType()),
-            T.StructField("ingest_ts", T.TimestampNTZType())])
+        schema = T.StructType(list(RAW_TRIP_SCHEMA.fields) + LINEAGE_FIELDS)
         return spark.createDataFrame([], schema)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 

@@ -100,3 +100,14 @@ def test_fixture_counts_match_spec(spark):
     assert rr["negative_total"] == 276
     assert rr["pickup_before_min_date"] == 962
     assert rr["wrong_source_month"] == 907
+
+
+def test_layer_schemas_follow_the_contract(spark):
+    from cabflow.operators.coverage import slice_counts
+    from cabflow.schemas import BRONZE_COLUMNS, SILVER_COLUMNS
+    t = fixture.load_tables(spark, SF001)
+    b = bronze_trips(fixture.raw_trips(t))
+    s = silver_trips(b, fixture.zones_view(t), FIXTURE_PARAMS)
+    assert b.columns == BRONZE_COLUMNS and s.columns == SILVER_COLUMNS
+    counts = {(r.service_type, r.source_month): r.trips for r in slice_counts(b, "trips").collect()}
+    assert sum(counts.values()) == 6000 and len(counts) == b.select("service_type", "source_month").distinct().count()
