@@ -10,7 +10,8 @@ def pivot_counts(df: DataFrame, index, column: str, value: str, values=None) ->
     """One row per ``index``, one column per value of ``column``.
 
     With ``values`` the pivot needs no extra job; without them Spark finds the
-    distinct values first (bounded by spark.sql.pivotMaxValues)."""
+    distinct values first (bounded by spark.sql.pivotMaxValues), which runs
+    ``df`` once more, so pass a materialized (checkpointed) ``df`` then."""
     idx = index if isinstance(index, (list, tuple)) else [index]
     g = df.groupBy(*idx)
     g = g.pivot(column, list(values)) if values is not None else g.pivot(column)

@@ -244,7 +244,9 @@ def _impute_median(r: Run) -> DataFrame:
 
 
 def _pivot_month_borough(r: Run) -> DataFrame:
-    return pivot_counts(Q.q05(r.t, r.p), "month", "borough", "total_trips")
+    # the columns are the boroughs present in q05; checkpoint the (small)
+    # result so finding them does not compute q05 a second time
+    return pivot_counts(Q.q05(r.t, r.p).checkpoint(eager=True), "month", "borough", "total_trips")
 
 
 def _pivot_dow_hour(r: Run) -> DataFrame:
