@@ -41,3 +41,17 @@ def test_clustered_fact_write(spark, scratch):
     assert out.count() == 3417
     months = out.select("pickup_month").distinct().count()
     assert months == r.gold.fact.select("pickup_month").distinct().count()
+
+
+def test_pipeline_cli(spark, scratch):
+    t = fixture.load_tables(spark, SF001)
+    raw = fixture.raw_trips(t).where(F.col("source_month").between("1997-01", "1997-12"))
+    fixture.write_landing(raw, f"{scratch}/landing")
+    write_csv(fixture.zones_csv_frame(t).coalesce(1), f"{scratch}/zones")
+    pipeline.main(["--landing", f"{scratch}/landing", "--zones", f"{scratch}/zones", "--out", f"{scratch}/out",
+                   "--start", "1997-01", "--end", "1997-12", "--year", "1997", "--min-date", "1996-01-01"])
+    q01 = spark.read.parquet(f"{scratch}/out/reports/q01")
+    silver_1997 = spark.read.parquet(f"{scratch}/out/gold/fct_trips").count()
+    assert q01.agg(F.sum("total_trips")).first()[0] == silver_1997
+    cov = spark.read.parquet(f"{scratch}/out/reports/coverage")
+    assert cov.count() == 24 and cov.agg(F.sum("bronze_rows")).first()[0] == raw.count()
