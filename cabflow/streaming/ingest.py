@@ -1,10 +1,11 @@
 """ST1: process newly arrived slice files once, safely rerunnable.
 
-A Structured Streaming file source over the landing folders remembers, in
-its checkpoint, which files it has seen.  Each micro-batch only tells which
-(service, month) slices received files; the batch function then re-reads
-those slices whole from their raw folders (each with its own footer schema)
-and replaces them in bronze with a dynamic partition overwrite.  So a slice
+A Structured Streaming ``binaryFile`` source over the landing folders
+remembers, in its checkpoint, which files it has seen.  Each micro-batch only
+tells which (service, month) slices received files; the batch function then
+re-reads those slices whole from their raw folders (``read_trips``: merged
+where footers agree, a drifted slice on its own footer schema) and replaces
+them in bronze with a dynamic partition overwrite.  So a slice
 spread over several micro-batches, a redelivered slice (new file names,
 newest delivery wins) and a run with nothing new all leave the bronze counts
 right.  Trips have no natural key, so rows are never de-duplicated.
