@@ -73,6 +73,13 @@ def main():
         lines.append(f"| `{k}` | {c['exchanges']} | {c['bhj']} | {c['smj']} | {'yes' if c['topk'] else ''} | "
                      f"{'yes' if c['wgl'] else ''} | {'yes' if c['pruned'] else ''} | {c['fact_cols']} |")
     text = "\n".join(lines)
+    for k in ("(build) fct_trips", "q05", "pruned_count"):
+        df = jobs[k]
+        tree = df._jdf.queryExecution().executedPlan().treeString()
+        tree = re.sub(r"file:[^\],]*/(gold|bronze|zones)/", r"\1/", tree)
+        tree = re.sub(r"#\d+L?", "", tree)
+        tree = "\n".join(line[:220] for line in tree.splitlines())
+        text += f"\n\n### `{k}` physical plan\n\n```\n{tree}\n```"
     if out:
         with open(out, "w") as fh:
             fh.write(text + "\n")
