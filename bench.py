@@ -31,6 +31,14 @@ from cabflow.sources.generators import slice_grid_from  # noqa: E402
 from cabflow.sources.trips import read_trips  # noqa: E402
 
 
+def _sf_number(sf_dir: str):
+    tag = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(tag)
+    except ValueError:
+        return tag
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -93,7 +101,7 @@ def main() -> None:
         "fact_rows": fact_rows,
         "pruned_month_rows": month_rows,
         "pruned_rows_per_sec": round(month_rows / pruned, 1) if pruned else None,
-        "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
+        "sf": _sf_number(sf_dir),
         "cpus": cpus,
         "repeat": repeat,
     }))

@@ -1,6 +1,6 @@
 """The whole medallion flow over real monthly slice files.
 
-    python -m cabflow.plans.pipeline --landing DIR --zones ZONES.csv --out DIR \
+    python -m cabflow.plans.medallion --landing DIR --zones ZONES.csv --out DIR \
         --start 2022-01 --end 2025-11 [--year 2024] [--min-date 2022-01-01]
 
 1. ingest: every (service, month) slice of the grid -> bronze, replaced per
@@ -129,7 +129,7 @@ def main(argv=None) -> None:
     ap.add_argument("--year", type=int, default=Params.year)
     ap.add_argument("--min-date", type=date.fromisoformat, default=Params.min_date)
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("cabflow-pipeline").getOrCreate()
+    spark = SparkSession.builder.appName("cabflow-medallion").getOrCreate()
     params = Params(min_date=a.min_date, year=a.year)
     reports = run(spark, a.landing, a.zones, a.out, a.start, a.end, params)
     reports["dq_silver"].show(50, truncate=False)

@@ -51,7 +51,7 @@ def test_passenger_csv_demo(spark, scratch):
     import pytest
 
     from cabflow.operators.quality import assert_defined
-    from cabflow.plans.pipeline import fill_missing_csv
+    from cabflow.plans.medallion import fill_missing_csv
     from cabflow.sinks.writers import write_csv
     rows = [(1, 22.0, 7.25, None, 3), (2, None, 71.28, 0, 1), (3, 26.0, None, 0, 3), (4, 35.0, 53.1, 1, None)]
     src = spark.createDataFrame(rows, "PassengerId int, Age double, Fare double, Parch int, Pclass int")

@@ -5,18 +5,18 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from cabflow.params import FIXTURE_PARAMS as P
-from cabflow.plans import pipeline
+from cabflow.plans import medallion
 from cabflow.sinks.writers import write_csv
 from cabflow.sources import fixture
 from tests.conftest import SF001
 
 
-def test_pipeline_run_over_slice_files(spark, scratch):
+def test_medallion_run_over_slice_files(spark, scratch):
     t = fixture.load_tables(spark, SF001)
     raw = fixture.raw_trips(t)
     fixture.write_landing(raw, f"{scratch}/landing")
     write_csv(fixture.zones_csv_frame(t).coalesce(1), f"{scratch}/zones")
-    reports = pipeline.run(spark, f"{scratch}/landing", f"{scratch}/zones", f"{scratch}/out",
+    reports = medallion.run(spark, f"{scratch}/landing", f"{scratch}/zones", f"{scratch}/out",
                            date(1995, 1, 1), date(2001, 12, 1), P)
     cov = reports["coverage"]
     agg = cov.agg(F.sum("bronze_rows").alias("b"), F.sum("silver_rows").alias("s"),
@@ -29,7 +29,7 @@ def test_pipeline_run_over_slice_files(spark, scratch):
     rel = {r.test: r.failures for r in reports["dq_relationships"].collect()}
     assert all(v == 0 for v in rel.values())
     # rerun: slices are replaced, not appended
-    pipeline.ingest(spark, f"{scratch}/landing", f"{scratch}/out/bronze", date(1995, 1, 1), date(2001, 12, 1), P)
+    medallion.ingest(spark, f"{scratch}/landing", f"{scratch}/out/bronze", date(1995, 1, 1), date(2001, 12, 1), P)
     assert spark.read.parquet(f"{scratch}/out/bronze").count() == raw.count()
 
 
@@ -43,12 +43,12 @@ def test_clustered_fact_write(spark, scratch):
     assert months == r.gold.fact.select("pickup_month").distinct().count()
 
 
-def test_pipeline_cli(spark, scratch):
+def test_medallion_cli(spark, scratch):
     t = fixture.load_tables(spark, SF001)
     raw = fixture.raw_trips(t).where(F.col("source_month").between("1997-01", "1997-12"))
     fixture.write_landing(raw, f"{scratch}/landing")
     write_csv(fixture.zones_csv_frame(t).coalesce(1), f"{scratch}/zones")
-    pipeline.main(["--landing", f"{scratch}/landing", "--zones", f"{scratch}/zones", "--out", f"{scratch}/out",
+    medallion.main(["--landing", f"{scratch}/landing", "--zones", f"{scratch}/zones", "--out", f"{scratch}/out",
                    "--start", "1997-01", "--end", "1997-12", "--year", "1997", "--min-date", "1996-01-01"])
     q01 = spark.read.parquet(f"{scratch}/out/reports/q01")
     silver_1997 = spark.read.parquet(f"{scratch}/out/gold/fct_trips").count()

@@ -22,7 +22,7 @@ from cabflow.operators.silver import reject_reasons  # noqa: E402
 from cabflow.params import FIXTURE_PARAMS as P  # noqa: E402
 from cabflow.plans import questions as Q  # noqa: E402
 from cabflow.plans.gold import build_gold  # noqa: E402
-from cabflow.plans.pipeline import quality_reports  # noqa: E402
+from cabflow.plans.medallion import quality_reports  # noqa: E402
 from cabflow.session import local_session  # noqa: E402
 from cabflow.sources import fixture  # noqa: E402
 from cabflow.sources.generators import slice_grid_from  # noqa: E402
