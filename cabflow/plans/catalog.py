@@ -4,7 +4,8 @@ Every callable takes (spark, sf_dir) and returns a DataFrame computed from
 the test tables in ``sf_dir`` through the fixture adapter (test tables ->
 raw trips and zones), i.e. from data Spark derives from the given tables.
 Output columns are normalized for comparison with the SQL oracle: integral
-columns as bigint, decimals as double (correctly rounded in both engines).
+columns as bigint, decimals as double (correctly rounded in both engines),
+dates as 'YYYY-MM-DD' text.
 Means are computed exactly (see ``questions.exact_mean``), so doubles are
 compared bit for bit; only interpolated percentiles, whose formula differs
 between engines in the last bit, are rounded to 6 places.
@@ -52,6 +53,8 @@ def normalize(df: DataFrame, round6=()) -> DataFrame:
             c = c.cast("long")
         elif isinstance(t, (T.DecimalType, T.FloatType)):
             c = c.cast("double")
+        elif isinstance(t, T.DateType):
+            c = F.date_format(c, "yyyy-MM-dd")   # engines hand dates to Python differently
         if f.name in round6:
             c = F.round(c.cast("double"), 6)
         cols.append(c.alias(f.name))

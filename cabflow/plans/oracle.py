@@ -2,7 +2,7 @@
 
 Written from the reference's SQL (bronze/silver/gold models and the
 questions) over the raw test tables, not from Spark output.  Casts mirror
-``catalog.normalize``: integral -> BIGINT, decimals -> DOUBLE.  Means use
+``catalog.normalize``: integral -> BIGINT, decimals -> DOUBLE, dates -> text.  Means use
 the same exact fixed-point definition as ``questions.exact_mean``, so they
 are equal bit for bit; interpolated percentiles are rounded to 6 places.
 """
@@ -256,12 +256,13 @@ BRONZE_T = [("vendor_id", I), ("pickup_ts", X), ("dropff_ts", X), ("passengers_c
             ("trip_duration_minutes", D)]
 SILVER_T = BRONZE_T + [("pickup_location_name", X), ("dropoff_location_name", X),
                        ("pickup_borough", X), ("dropoff_borough", X)]
-FACT_T = ([("pickup_date", X)] + [(k, I) for k in (
+DT = "date"
+FACT_T = ([("pickup_date", DT)] + [(k, I) for k in (
     "pickup_date_key", "dropoff_date_key", "pickup_time_key", "dropoff_time_key",
     "pickup_location_key", "dropoff_location_key", "payment_type_key", "vendor_key",
     "ratecode_key")] + [("service_type_key", X), ("passengers_count", I)]
     + [(m, M) for m in ("trip_distance", "fare_amount", "tip_amount", "tolls_amount", "total_amount")]
-    + [("trip_duration_minutes", I), ("pickup_month", X)])
+    + [("trip_duration_minutes", I), ("pickup_month", DT)])
 RAW_T = [("vendorid", I), ("tpep_pickup_datetime", X), ("tpep_dropoff_datetime", X),
          ("passenger_count", D), ("trip_distance", D), ("ratecodeid", D), ("pulocationid", I),
          ("dolocationid", I), ("payment_type", D), ("fare_amount", D), ("tip_amount", D),
@@ -278,6 +279,8 @@ def _norm(cols, src: str = "") -> str:
             out.append(f"{_r2(ref)} AS {name}")
         elif kind == D:
             out.append(f"{_r6(ref)} AS {name}")
+        elif kind == "date":
+            out.append(f"strftime({ref}, '%Y-%m-%d') AS {name}")
         else:
             out.append(f"{ref} AS {name}")
     return ", ".join(out)
@@ -374,7 +377,7 @@ def _q(name: str) -> str:
 
 LAYER_SQL = {
     "scan_trips": _w(f"""SELECT {_norm(RAW_T)}, ingest_ts,
-       CASE WHEN service_type = 'yellow' AND source_month = '1996-06' THEN 1.75 END AS airport_fee
+       CASE WHEN service_type = 'yellow' AND source_month = '1996-06' THEN CAST(1.75 AS DOUBLE) END AS airport_fee
 FROM raw""", f"{TRIPS},\n{RAW}"),
     "scan_zones": _w("SELECT CAST(location_id AS BIGINT) AS location_id, borough, zone_name, service_zone FROM zones",
                      TRIPS),
@@ -388,7 +391,8 @@ FROM raw""", f"{TRIPS},\n{RAW}"),
                                          "flagged", "rule", "rejected"), f"{TRIPS},\n{FLAGGED}"),
     "reject_first_reason": _w(f"SELECT {_first_reason()} AS first_reason, COUNT(*) AS trips "
                               "FROM flagged GROUP BY 1", f"{TRIPS},\n{FLAGGED}"),
-    "dim_date": _w("SELECT CAST(date_key AS BIGINT) AS date_key, full_date, CAST(year AS BIGINT) AS year, "
+    "dim_date": _w("SELECT CAST(date_key AS BIGINT) AS date_key, strftime(full_date, '%Y-%m-%d') AS full_date, "
+                   "CAST(year AS BIGINT) AS year, "
                    "CAST(month AS BIGINT) AS month, CAST(day AS BIGINT) AS day, "
                    "CAST(day_of_week AS BIGINT) AS day_of_week, CAST(week_of_year AS BIGINT) AS week_of_year, "
                    "CAST(quarter AS BIGINT) AS quarter FROM dim_date"),
@@ -415,7 +419,8 @@ FROM raw""", f"{TRIPS},\n{RAW}"),
                                   "UNION ALL SELECT 'fact', COUNT(*) FROM fct_trips"),
     "slice_grid": _w("SELECT service_type, year, month, source_month FROM grid", f"{TRIPS},\n{_grid('bronze')}"),
     "month_partitions": _w("""SELECT 'fct_trips_' || strftime(m, '%Y_%m') AS partition_name,
-       CAST(m AS DATE) AS range_start, CAST(m + INTERVAL 1 MONTH AS DATE) AS range_end
+       strftime(CAST(m AS DATE), '%Y-%m-%d') AS range_start,
+       strftime(CAST(m + INTERVAL 1 MONTH AS DATE), '%Y-%m-%d') AS range_end
 FROM (SELECT unnest(generate_series(date_trunc('month', min(pickup_date)), date_trunc('month', max(pickup_date)),
                                     INTERVAL 1 MONTH)) AS m FROM fct_trips)"""),
     "coverage": _w(f"""SELECT service_type, source_month,

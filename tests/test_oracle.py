@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF001
-from tools.compare import TABLES, digest
+from tools.compare import SPARK_TO_DUCK, TABLES, digest
 
 KEYS = ["q01", "q05", "q06", "q13", "q14", "q17_ref", "q18", "q19", "q20", "silver_trips", "fct_trips",
         "dim_date", "coverage", "reject_reasons", "dq_relationships", "impute_median", "pivot_dow_hour",
@@ -40,6 +40,8 @@ def test_matches_duckdb(spark, con, key):
     h1, c1, _ = digest(df.columns, rows)
     h2, c2, _ = digest(ocols, orows)
     assert c1 == c2
+    otypes = {d[0]: str(d[1]) for d in res.description}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == otypes
     assert len(rows) == len(orows)
     assert h1 == h2
 
