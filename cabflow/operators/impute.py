@@ -20,29 +20,32 @@ def _in_bracket(c: str, st: dict) -> Column:
     x = F.col(c)
     cond = x.isNotNull()
     if st["lo"] is not None:
-        cond = cond & (x >= F.lit(st["lo"]))
+        cond = cond & ((x >= F.lit(st["lo"])) if st["lo_incl"] else (x > F.lit(st["lo"])))
     if st["hi"] is not None:
-        cond = cond & (x <= F.lit(st["hi"]))
+        cond = cond & ((x <= F.lit(st["hi"])) if st["hi_incl"] else (x < F.lit(st["hi"])))
     return cond
 
 
 def upper_medians(df: DataFrame, cols, *, accuracy: int = 10_000, exact_rows: int = 20_000,
-                  max_rounds: int = 32) -> dict:
-    """Exact upper median of every column in ``cols`` (None when all NULL)."""
+                  max_rounds: int = 64) -> dict:
+    """Exact upper median of every column in ``cols`` (None when all NULL).
+
+    Each round, ``percentile_approx`` proposes pivots a <= b around the
+    target rank inside the current bracket, and one counting pass gives the
+    rows below a, up to a, below b and up to b.  The target is then a, b, or
+    lies strictly below a, strictly between them, or strictly above b; every
+    non-final case drops at least the rows equal to a pivot (a value present
+    in the bracket), so the bracket always shrinks and the search ends.
+    """
     counts = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first().asDict()
     out = {c: None for c in cols}
-    # Bracket [lo, hi] (inclusive); ``below`` rows are < lo; ``m`` rows inside.
-    state = {c: {"k": n // 2, "lo": None, "hi": None, "below": 0, "m": n}
-             for c, n in counts.items() if n}
+    # Bracket of values (bounds inclusive or not); ``below`` rows lie under
+    # it, ``m`` rows inside it; ``k`` is the 0-based rank sought.
+    state = {c: {"k": n // 2, "lo": None, "lo_incl": True, "hi": None, "hi_incl": True,
+                 "below": 0, "m": n} for c, n in counts.items() if n}
     for _ in range(max_rounds):
-        if not state:
-            break
-        for c in [c for c, st in state.items() if st["m"] <= exact_rows or
-                  (st["lo"] is not None and st["lo"] == st["hi"])]:
+        for c in [c for c, st in state.items() if st["m"] <= exact_rows]:
             st = state.pop(c)
-            if st["lo"] is not None and st["lo"] == st["hi"]:
-                out[c] = st["lo"]
-                continue
             # At most ``exact_rows`` (value, count) pairs: a bounded result.
             pairs = (df.where(_in_bracket(c, st)).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
                      .orderBy(c).collect())
@@ -53,7 +56,7 @@ def upper_medians(df: DataFrame, cols, *, accuracy: int = 10_000, exact_rows: in
                     out[c] = v
                     break
         if not state:
-            break
+            return out
         cols_now = list(state)
         pivots = []
         for c in cols_now:
@@ -65,29 +68,33 @@ def upper_medians(df: DataFrame, cols, *, accuracy: int = 10_000, exact_rows: in
         piv = df.agg(*pivots).first().asDict()
         checks = []
         for c in cols_now:
-            st = state[c]
-            lo_v, hi_v = piv[c]
-            inb = _in_bracket(c, st)
-            checks += [F.count_if(inb & (F.col(c) < F.lit(lo_v))).alias(f"{c}__lt"),
-                       F.count_if(inb & (F.col(c) <= F.lit(hi_v))).alias(f"{c}__le")]
+            a, b = piv[c]
+            x, inb = F.col(c), _in_bracket(c, state[c])
+            checks += [F.count_if(inb & (x < F.lit(a))).alias(f"{c}__lt_a"),
+                       F.count_if(inb & (x <= F.lit(a))).alias(f"{c}__le_a"),
+                       F.count_if(inb & (x < F.lit(b))).alias(f"{c}__lt_b"),
+                       F.count_if(inb & (x <= F.lit(b))).alias(f"{c}__le_b")]
         cnt = df.agg(*checks).first().asDict()
         for c in cols_now:
             st = state[c]
-            lo_v, hi_v = piv[c]
-            lt, le = cnt[f"{c}__lt"], cnt[f"{c}__le"]
+            a, b = piv[c]
+            lt_a, le_a, lt_b, le_b = (cnt[f"{c}__{s}"] for s in ("lt_a", "le_a", "lt_b", "le_b"))
             r = st["k"] - st["below"]
-            if lt <= r < le:
-                st.update(lo=lo_v, hi=hi_v, below=st["below"] + lt, m=le - lt)
-            elif r < lt:   # sketch overshot: keep the lower part
-                st.update(hi=lo_v, m=lt)
-            else:          # undershot: keep the upper part
-                st.update(lo=hi_v, below=st["below"] + le, m=st["m"] - le)
-                # rows equal to hi_v were counted in ``le``; re-include them
-                eq = df.where(_in_bracket(c, {"lo": hi_v, "hi": hi_v})).count()
-                st.update(below=st["below"] - eq, m=st["m"] + eq)
-    if state:
-        raise RuntimeError(f"median search did not converge for {sorted(state)}")
-    return out
+            if r < lt_a:
+                st.update(hi=a, hi_incl=False, m=lt_a)
+            elif r < le_a:
+                out[c] = a
+                del state[c]
+            elif r < lt_b:
+                st.update(lo=a, lo_incl=False, hi=b, hi_incl=False, below=st["below"] + le_a, m=lt_b - le_a)
+            elif r < le_b:
+                out[c] = b
+                del state[c]
+            else:
+                st.update(lo=b, lo_incl=False, below=st["below"] + le_b, m=st["m"] - le_b)
+        if not state:
+            return out
+    raise RuntimeError(f"median search did not converge for {sorted(state)}")
 
 
 def select_numeric(df: DataFrame, cols) -> DataFrame:

@@ -62,3 +62,12 @@ def test_passenger_csv_demo(spark, scratch):
     assert got == sorted([(22.0, 7.25, 0, 3), (26.0, 71.28, 0, 1), (26.0, 53.1, 0, 3), (35.0, 53.1, 1, 3)])
     with pytest.raises(AssertionError):
         assert_defined(src.limit(0), "empty")
+
+
+def test_two_valued_column_at_the_boundary(spark):
+    # index n // 2 = 50000 is the first 1: the pivots straddle the whole
+    # bracket, which must still shrink (the rows equal to a pivot drop out)
+    df = spark.range(100_001).select(F.when(F.col("id") < 50_000, 0).otherwise(1).alias("s"))
+    assert upper_medians(df, ["s"]) == {"s": 1}
+    df2 = spark.range(100_001).select(F.when(F.col("id") <= 50_000, 0).otherwise(1).alias("s"))
+    assert upper_medians(df2, ["s"]) == {"s": 0}
