@@ -36,3 +36,60 @@ def test_pickup_range_equals_plain_date_filter(spark, lo_off, hi_off, closed):
     got = sorted(r[0] for r in df.where(pickup_range(lo, hi, closed=closed)).collect())
     want = [x for x in days if (lo is None or x >= lo) and (hi is None or (x <= hi if closed else x < hi))]
     assert got == want
+
+
+@st.composite
+def _trip_rows(draw):
+    from datetime import datetime
+
+    from tests.helpers import trip
+    rows = []
+    for _ in range(draw(st.integers(1, 25))):
+        pick = draw(st.one_of(st.none(), st.integers(0, 60 * 24 * 50).map(
+            lambda m: datetime(2021, 12, 20) + timedelta(minutes=m))))
+        drop = draw(st.one_of(st.none(), st.integers(-30, 90))) if pick else draw(st.none())
+        drop = pick + timedelta(minutes=drop) if (pick and drop is not None) else None
+        month = draw(st.sampled_from([None, "2021-12", "2022-01", "2022-02", "auto"]))
+        month = (pick.strftime("%Y-%m") if pick else "2022-01") if month == "auto" else month
+        rows.append(trip(
+            pick, drop, month=month,
+            vendor=draw(st.one_of(st.none(), st.integers(0, 3))),
+            pax=draw(st.one_of(st.none(), st.integers(-3, 15))),
+            dist=draw(st.one_of(st.none(), st.sampled_from(["-1.00", "0.00", "2.50"]))),
+            pu=draw(st.sampled_from([None, 1, 2, 3, 99])), do=draw(st.sampled_from([None, 1, 2, 3, 98])),
+            pay=draw(st.one_of(st.none(), st.integers(1, 6))),
+            total=draw(st.one_of(st.none(), st.sampled_from(["-3.00", "0.00", "12.50"])))))
+    return rows
+
+
+def _py_silver(rows, zones, min_dt):
+    zmap = {z[0]: (z[2], z[1]) for z in zones}
+    out = []
+    for (vendor, pick, drop, pax, dist, pu, do, rate, pay, fare, tip, tolls, total, svc, month, ing, dur) in rows:
+        if any(v is None for v in (pick, drop, dist, pu, do, total, svc, month, ing, dur)):
+            continue
+        if not (pick <= drop and dist >= 0 and total >= 0 and pick >= min_dt and drop >= min_dt):
+            continue
+        if pick.strftime("%Y-%m") != month or pu not in zmap or do not in zmap:
+            continue
+        pax2 = 0 if pax is None or pax < 0 else min(pax, 10)
+        out.append((0 if vendor is None else vendor, pick, drop, pax2, 0 if pay is None else pay,
+                    zmap[pu][0], zmap[do][0], zmap[pu][1]))
+    return sorted(out, key=repr)
+
+
+@SETTINGS
+@given(_trip_rows())
+def test_silver_equals_plain_python_rules(spark, rows):
+    from datetime import datetime
+
+    from cabflow.operators.silver import silver_trips
+    from cabflow.params import Params
+    from tests.helpers import BRONZE_SCHEMA, ZONE_SCHEMA, ZONES
+    p = Params(min_date=date(2022, 1, 1))
+    b = spark.createDataFrame(rows, BRONZE_SCHEMA)
+    z = spark.createDataFrame(ZONES, ZONE_SCHEMA)
+    got = sorted(((r.vendor_id, r.pickup_ts, r.dropff_ts, r.passengers_count, r.payment_type,
+                   r.pickup_location_name, r.dropoff_location_name, r.pickup_borough)
+                  for r in silver_trips(b, z, p).collect()), key=repr)
+    assert got == _py_silver(rows, ZONES, datetime(2022, 1, 1))
