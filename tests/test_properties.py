@@ -93,3 +93,42 @@ def test_silver_equals_plain_python_rules(spark, rows):
                    r.pickup_location_name, r.dropoff_location_name, r.pickup_borough)
                   for r in silver_trips(b, z, p).collect()), key=repr)
     assert got == _py_silver(rows, ZONES, datetime(2022, 1, 1))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1, 3), st.integers(0, 9), st.integers(0, 6)), min_size=1, max_size=60),
+       st.integers(1, 4))
+def test_top_n_per_group_equals_pandas_min_rank(spark, rows, n):
+    import pandas as pd
+
+    from cabflow.operators.topk import top_n_per_group
+    # one row per (group, item), as after an aggregate
+    uniq = {(g, i): c for g, i, c in rows}
+    data = [(g, i, c) for (g, i), c in uniq.items()]
+    df = spark.createDataFrame(data, "g int, item int, total long")
+    got = sorted((r.g, r.item, r.total, r.rnk) for r in top_n_per_group(df, "g", F.desc("total"), n).collect())
+    pdf = pd.DataFrame(data, columns=["g", "item", "total"])
+    pdf["rnk"] = pdf.groupby("g")["total"].rank(method="min", ascending=False).astype(int)
+    want = sorted(tuple(int(v) for v in t) for t in pdf[pdf.rnk <= n].itertuples(index=False, name=None))
+    assert got == want
+
+
+@SETTINGS
+@given(_trip_rows())
+def test_dimension_pass_equals_python_sets(spark, rows):
+    from cabflow.operators.dims import data_dims
+    from cabflow.operators.silver import silver_trips
+    from cabflow.params import Params
+    from tests.helpers import BRONZE_SCHEMA, ZONE_SCHEMA, ZONES
+    p = Params(min_date=date(2022, 1, 1))
+    s = silver_trips(spark.createDataFrame(rows, BRONZE_SCHEMA), spark.createDataFrame(ZONES, ZONE_SCHEMA), p)
+    srows = s.collect()
+    dims = data_dims(s, p)
+    days = {r.pickup_ts.date() for r in srows} | {r.dropff_ts.date() for r in srows}
+    mins = {(t.hour, t.minute) for r in srows for t in (r.pickup_ts, r.dropff_ts)}
+    zones = ({(r.pickup_location, r.pickup_location_name, r.pickup_borough) for r in srows}
+             | {(r.dropff_location, r.dropoff_location_name, r.dropoff_borough) for r in srows})
+    assert {r.full_date for r in dims["dim_date"].collect()} == days
+    assert {(r.hour, r.minute) for r in dims["dim_time"].collect()} == mins
+    assert {(r.zone_key, r.zone_name, r.borough) for r in dims["dim_zone"].collect()} == zones
+    assert {r.service_type for r in dims["dim_service_type"].collect()} == {r.service_type for r in srows}
