@@ -132,3 +132,39 @@ def test_dimension_pass_equals_python_sets(spark, rows):
     assert {(r.hour, r.minute) for r in dims["dim_time"].collect()} == mins
     assert {(r.zone_key, r.zone_name, r.borough) for r in dims["dim_zone"].collect()} == zones
     assert {r.service_type for r in dims["dim_service_type"].collect()} == {r.service_type for r in srows}
+
+
+@SETTINGS
+@given(_trip_rows())
+def test_fact_keys_equal_python_derivation(spark, rows):
+    import math
+
+    from cabflow.operators.dims import data_dims
+    from cabflow.operators.fact import fct_trips
+    from cabflow.operators.silver import silver_trips
+    from cabflow.params import Params
+    from cabflow.schemas import STATIC_DIMS
+    from cabflow.sources.generators import static_dim
+    from tests.helpers import BRONZE_SCHEMA, ZONE_SCHEMA, ZONES
+    p = Params(min_date=date(2022, 1, 1))
+    s = silver_trips(spark.createDataFrame(rows, BRONZE_SCHEMA), spark.createDataFrame(ZONES, ZONE_SCHEMA), p)
+    dims = data_dims(s, p)
+    for name in STATIC_DIMS:
+        dims[name] = static_dim(spark, name)
+    fact = fct_trips(s, dims, p)
+
+    def half_away(x):
+        return int(math.floor(x + 0.5)) if x >= 0 else -int(math.floor(-x + 0.5))
+
+    want = sorted((
+        int(r.pickup_ts.strftime("%Y%m%d")), int(r.dropff_ts.strftime("%Y%m%d")),
+        r.pickup_ts.hour * 100 + r.pickup_ts.minute, r.dropff_ts.hour * 100 + r.dropff_ts.minute,
+        r.pickup_location, r.dropff_location,
+        r.payment_type if 1 <= r.payment_type <= 6 else None,
+        r.vendor_id if 1 <= r.vendor_id <= 2 else None,
+        r.ratecode_id if 1 <= r.ratecode_id <= 6 else None,
+        r.service_type, half_away(r.trip_duration_minutes)) for r in s.collect()), key=repr)
+    got = sorted((r.pickup_date_key, r.dropoff_date_key, r.pickup_time_key, r.dropoff_time_key,
+                  r.pickup_location_key, r.dropoff_location_key, r.payment_type_key, r.vendor_key,
+                  r.ratecode_key, r.service_type_key, r.trip_duration_minutes) for r in fact.collect()), key=repr)
+    assert got == want
