@@ -156,15 +156,15 @@ def test_fact_keys_equal_python_derivation(spark, rows):
     def half_away(x):
         return int(math.floor(x + 0.5)) if x >= 0 else -int(math.floor(-x + 0.5))
 
-    want = sorted((
+    want = sorted([(
         int(r.pickup_ts.strftime("%Y%m%d")), int(r.dropff_ts.strftime("%Y%m%d")),
         r.pickup_ts.hour * 100 + r.pickup_ts.minute, r.dropff_ts.hour * 100 + r.dropff_ts.minute,
         r.pickup_location, r.dropff_location,
         r.payment_type if 1 <= r.payment_type <= 6 else None,
         r.vendor_id if 1 <= r.vendor_id <= 2 else None,
         r.ratecode_id if 1 <= r.ratecode_id <= 6 else None,
-        r.service_type, half_away(r.trip_duration_minutes)) for r in s.collect()), key=repr)
-    got = sorted((r.pickup_date_key, r.dropoff_date_key, r.pickup_time_key, r.dropoff_time_key,
+        r.service_type, half_away(r.trip_duration_minutes)) for r in s.collect()], key=repr)
+    got = sorted([(r.pickup_date_key, r.dropoff_date_key, r.pickup_time_key, r.dropoff_time_key,
                   r.pickup_location_key, r.dropoff_location_key, r.payment_type_key, r.vendor_key,
-                  r.ratecode_key, r.service_type_key, r.trip_duration_minutes) for r in fact.collect()), key=repr)
+                  r.ratecode_key, r.service_type_key, r.trip_duration_minutes) for r in fact.collect()], key=repr)
     assert got == want
