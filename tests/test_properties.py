@@ -168,3 +168,30 @@ def test_fact_keys_equal_python_derivation(spark, rows):
                   r.pickup_location_key, r.dropoff_location_key, r.payment_type_key, r.vendor_key,
                   r.ratecode_key, r.service_type_key, r.trip_duration_minutes) for r in fact.collect()], key=repr)
     assert got == want
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.tuples(st.sampled_from(["yellow", "green"]),
+                                   st.sampled_from(["2024-01", "2024-02", "2024-03"]),
+                                   st.integers(1, 4)), min_size=1, max_size=4), min_size=1, max_size=4))
+def test_replace_slice_keeps_the_latest_delivery_of_each_slice(spark, deliveries):
+    import tempfile
+
+    from cabflow.sinks.writers import replace_slice
+    path = tempfile.mkdtemp(prefix="cabflow-prop-", dir="/tmp") + "/bronze"
+    latest = {}
+    for version, batch in enumerate(deliveries):
+        rows = []
+        for svc, month, n in batch:
+            # a slice appears once per delivery with n rows tagged by the delivery
+            if (svc, month) in {(r[0], r[1]) for r in rows}:
+                continue
+            rows += [(svc, month, version, i) for i in range(n)]
+            latest[(svc, month)] = (version, n)
+        replace_slice(spark.createDataFrame(rows, "service_type string, source_month string, v int, i int"), path)
+    got = {}
+    for r in spark.read.parquet(path).groupBy("service_type", "source_month").agg(
+            F.countDistinct("v").alias("versions"), F.max("v").alias("v"), F.count(F.lit(1)).alias("n")).collect():
+        assert r.versions == 1
+        got[(r.service_type, r.source_month)] = (r.v, r.n)
+    assert got == latest
