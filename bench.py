@@ -42,7 +42,7 @@ def _sf_number(sf_dir: str):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     work = tempfile.mkdtemp(prefix="cabflow-bench-", dir=os.environ.get("BENCH_WORK", "/tmp"))
     n = int(cpus) if cpus.isdigit() else os.cpu_count()
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * n), app="cabflow-bench")
