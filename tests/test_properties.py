@@ -195,3 +195,53 @@ def test_replace_slice_keeps_the_latest_delivery_of_each_slice(spark, deliveries
         assert r.versions == 1
         got[(r.service_type, r.source_month)] = (r.v, r.n)
     assert got == latest
+
+
+def _py_rule_failures(row, zone_ids, min_dt):
+    """Names of the silver rules a bronze row fails, in report order; a rule
+    whose inputs are NULL counts as failed."""
+    (vendor, pick, drop, pax, dist, pu, do, rate, pay, fare, tip, tolls, total, svc, month, ing, dur) = row
+    named = dict(pickup_ts=pick, dropff_ts=drop, trip_distance=dist, pickup_location=pu, dropff_location=do,
+                 total_amount=total, service_type=svc, source_month=month, ingest_ts=ing,
+                 trip_duration_minutes=dur)
+    fails = [f"null_{k}" for k, v in named.items() if v is None]
+
+    def ok(cond, *vals):
+        return all(v is not None for v in vals) and cond()
+    if not ok(lambda: pick <= drop, pick, drop):
+        fails.append("pickup_after_dropoff")
+    if not ok(lambda: dist >= 0, dist):
+        fails.append("negative_distance")
+    if not ok(lambda: total >= 0, total):
+        fails.append("negative_total")
+    if not ok(lambda: pick >= min_dt, pick):
+        fails.append("pickup_before_min_date")
+    if not ok(lambda: drop >= min_dt, drop):
+        fails.append("dropoff_before_min_date")
+    if not ok(lambda: pick.strftime("%Y-%m") == month, pick, month):
+        fails.append("wrong_source_month")
+    if pu not in zone_ids:
+        fails.append("unknown_pickup_zone")
+    if do not in zone_ids:
+        fails.append("unknown_dropoff_zone")
+    return fails
+
+
+@SETTINGS
+@given(_trip_rows())
+def test_reject_profile_equals_plain_python(spark, rows):
+    from collections import Counter
+    from datetime import datetime
+
+    from cabflow.operators.silver import reject_first_reason, reject_reasons
+    from cabflow.params import Params
+    from tests.helpers import BRONZE_SCHEMA, ZONE_SCHEMA, ZONES
+    p = Params(min_date=date(2022, 1, 1))
+    b, z = spark.createDataFrame(rows, BRONZE_SCHEMA), spark.createDataFrame(ZONES, ZONE_SCHEMA)
+    ids = {zz[0] for zz in ZONES}
+    py = [_py_rule_failures(r, ids, datetime(2022, 1, 1)) for r in rows]
+    counts = Counter(f for fails in py for f in fails)
+    got = {r.rule: r.rejected for r in reject_reasons(b, z, p).collect()}
+    assert {k: v for k, v in got.items() if v} == dict(counts)
+    first = Counter(fails[0] if fails else "kept" for fails in py)
+    assert {r.first_reason: r.trips for r in reject_first_reason(b, z, p).collect()} == dict(first)
