@@ -245,3 +245,31 @@ def test_reject_profile_equals_plain_python(spark, rows):
     assert {k: v for k, v in got.items() if v} == dict(counts)
     first = Counter(fails[0] if fails else "kept" for fails in py)
     assert {r.first_reason: r.trips for r in reject_first_reason(b, z, p).collect()} == dict(first)
+
+
+@SETTINGS
+@given(_trip_rows())
+def test_coverage_equals_python_counts(spark, rows):
+    from collections import Counter
+    from datetime import datetime
+
+    from cabflow.operators.coverage import coverage
+    from cabflow.operators.silver import silver_trips
+    from cabflow.params import Params
+    from cabflow.sources.generators import slice_grid
+    from tests.helpers import BRONZE_SCHEMA, ZONE_SCHEMA, ZONES
+    p = Params(min_date=date(2022, 1, 1))
+    rows = [r for r in rows if r[13] is not None and r[14] is not None]   # slice keys present
+    b = spark.createDataFrame(rows, BRONZE_SCHEMA)
+    s = silver_trips(b, spark.createDataFrame(ZONES, ZONE_SCHEMA), p)
+    grid = slice_grid(spark, date(2021, 12, 1), date(2022, 3, 1), ["yellow", "green"])
+    ids = {zz[0] for zz in ZONES}
+    bronze_n = Counter((r[13], r[14]) for r in rows)
+    silver_n = Counter((r[13], r[14]) for r in rows if not _py_rule_failures(r, ids, datetime(2022, 1, 1)))
+    keys = {(svc, f"{y}-{m:02d}") for svc in ("yellow", "green") for y, m in
+            ((2021, 12), (2022, 1), (2022, 2), (2022, 3))} | set(bronze_n)
+    got = {(r.service_type, r.source_month): (r.bronze_rows, r.silver_rows, r.rejected, r.status)
+           for r in coverage(b, s, grid).collect()}
+    want = {k: (bronze_n[k], silver_n[k], bronze_n[k] - silver_n[k], "ok" if bronze_n[k] else "missing")
+            for k in keys}
+    assert got == want
