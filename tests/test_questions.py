@@ -94,3 +94,43 @@ def test_exact_mean_is_partition_independent(spark):
     assert abs(got.pop() - float(Fraction(sum(nn), len(nn)) / 10**9)) < 1e-9
     empty = df.where(F.col("x").isNull()).agg(exact_mean(F.col("x")).alias("m")).first().m
     assert empty is None
+
+
+def test_means_bit_identical_to_python(spark):
+    from collections import defaultdict
+
+    from cabflow.plans.catalog import Run
+    from cabflow.plans import questions as Q
+    from tests.conftest import SF001
+    r = Run(spark, SF001)
+    t = r.t
+    fact = t["fct_trips"].where(F.col("pickup_date") >= r.p.min_date).collect()
+
+    def trunc_div(a, b):
+        q = abs(a) // abs(b)
+        return q if (a >= 0) == (b > 0) else -q
+
+    # q14: per payment key, mean of tip/fare at 1e-9 (fare 0 drops out), in percent
+    acc = defaultdict(lambda: [0, 0])
+    for x in fact:
+        fare_c, tip_c = int(x.fare_amount * 100), int(x.tip_amount * 100)
+        if fare_c:
+            a = acc[x.payment_type_key]
+            a[0] += trunc_div(tip_c * 10**9, fare_c)
+            a[1] += 1
+    want = {k: float(s) / float(n) / 1e7 for k, (s, n) in acc.items()}
+    got = {row.payment_type_key: row.avg_tip_pct for row in Q.q14(t, r.p).collect()}
+    assert got == want
+
+    # q17_ref: slot = HHMM div 60, mph from whole hours (minutes div 60)
+    zones = {z.zone_key: z.borough for z in t["dim_zone"].collect()}
+    acc = defaultdict(lambda: [0, 0])
+    for x in fact:
+        hours = x.trip_duration_minutes // 60
+        if hours:
+            a = acc[(zones[x.pickup_location_key], x.pickup_time_key // 60)]
+            a[0] += trunc_div(int(x.trip_distance * 100) * 10**7, hours)
+            a[1] += 1
+    want = {k: float(s) / float(n) / 1e9 for k, (s, n) in acc.items()}
+    got = {(row.borough, row.hour_slot): row.avg_speed_mph for row in Q.q17_ref(t, r.p).collect()}
+    assert {k: v for k, v in got.items() if v is not None} == want
