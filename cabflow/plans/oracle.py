@@ -156,11 +156,7 @@ def _round6(x: str) -> str:
     return f"ROUND(CAST({x} AS DOUBLE), 6)"
 
 
-def _r6(x: str) -> str:
-    return f"CAST({x} AS DOUBLE)"
-
-
-def _r2(x: str) -> str:
+def _dbl(x: str) -> str:
     return f"CAST({x} AS DOUBLE)"
 
 
@@ -194,27 +190,27 @@ WHERE {YEAR_F} GROUP BY 1 ORDER BY total_trips DESC, zone_name LIMIT {P.top_k}""
     "q07": """SELECT CAST(d.day_of_week AS BIGINT) AS day_of_week, COUNT(*) AS total_trips
 FROM fct_trips f JOIN dim_date d ON f.pickup_date_key = d.date_key
 GROUP BY d.day_of_week ORDER BY total_trips DESC""",
-    "q08": f"""SELECT CAST(d.month AS BIGINT) AS month, {_r2('SUM(f.total_amount)')} AS total_revenue
+    "q08": f"""SELECT CAST(d.month AS BIGINT) AS month, {_dbl('SUM(f.total_amount)')} AS total_revenue
 FROM fct_trips f JOIN dim_date d ON f.pickup_date_key = d.date_key
 GROUP BY d.month ORDER BY d.month""",
     "q09": f"""SELECT f.service_type_key, CAST(EXTRACT(MONTH FROM f.pickup_date) AS BIGINT) AS month,
-       {_r2('SUM(f.total_amount)')} AS total_revenue
+       {_dbl('SUM(f.total_amount)')} AS total_revenue
 FROM fct_trips f WHERE {YEAR_F} GROUP BY 1, 2 ORDER BY 2""",
-    "q10": f"""SELECT CAST(EXTRACT(MONTH FROM f.pickup_date) AS BIGINT) AS month, {_r6(TIP)} AS avg_tip_pct
+    "q10": f"""SELECT CAST(EXTRACT(MONTH FROM f.pickup_date) AS BIGINT) AS month, {_dbl(TIP)} AS avg_tip_pct
 FROM fct_trips f WHERE {YEAR_F} GROUP BY 1 ORDER BY 1""",
-    "q11": f"""SELECT z.borough, CAST(EXTRACT(MONTH FROM f.pickup_date) AS BIGINT) AS month, {_r6(TIP)} AS avg_tip_pct
+    "q11": f"""SELECT z.borough, CAST(EXTRACT(MONTH FROM f.pickup_date) AS BIGINT) AS month, {_dbl(TIP)} AS avg_tip_pct
 FROM fct_trips f JOIN dim_zone z ON f.pickup_location_key = z.zone_key
 WHERE {YEAR_F} GROUP BY 1, 2 ORDER BY 2""",
-    "q12": f"""SELECT z.zone_name, {_r2('SUM(f.total_amount)')} AS total_revenue
+    "q12": f"""SELECT z.zone_name, {_dbl('SUM(f.total_amount)')} AS total_revenue
 FROM fct_trips f JOIN dim_zone z ON f.pickup_location_key = z.zone_key
 WHERE {SINCE_F} GROUP BY 1 ORDER BY SUM(f.total_amount) DESC, zone_name LIMIT {P.top_k}""",
-    "q13": f"""SELECT zone_name, {_r6('pct')} AS avg_tip_pct FROM (
+    "q13": f"""SELECT zone_name, {_dbl('pct')} AS avg_tip_pct FROM (
   SELECT z.zone_name, {TIP} AS pct
   FROM fct_trips f JOIN dim_zone z ON f.pickup_location_key = z.zone_key
   WHERE {SINCE_F} GROUP BY 1 HAVING COUNT(*) >= {P.min_trips}
   ORDER BY pct DESC, zone_name LIMIT {P.top_k})""",
     "q14": f"""SELECT CAST(f.payment_type_key AS BIGINT) AS payment_type_key, COUNT(*) AS total_trips,
-       {_r2('SUM(f.total_amount)')} AS total_revenue, {_r6(TIP)} AS avg_tip_pct
+       {_dbl('SUM(f.total_amount)')} AS total_revenue, {_dbl(TIP)} AS avg_tip_pct
 FROM fct_trips f WHERE {SINCE_F} GROUP BY 1""",
     "q15": f"""SELECT CAST(EXTRACT(MONTH FROM f.pickup_date) AS BIGINT) AS month,
        {_mean('f.trip_duration_minutes')} AS avg_duration
@@ -276,9 +272,9 @@ def _norm(cols, src: str = "") -> str:
         if kind == I:
             out.append(f"CAST({ref} AS BIGINT) AS {name}")
         elif kind == M:
-            out.append(f"{_r2(ref)} AS {name}")
+            out.append(f"{_dbl(ref)} AS {name}")
         elif kind == D:
-            out.append(f"{_r6(ref)} AS {name}")
+            out.append(f"{_dbl(ref)} AS {name}")
         elif kind == "date":
             out.append(f"strftime({ref}, '%Y-%m-%d') AS {name}")
         else:
@@ -382,7 +378,7 @@ FROM raw""", f"{TRIPS},\n{RAW}"),
     "scan_zones": _w("SELECT CAST(location_id AS BIGINT) AS location_id, borough, zone_name, service_zone FROM zones",
                      TRIPS),
     "narrow_types": _w("SELECT " + ", ".join(
-        f"{_r6(f'CAST({n} AS FLOAT)')} AS {n}" if k == D else
+        f"{_dbl(f'CAST({n} AS FLOAT)')} AS {n}" if k == D else
         (f"CAST({n} AS BIGINT) AS {n}" if k == I else n) for n, k in RAW_T) + " FROM raw",
         f"{TRIPS},\n{RAW}"),
     "bronze_trips": _w(f"SELECT {_norm(BRONZE_T)} FROM bronze", TRIPS),
@@ -464,7 +460,7 @@ UNION ALL SELECT 'dim_payment_type', payment_category, COUNT(*) FROM dim_payment
         f"WHERE {k} IS NOT NULL AND {k} NOT IN (SELECT {pk} FROM {pt} WHERE {pk} IS NOT NULL)"
         for n, c, k, pt, pk in REL)),
     "impute_median": _w("SELECT " + ", ".join(
-        (f"{_r6(f'coalesce(pf.{c}, med.{c})')} AS {c}" if k == D else
+        (f"{_dbl(f'coalesce(pf.{c}, med.{c})')} AS {c}" if k == D else
          f"CAST(coalesce(pf.{c}, med.{c}) AS BIGINT) AS {c}") for c, k in IMPUTE_T)
         + " FROM pf, (SELECT " + ", ".join(f"{_median_sql(c)} AS {c}" for c, _ in IMPUTE_T) + ") med",
         PASSENGERS),
@@ -473,9 +469,9 @@ UNION ALL SELECT 'dim_payment_type', payment_category, COUNT(*) FROM dim_payment
                          + ", ".join(str(h) for h in range(24)) + ") USING first(total_trips) GROUP BY day_of_week)"),
     "pivot_borough_hour": _w("SELECT * FROM (PIVOT " + _q("q17") + " ON hour_slot IN ("
                              + ", ".join(str(h) for h in range(24)) + ") USING first(avg_speed_mph) GROUP BY borough)"),
-    "unpivot_payment": _w(f"""SELECT payment_type_key, 'total_trips' AS measure, {_r6('total_trips')} AS value FROM q14
-UNION ALL SELECT payment_type_key, 'total_revenue', {_r6('total_revenue')} FROM q14
-UNION ALL SELECT payment_type_key, 'avg_tip_pct', {_r6('avg_tip_pct')} FROM q14""",
+    "unpivot_payment": _w(f"""SELECT payment_type_key, 'total_trips' AS measure, {_dbl('total_trips')} AS value FROM q14
+UNION ALL SELECT payment_type_key, 'total_revenue', {_dbl('total_revenue')} FROM q14
+UNION ALL SELECT payment_type_key, 'avg_tip_pct', {_dbl('avg_tip_pct')} FROM q14""",
                           GOLD + f""",
 q14 AS (SELECT CAST(f.payment_type_key AS BIGINT) AS payment_type_key, COUNT(*) AS total_trips,
                SUM(f.total_amount) AS total_revenue, {TIP} AS avg_tip_pct
@@ -487,7 +483,7 @@ FROM routes r JOIN nodes s ON r.p_bor = s.label JOIN nodes d ON r.d_bor = d.labe
 routes AS {_q('q20')},
 nodes AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS node_id
           FROM (SELECT p_bor AS label FROM routes UNION SELECT d_bor FROM routes))"""),
-    "stream_ingest": _w(f"SELECT service_type, source_month, COUNT(*) AS trips, {_r2('SUM(total_amount)')} "
+    "stream_ingest": _w(f"SELECT service_type, source_month, COUNT(*) AS trips, {_dbl('SUM(total_amount)')} "
                         "AS total_amount FROM bronze GROUP BY 1, 2", TRIPS),
 }
 
