@@ -66,3 +66,18 @@ def test_no_python_evaluation_in_registered_queries(spark):
             continue
         p = plan(fn(r))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_fact_scans_read_only_needed_columns(gold):
+    import re
+    t = gold.tables()
+    expect = {
+        "q14": {"payment_type_key", "total_amount", "tip_amount", "fare_amount", "pickup_month"},
+        "q18": {"pickup_location_key", "trip_duration_minutes", "pickup_month"},
+        "q01": {"pickup_date_key", "pickup_month"},
+    }
+    for q, cols in expect.items():
+        p = plan(Q.QUESTIONS[q](t, P))
+        scans = re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*fct_trips", p)
+        read = {c.split("#")[0] for s in scans for c in s.split(",")}
+        assert read == cols, (q, read)
