@@ -33,11 +33,14 @@ _FILE_SCHEMA = T.StructType([
 ])
 
 
-def slice_arrivals(spark: SparkSession, landing: str) -> DataFrame:
+def slice_arrivals(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming frame of (service_type, source_month), one row per newly
     seen file.  The ``binaryFile`` source yields one row per file, and only
     its path is selected, so file contents are never read here."""
-    files = (spark.readStream.format("binaryFile").schema(_FILE_SCHEMA)
+    reader = spark.readStream.format("binaryFile").schema(_FILE_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    files = (reader
              .load(f"{landing.rstrip('/')}/*/source_month=*/*.parquet"))
     path = F.col("path")
     return files.select(F.regexp_extract(path, _PATH_RE, 1).alias("service_type"),
@@ -45,9 +48,10 @@ def slice_arrivals(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def ingest_available(spark: SparkSession, landing: str, bronze_path: str, checkpoint: str,
-                     ingest_ts: datetime):
+                     ingest_ts: datetime, max_files_per_trigger: int | None = None):
     """Run once over everything not yet processed (trigger availableNow) and
-    return the finished StreamingQuery."""
+    return the finished StreamingQuery.  ``max_files_per_trigger`` bounds
+    the files per micro-batch (availableNow still drains everything)."""
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         # One row per slice touched by this micro-batch: a bounded set.
@@ -59,7 +63,7 @@ def ingest_available(spark: SparkSession, landing: str, bronze_path: str, checkp
             raw = read_trips(spark, landing, [service], months, ingest_ts)
             replace_slice(bronze_trips(raw), bronze_path)
 
-    q = (slice_arrivals(spark, landing).writeStream
+    q = (slice_arrivals(spark, landing, max_files_per_trigger).writeStream
          .foreachBatch(process)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)

@@ -142,3 +142,19 @@ def test_materialize_kinds(spark, scratch):
     assert again.count() == 3                                          # only the touched slice replaced
     with pytest.raises(ValueError):
         materialize(df, "x", "ephemeral", base=scratch)
+
+
+def test_stream_slice_spread_over_micro_batches(spark, tables, scratch):
+    import glob
+    raw = fixture.raw_trips(tables).where(F.col("source_month").between("1997-01", "1997-03"))
+    landing, bronze, ckpt = f"{scratch}/landing", f"{scratch}/bronze", f"{scratch}/ckpt"
+    fixture.write_landing(raw.repartition(4), landing)
+    files = glob.glob(f"{landing}/*/source_month=*/*.parquet")
+    assert len(files) > 6                                  # several files per slice
+    q = ingest_available(spark, landing, bronze, ckpt, fixture.FIXTURE_INGEST_TS, max_files_per_trigger=1)
+    assert q.lastProgress is not None and q.lastProgress["batchId"] >= len(files) - 1   # one file per batch
+    got = {(r.service_type, r.source_month): r["count"]
+           for r in spark.read.parquet(bronze).groupBy("service_type", "source_month").count().collect()}
+    want = {(r.service_type, r.source_month): r["count"]
+            for r in raw.groupBy("service_type", "source_month").count().collect()}
+    assert got == want
