@@ -50,3 +50,22 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["borough", "month", "total_trips", "rnk"]
     assert df.count() > 0
+
+
+def test_reference_mode_dropoff_keys_match_duckdb(spark, con):
+    """D4/D5 with the reference's pickup-only dimensions: fact rows whose
+    dropoff day or minute has no pickup counterpart get NULL keys."""
+    from cabflow.operators.fact import unmatched_keys
+    from cabflow.params import FIXTURE_PARAMS
+    from cabflow.plans.catalog import Run
+    from cabflow.plans.oracle import SILVER
+    r = Run(spark, SF001, FIXTURE_PARAMS.with_(dropoff_dates=False, dropoff_times=False))
+    got = {x.key_column: x.unmatched for x in unmatched_keys(r.gold.fact).collect()}
+    sql = f"""WITH {SILVER.strip()}
+SELECT count_if(CAST(dropff_ts AS DATE) NOT IN (SELECT CAST(pickup_ts AS DATE) FROM silver)) AS d,
+       count_if((hour(dropff_ts), minute(dropff_ts)) NOT IN
+                (SELECT (hour(pickup_ts), minute(pickup_ts)) FROM silver)) AS t
+FROM silver"""
+    d, t = con.execute(sql).fetchone()
+    assert (got["dropoff_date_key"], got["dropoff_time_key"]) == (d, t)
+    assert got["pickup_date_key"] == 0 and got["pickup_time_key"] == 0 and d > 0
