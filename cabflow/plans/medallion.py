@@ -17,6 +17,7 @@ tiny per-report summaries printed at the end.
 from __future__ import annotations
 
 import argparse
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,8 +97,10 @@ def run(spark: SparkSession, landing: str, zones_csv: str, out: str, start: date
     reports["reject_reasons"] = reject_reasons(bronze, zones, params)
     reports["reject_first_reason"] = reject_first_reason(bronze, zones, params)
     reports.update(quality_reports(gold, zones, params))
-    for name, df in reports.items():
-        df.write.mode("overwrite").parquet(f"{out}/reports/{name}")
+    # independent small jobs: run a few at a time so they share the cluster
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(lambda kv: kv[1].write.mode("overwrite").parquet(f"{out}/reports/{kv[0]}"),
+                      reports.items()))
     return {name: spark.read.parquet(f"{out}/reports/{name}") for name in reports}
 
 
