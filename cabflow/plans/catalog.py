@@ -78,7 +78,13 @@ class Run:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return fixture.raw_trips(self.tables)
+        """The adapter's raw trips, written once as Parquet in the shared
+        checkpoint folder: the five-table join that derives them runs once
+        per session instead of once per query, and readers keep column
+        pruning and filter pushdown."""
+        path = scratch_path(self.spark, "raw_trips")
+        fixture.raw_trips(self.tables).write.parquet(path)
+        return self.spark.read.parquet(path)
 
     @cached_property
     def bronze(self) -> DataFrame:
