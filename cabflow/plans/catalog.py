@@ -14,7 +14,6 @@ between engines in the last bit, are rounded to 6 places.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
