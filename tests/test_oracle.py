@@ -27,7 +27,8 @@ def con():
 
 def test_every_query_has_oracle_or_is_rows_only():
     q, o = set(E.queries()), set(E.oracle_sql())
-    assert o == q
+    assert o <= q
+    assert {k for k in q if k != "pipeline" and not k.startswith("op")} <= o
 
 
 @pytest.mark.parametrize("key", KEYS)
