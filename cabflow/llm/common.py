@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,7 +81,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
         if not b.num_rows:
             continue
         a = b.column(b.schema.get_field_index(column))
-        size = np.asarray(pa.compute.binary_length(a).fill_null(0), dtype=np.int64)
+        size = np.asarray(pc.fill_null(pc.binary_length(a), 0), dtype=np.int64)
         group = (np.cumsum(size) - size) // limit
         cuts = np.flatnonzero(np.diff(group)) + 1
         for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows], strict=True):
