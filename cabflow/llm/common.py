@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cabflow.session import ensure_checkpoint_dir, scratch_path
 
@@ -161,3 +162,38 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     run = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * p[:len(data)], out=run[1:])
     return mix64((run[ends] - run[starts]) * q[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+# ------------------------------------------------------------ added columns
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it until no column is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def with_computed(df: DataFrame, fn: Callable, fields: list[tuple[str, str]], text: str = "text") -> DataFrame:
+    """All columns of df plus ``fields`` (name, Spark type): ``fn(texts)``
+    takes a pyarrow string array and returns one list or array per field."""
+    names = [n for n, _ in fields]
+    if {n.lower() for n in names} & {c.lower() for c in df.columns}:
+        raise ValueError("computed columns must have new names")
+    spark_schema = StructType(list(df.schema.fields))
+    for n, t in fields:
+        spark_schema = spark_schema.add(n, t)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, text):
+            made = fn(b.column(b.schema.get_field_index(text)))
+            arrays = [*b.columns, *(pa.array(m) if not isinstance(m, pa.Array) else m for m in made)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*b.schema.names, *names])
+
+    ship(df.sparkSession)
+    return df.mapInArrow(run, spark_schema)
+
+
+def hashed_fraction(key, seed: int):
+    """A number in [0, 1) that depends on the key and the seed alone."""
+    return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) / F.lit(float(1 << 30))

@@ -11,8 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 #: query name -> module of the subpackage with ``query(spark, sf_dir)`` and
 #: maybe ``ORACLE_SQL``
 _QUERIES = {
+    "op2_quality_crf": "q_quality_crf",
     "op3_bpe_codec": "q_bpe_codec",
+    "op4_langid": "q_langid",
+    "op5_ngram_join": "q_ngram_join",
+    "op6_sharding": "q_sharding",
     "op7_token_counts": "q_token_counts",
+    "op8_mixing": "q_mixing",
 }
 
 
