@@ -9,10 +9,10 @@ only: one aggregate over the documents, raking over the cells, one join back.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cabflow.llm.common import cut, fresh, written
+from cabflow.llm.common import fresh, written
 
 DIMS = ("source", "lang", "topic")
 #: Rounds over the three margins.
@@ -43,36 +43,42 @@ def draw_of(doc_id: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def tempered_targets(cells: DataFrame, powers: dict[str, float]) -> dict[str, DataFrame]:
-    """dim -> (value, share): each value's token share to a power, scaled."""
-    out = {}
+def tempered_targets(cells: DataFrame, powers: dict[str, float]) -> DataFrame:
+    """Cells plus share_<dim>: the token share of the cell's value in that
+    dimension, raised to a power and scaled so that the values' shares sum 1."""
+    out = cells
     for dim in DIMS:
         t = cells.groupBy(F.col(dim).alias("value")).agg(F.pow(F.sum("tokens").cast("double"), F.lit(powers[dim])).alias("x"))
         total = t.agg(F.sum("x").alias("s"))
-        out[dim] = written(t.join(F.broadcast(total)).select("value", (F.col("x") / F.col("s")).alias("share")), "target")
+        share = t.join(F.broadcast(total)).select("value", (F.col("x") / F.col("s")).alias(f"share_{dim}"))  # one row
+        out = out.join(share, F.col(dim) == F.col("value")).drop("value")
     return out
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """Cells (source, lang, topic, tokens) plus weight: token weights scaled so
-    that the shares of each margin approach the targets.
+def given_targets(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """The same from tables (value, share) per dimension; values without a
+    target have share 0."""
+    out = cells
+    for dim in DIMS:
+        t = targets[dim].select(F.col("value"), F.col("share").cast("double").alias(f"share_{dim}"))
+        out = out.join(t, F.col(dim) == F.col("value"), "left").drop("value").fillna(0.0, [f"share_{dim}"])
+    return out
+
+
+def rake(cells: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """Cells (source, lang, topic, tokens, share_<dim>...) plus weight: token
+    weights scaled so that the shares of each margin approach the targets.
 
-    Cells without tokens and values without a target (or a target of 0) get
-    weight 0; targets of values that have no cell count for nothing.
+    Cells without tokens and values with a target of 0 get weight 0; targets
+    of values that have no cell count for nothing.  There are as many cells as
+    combinations that occur, whatever the number of documents.
     """
     n = cells.count()
-    c = cells.withColumn("weight", F.col("tokens").cast("double"))
-    c = cut(c.coalesce(max(1, -(-n // CELLS_PER_PARTITION))))
+    c = cells.coalesce(max(1, -(-n // CELLS_PER_PARTITION))).withColumn("weight", F.col("tokens").cast("double"))
     for _ in range(rounds):
         for dim in DIMS:
-            margin = (c.groupBy(dim).agg(F.sum("weight").alias("now"))
-                      .join(targets[dim], F.col(dim) == F.col("value"), "left")
-                      .select(F.col(dim).alias("value"),
-                              F.when(F.col("now") > 0, F.coalesce("share", F.lit(0.0)) / F.col("now"))
-                              .otherwise(F.lit(0.0)).alias("factor")))
-            c = (c.join(margin, F.col(dim) == F.col("value"))
-                 .select(*DIMS, "tokens", (F.col("weight") * F.col("factor")).alias("weight")))
-        c = cut(c)
+            now = F.sum("weight").over(Window.partitionBy(dim))
+            c = c.withColumn("weight", F.when(now > 0, F.col("weight") * (F.col(f"share_{dim}") / now)).otherwise(F.lit(0.0)))
     return c
 
 
@@ -106,8 +112,10 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, powers: di
     })
     cells = written(marked.groupBy(*[F.col(keys[d]).alias(d) for d in DIMS])
                     .agg(F.sum(F.col(tokens)).alias("tokens")), "cells")
-    goal = tempered_targets(cells, POWERS if powers is None else powers) if targets is None else targets
-    found = written(probabilities(rake(cells, goal)).select(
+    wanted = tempered_targets(cells, POWERS if powers is None else powers) if targets is None \
+        else given_targets(cells, targets)
+    raked = written(rake(written(wanted, "wanted")), "raked")
+    found = written(probabilities(raked).select(
         *[F.col(d).alias(keys[d]) for d in DIMS], F.col("probability").alias(prob)), "rates")
     return (marked.join(found, [keys[d] for d in DIMS], "left")
             .withColumn(topic, F.col(keys["topic"]))
