@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: query name -> module of the subpackage with ``query(spark, sf_dir)`` and
 #: maybe ``ORACLE_SQL``
 _QUERIES = {
+    "op1_ann_forest": "q_ann_forest",
     "op2_quality_crf": "q_quality_crf",
     "op3_bpe_codec": "q_bpe_codec",
     "op4_langid": "q_langid",
@@ -18,6 +19,7 @@ _QUERIES = {
     "op6_sharding": "q_sharding",
     "op7_token_counts": "q_token_counts",
     "op8_mixing": "q_mixing",
+    "op10_vector_dedup": "q_vector_dedup",
 }
 
 
