@@ -19,6 +19,7 @@ _QUERIES = {
     "op6_sharding": "q_sharding",
     "op7_token_counts": "q_token_counts",
     "op8_mixing": "q_mixing",
+    "op9_license_scan": "q_license_scan",
     "op10_vector_dedup": "q_vector_dedup",
 }
 
