@@ -6,8 +6,9 @@ all pairs of a large bucket in one place.
    every bucket; each block links its items with each other.  Links are
    verified, and only those that connect something are kept.
 3. Buckets of several blocks whose items are not all connected by then: the
-   items outside the bucket's largest part (probes) meet all its blocks.  Every
-   pair of a bucket has then been looked at, or was connected already.
+   items outside the bucket's largest part (probes) meet all its items, in
+   larger blocks.  Every pair of a bucket has then been looked at, or was
+   connected already.
 """
 
 from __future__ import annotations
@@ -43,9 +44,10 @@ def within_blocks(members: DataFrame, block: int) -> DataFrame:
         F.lit(None).cast("boolean").alias("probe"))
 
 
-def across_blocks(members: DataFrame, parts: DataFrame, block: int) -> DataFrame:
+def across_blocks(members: DataFrame, parts: DataFrame, block: int, across: int) -> DataFrame:
     """Groups for the buckets of several blocks that hold several parts: the
-    members outside the largest part (probes) against all blocks."""
+    members outside the largest part (probes) against all members, in blocks
+    of about ``across`` on either side."""
     big = written(members.where(F.col("c") > block)
                   .join(parts, F.col("rep") == F.col("node"), "left")
                   .select("key", "rep", F.coalesce("component", "rep").alias("part")), "big")
@@ -53,8 +55,8 @@ def across_blocks(members: DataFrame, parts: DataFrame, block: int) -> DataFrame
     main = written(sizes.groupBy("key").agg(F.max(F.struct("n", "part")).alias("m"), F.sum("n").alias("all"),
                                             F.count(F.lit(1)).alias("parts"))
                    .where("parts > 1")
-                   .select("key", F.col("m.part").alias("main"), blocks_of(F.col("all"), block).alias("nb"),
-                           blocks_of(F.col("all") - F.col("m.n"), block).alias("np")), "main")
+                   .select("key", F.col("m.part").alias("main"), blocks_of(F.col("all"), across).alias("nb"),
+                           blocks_of(F.col("all") - F.col("m.n"), across).alias("np")), "main")
     rows = big.join(main, "key")
     at = lambda n: F.pmod(F.xxhash64("rep", "key"), F.col(n))
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
@@ -66,16 +68,20 @@ def across_blocks(members: DataFrame, parts: DataFrame, block: int) -> DataFrame
     return build.unionAll(probe)
 
 
-def bucket_components(entries: DataFrame, links: Callable[[DataFrame], DataFrame], block: int) -> DataFrame:
+def bucket_components(entries: DataFrame, linker: Callable[[DataFrame], Callable[[DataFrame], DataFrame]],
+                      block: int, across: int) -> DataFrame:
     """node, component of the items linked through buckets (key, rep).
 
-    ``links`` gives the verified links (a, b) within groups (g1, g2, g3, rep,
-    part, probe): between all items where probe is null, else between probes
-    and the others; items of one part are known to be connected.
+    ``linker(items)``, for the items (rep) that share a bucket with others,
+    returns a function from groups (g1, g2, g3, rep, part, probe) to the
+    verified links (a, b) in them: between all items of a group where probe is
+    null, else between probes and the others.  Items of one part are known to
+    be connected.
     """
     members = distinct_buckets(entries)
+    links = linker(members.select("rep").distinct())
     parts = written(connected_components(written(links(within_blocks(members, block)), "links")), "parts")
-    more = written(links(across_blocks(members, parts, block)), "links")
+    more = written(links(across_blocks(members, parts, block, across)), "links")
     if more.isEmpty():
         return parts
     return written(connected_components(

@@ -50,7 +50,8 @@ def tempered_targets(cells: DataFrame, powers: dict[str, float]) -> DataFrame:
     for dim in DIMS:
         t = cells.groupBy(F.col(dim).alias("value")).agg(F.pow(F.sum("tokens").cast("double"), F.lit(powers[dim])).alias("x"))
         total = t.agg(F.sum("x").alias("s"))
-        share = t.join(F.broadcast(total)).select("value", (F.col("x") / F.col("s")).alias(f"share_{dim}"))  # one row
+        share = t.join(F.broadcast(total)).select(  # one row
+            "value", F.when(F.col("s") > 0, F.col("x") / F.col("s")).otherwise(F.lit(0.0)).alias(f"share_{dim}"))
         out = out.join(share, F.col(dim) == F.col("value")).drop("value")
     return out
 

@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cabflow.llm.bucket_links import bucket_components
 from cabflow.llm.common import (arrow_map, emit, fresh, mix64, parallelism, slices, span_hashes, text_buffer,
                                 word_bounds, written)
-from cabflow.llm.components import connected_components
 from cabflow.llm.signature_tree import spanning_links
 
 BANDS, ROWS = 24, 4
-BLOCK = 128
+BLOCK, ACROSS = 128, 512
 
 _rng = np.random.default_rng(20240607)
 _SALT = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -110,15 +110,14 @@ def _prints(docs: DataFrame, words: int) -> DataFrame:
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _links(members: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links within each group of members (g1, g2, g3, rep, part, probe).
+def _links(groups: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links within each group (g1, g2, g3, rep, part, probe).
 
-    The texts of the members travel to their groups; groups are streamed, one
-    in memory at a time, whatever the number of rows of a task.
+    The texts (rep, text) travel to their groups; groups are streamed, one in
+    memory at a time, whatever the number of rows of a task.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string"))
-    rows = (members.join(texts, "rep").select("g1", "g2", "g3", "rep", "part", "probe", "text")
-            .repartition(parallelism(docs.sparkSession), "g1", "g2", "g3")
+    rows = (groups.join(texts, "rep").select("g1", "g2", "g3", "rep", "part", "probe", "text")
+            .repartition(parallelism(texts.sparkSession), "g1", "g2", "g3")
             .sortWithinPartitions("g1", "g2", "g3", "rep"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,11 +149,6 @@ def _links(members: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
     return arrow_map(rows, run, "a long, b long")
 
 
-def _dealt(count):
-    """Number of blocks for so many rows."""
-    return F.ceil(count / F.lit(BLOCK)).cast("long")
-
-
 def ngram_components(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs (doc_id, text).
 
@@ -173,21 +167,13 @@ def ngram_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Data
     entries = (prints.where(~alone).join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
                .select(F.col("doc_id").alias("rep"), F.explode("keys").alias("key")))
     entries = written(entries, "entries")
-    buckets = (entries.groupBy("key")
-               .agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("lo"), F.bit_xor(F.xxhash64("rep")).alias("x"),
-                    F.bit_xor(F.xxhash64(F.lit(1), F.col("rep"))).alias("y"))
-               .where("c > 1").groupBy("c", "lo", "x", "y").agg(F.min("key").alias("key")).select("key", "c"))
-    members = written(entries.join(written(buckets, "buckets"), "key").select("key", "c", "rep"), "members")
-    first = members.select(
-        F.col("key").alias("g1"), F.pmod(F.xxhash64("rep", "key"), _dealt(F.col("c"))).alias("g2"), F.lit(0).cast("long").alias("g3"),
-        "rep", F.col("rep").alias("part"), F.lit(None).cast("boolean").alias("probe"))
-    links = written(_links(first, docs, words, percent), "links")
-    parts = written(connected_components(links), "parts")
-    more = _links(_across(members, parts), docs, words, percent)
-    more = written(more, "links")
-    if not more.isEmpty():
-        parts = written(connected_components(
-            parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)), "parts")
+
+    def linker(items: DataFrame):
+        texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string"))
+        texts = written(texts.join(items, "rep", "left_semi"), "texts")
+        return lambda groups: _links(groups, texts, words, percent)
+
+    parts = bucket_components(entries, linker, BLOCK, ACROSS)
     labelled = written(classes.join(parts, F.col("rep") == F.col("node"), "left")
                        .select("f1", "f2", "n_shingles", F.coalesce("component", "rep").alias("component_id")),
                        "labelled")
@@ -196,29 +182,6 @@ def ngram_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Data
             .unionAll(prints.where(alone).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))))
 
 
-def _across(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """Groups for the buckets of several blocks that hold several parts: the
-    members outside the largest part (probes) against all blocks."""
-    big = written(members.where(F.col("c") > BLOCK)
-                  .join(parts, F.col("rep") == F.col("node"), "left")
-                  .select("key", "c", "rep", F.coalesce("component", "rep").alias("part")), "big")
-    sizes = big.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
-    main = written(sizes.groupBy("key").agg(F.max(F.struct("n", "part")).alias("m"), F.sum("n").alias("all"),
-                                            F.count(F.lit(1)).alias("parts"))
-                   .where("parts > 1")
-                   .select("key", F.col("m.part").alias("main"), _dealt(F.col("all")).alias("nb"),
-                           _dealt(F.col("all") - F.col("m.n")).alias("np")), "main")
-    rows = big.join(main, "key")
-    block = lambda n: F.pmod(F.xxhash64("rep", "key"), F.col(n))
-    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    build = rows.select(F.col("key").alias("g1"), block("nb").alias("g2"), upto("np").alias("g3"), "rep", "part",
-                        F.lit(False).alias("probe"))
-    probe = rows.where(F.col("part") != F.col("main")).select(
-        F.col("key").alias("g1"), upto("nb").alias("g2"), block("np").alias("g3"), "rep", "part",
-        F.lit(True).alias("probe"))
-    return build.unionAll(probe)
-
-
 def keep_one(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """One document of each group of linked ones (the smallest doc_id), all
     columns as they are.  Rows with a null doc_id cannot be named and stay."""

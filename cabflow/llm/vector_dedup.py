@@ -30,7 +30,7 @@ from cabflow.llm.signature_tree import Links
 
 TABLES, SYMBOLS, PROBES, CHOICES = 6, 3, 8, 3
 #: Classes compared at a time, when linking and when counting.
-BLOCK, COUNT_BLOCK = 512, 1024
+BLOCK, ACROSS, COUNT_BLOCK = 128, 512, 1024
 #: Rows hashed at a time.
 _ROWS = 2048
 
@@ -232,7 +232,7 @@ def near_duplicates(vectors: DataFrame, column: str = "embedding", least: float
     entries = written(prints.where(usable).join(reps, F.col("vec_id") == F.col("rep"), "left_semi")
                       .select(F.explode("keys").alias("key"), F.col("vec_id").alias("rep")), "vec_entries")
     stands = rows.select(F.col("vec_id").alias("rep"), "vector").where(F.col("vector").isNotNull())
-    parts = bucket_components(entries, _linker(stands, least), BLOCK)
+    parts = bucket_components(entries, lambda items: _linker(stands, least), BLOCK, ACROSS)
     members = (parts.join(reps, F.col("node") == F.col("rep")).select("component", "rep", "count")
                .join(stands, "rep"))
     counts = written(_link_counts(members, least), "vec_counts")

@@ -1,0 +1,88 @@
+from functools import lru_cache
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from cabflow.llm.common import table
+from cabflow.llm.license_scan import TEMPLATES, Scanner, align, increasing, license_spans, words_of
+from cabflow.llm.q_license_scan import query
+from tests.conftest import SF01
+from tests.llm.helpers import clashing, edited, frame, rng, words
+
+SCANNER = Scanner(TEMPLATES)
+
+
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.permutations(list(range(9))))
+def test_increasing_is_longest(values):
+    @lru_cache(None)
+    def best(i, last):
+        return 0 if i == len(values) else max(best(i + 1, last), 1 + best(i + 1, values[i]) if values[i] > last else 0)
+
+    keep = [values[i] for i in increasing(list(values))]
+    assert keep == sorted(keep) and len(keep) == best(0, -1)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("abcdefgh"), max_size=25), st.lists(st.sampled_from("abcdefgh"), max_size=25))
+def test_alignment_is_a_common_subsequence(a, b):
+    pairs = align(a, b)
+    assert all(a[i] == b[j] for i, j in pairs)
+    assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
+    assert len(pairs) <= lcs(a, b)
+
+
+def test_alignment_of_edited_licenses_is_close_to_the_best():
+    r = rng(2)
+    for name in ("MIT", "Apache-2.0", "GPL-3.0"):
+        t = words_of(TEMPLATES[name])
+        e = edited(r, " ".join(t), 0.08).split()
+        assert len(align(e, t)) >= 0.97 * lcs(e, t)
+
+
+@pytest.mark.parametrize("name", TEMPLATES)
+def test_finds_a_license_anywhere(name):
+    r = rng(4)
+    for _ in range(5):
+        text = f"{words(r, 300)}\n{TEMPLATES[name]}\n{words(r, 100)}"
+        found = {f[0]: f for f in SCANNER.scan(text, 0.8)}
+        assert found[name][1] == 1.0
+        _, _, s, e = found[name]
+        assert words_of(text)[s:e] == words_of(TEMPLATES[name])
+    twice = TEMPLATES[name] + " " + TEMPLATES[name] + words(r, 50) + " " + TEMPLATES[name]
+    assert name in {f[0] for f in SCANNER.scan(twice, 0.8)}
+
+
+def test_leaves_other_texts_alone():
+    r = rng(5)
+    for t in [words(r, 500), "this is a version of the general public opinion under license", "mit " * 5000, "license " * 20_000]:
+        assert SCANNER.scan(t, 0.8) == []
+
+
+def test_edge_rows(spark):
+    line = TEMPLATES["MIT-notice"]
+    rows = [(1, None, "en", "a", 1), (2, "", "en", "a", 1), (3, "!!! ...", "en", "a", 1), (4, line, "en", "a", 1),
+            (4, line, "en", "a", 1), (None, line.upper(), "en", "a", 1), (7, "word " * 150_000 + line, "en", "a", 1)]
+    got = sorted(((r["doc_id"], tuple(f["license"] for f in r["found"]))
+                  for r in license_spans(clashing(frame(spark, rows), "found", "license")).collect()), key=str)
+    hit = ("MIT-notice",)
+    assert got == sorted([(1, ()), (2, ()), (3, ()), (4, hit), (4, hit), (None, hit), (7, hit)], key=str)
+    assert license_spans(frame(spark, [])).count() == 0
+
+
+def test_query_equals_plain_search_for_the_planted_notices(spark):
+    texts = {r["doc_id"]: r["text"] for r in table(spark, SF01, "documents").collect()}
+    got = {r["doc_id"]: set(filter(None, r["licenses"].split(","))) for r in query(spark, SF01).collect()}
+    for i, t in texts.items():
+        assert got[i] == {n for n, x in TEMPLATES.items() if " ".join(words_of(x)) in " ".join(words_of(t))}
+    assert sum(map(bool, got.values())) > 5
