@@ -49,9 +49,8 @@ def tempered_targets(cells: DataFrame, powers: dict[str, float]) -> DataFrame:
     out = cells
     for dim in DIMS:
         t = cells.groupBy(F.col(dim).alias("value")).agg(F.pow(F.sum("tokens").cast("double"), F.lit(powers[dim])).alias("x"))
-        total = t.agg(F.sum("x").alias("s"))
-        share = t.join(F.broadcast(total)).select(  # one row
-            "value", F.when(F.col("s") > 0, F.col("x") / F.col("s")).otherwise(F.lit(0.0)).alias(f"share_{dim}"))
+        total = t.agg(F.sum("x")).first()[0] or 0.0  # one number
+        share = t.select("value", (F.col("x") / F.lit(total) if total > 0 else F.lit(0.0)).alias(f"share_{dim}"))
         out = out.join(share, F.col(dim) == F.col("value")).drop("value")
     return out
 
@@ -87,9 +86,8 @@ def probabilities(cells: DataFrame) -> DataFrame:
     """Cells plus probability: weight per token, scaled so that the largest is
     1; the expected mix of the kept tokens is then the raked one."""
     ratio = cells.withColumn("ratio", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(F.lit(0.0)))
-    top = ratio.agg(F.max("ratio").alias("top"))
-    return ratio.join(F.broadcast(top)).select(  # one row
-        *DIMS, F.when(F.col("top") > 0, F.col("ratio") / F.col("top")).otherwise(F.lit(1.0)).alias("probability"))
+    top = ratio.agg(F.max("ratio")).first()[0] or 0.0  # one number
+    return ratio.select(*DIMS, (F.col("ratio") / F.lit(top) if top > 0 else F.lit(1.0)).alias("probability"))
 
 
 def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, powers: dict[str, float] | None = None,

@@ -74,3 +74,4 @@ def test_without_any_text_all_stay(spark):
 def test_no_python_in_the_plan(spark):
     plan = query(spark, SF01)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+    assert "NestedLoop" not in plan
