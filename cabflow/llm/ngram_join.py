@@ -170,7 +170,8 @@ def ngram_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Data
 
     def linker(items: DataFrame):
         texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string"))
-        texts = written(texts.join(items, "rep", "left_semi"), "texts")
+        # a shuffle join at every size: how many candidates there are grows with the corpus
+        texts = written(texts.join(items.hint("merge"), "rep", "left_semi"), "texts")
         return lambda groups: _links(groups, texts, words, percent)
 
     parts = bucket_components(entries, linker, BLOCK, ACROSS)
