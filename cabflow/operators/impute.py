@@ -1,100 +1,68 @@
 """Fill each column's NULLs with its upper median.
 
-The upper median is ``sorted(non_null)[floor(n / 2)]``, an exact order
-statistic.  A single-group exact percentile would hold every distinct value
-of a column in one task, so instead the k-th value is found by narrowing a
-value bracket: ``percentile_approx`` (a bounded sketch, merged across
-tasks) proposes pivots around rank k, one counting pass checks them, and
-the bracket's row count shrinks by about the sketch accuracy each round.
-Once a bracket holds few rows, its (value, count) pairs - a bounded set -
-decide the exact answer.  Every pass handles all columns in one aggregate.
+The upper median is ``sorted(present)[floor(n / 2)]``, an exact order
+statistic.  All columns go through the same few jobs: one GROUPING SETS pass
+counts every (column, value); the counts are range-partitioned by column and
+value and written in that order; partition totals give each partition's start,
+a running count inside the partitions finds the row that holds the middle.
+Only the medians, one row per column, reach the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cabflow.session import scratch_path
+
 
+def _present(df: DataFrame, c: str) -> Column:
+    """The column with NaN read as missing, as NULL is."""
+    t = df.schema[c].dataType
+    if isinstance(t, (T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(F.col(c)), F.col(c))
+    return F.col(c)
 
-def _in_bracket(c: str, st: dict) -> Column:
-    x = F.col(c)
-    cond = x.isNotNull()
-    if st["lo"] is not None:
-        cond = cond & ((x >= F.lit(st["lo"])) if st["lo_incl"] else (x > F.lit(st["lo"])))
-    if st["hi"] is not None:
-        cond = cond & ((x <= F.lit(st["hi"])) if st["hi_incl"] else (x < F.lit(st["hi"])))
-    return cond
 
+def _ordered_counts(df: DataFrame, cols) -> DataFrame:
+    """(g, value columns, n, p): rows per column number and value, in order,
+    with the number of the partition they lie in.  Only the g-th value column
+    of a row is filled, so ordering by all of them orders by value."""
+    spark = df.sparkSession
+    names = [f"v{i}" for i in range(len(cols))]
+    values = df.select(*[_present(df, c).alias(n) for c, n in zip(cols, names)])
+    which = F.coalesce(*[F.when(F.grouping(n) == 0, F.lit(i)) for i, n in enumerate(names)])
+    counts = values.groupingSets([[n] for n in names], *names).agg(which.alias("g"), F.count(F.lit(1)).alias("n"))
+    counts = counts.where(reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in names]))
+    path = scratch_path(spark, "median_counts")
+    (counts.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "g", *names)
+     .withColumn("p", F.spark_partition_id()).write.parquet(path))
+    return spark.read.parquet(path)
 
-def upper_medians(df: DataFrame, cols, *, accuracy: int = 10_000, exact_rows: int = 20_000,
-                  max_rounds: int = 64) -> dict:
-    """Exact upper median of every column in ``cols`` (None when all NULL).
 
-    Each round, ``percentile_approx`` proposes pivots a <= b around the
-    target rank inside the current bracket, and one counting pass gives the
-    rows below a, up to a, below b and up to b.  The target is then a, b, or
-    lies strictly below a, strictly between them, or strictly above b; every
-    non-final case drops at least the rows equal to a pivot (a value present
-    in the bracket), so the bracket always shrinks and the search ends.
-    """
-    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first().asDict()
-    out = {c: None for c in cols}
-    # Bracket of values (bounds inclusive or not); ``below`` rows lie under
-    # it, ``m`` rows inside it; ``k`` is the 0-based rank sought.
-    state = {c: {"k": n // 2, "lo": None, "lo_incl": True, "hi": None, "hi_incl": True,
-                 "below": 0, "m": n} for c, n in counts.items() if n}
-    for _ in range(max_rounds):
-        for c in [c for c, st in state.items() if st["m"] <= exact_rows]:
-            st = state.pop(c)
-            # At most ``exact_rows`` (value, count) pairs: a bounded result.
-            pairs = (df.where(_in_bracket(c, st)).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-                     .orderBy(c).collect())
-            r, seen = st["k"] - st["below"], 0
-            for v, n in pairs:
-                seen += n
-                if seen > r:
-                    out[c] = v
-                    break
-        if not state:
-            return out
-        cols_now = list(state)
-        pivots = []
-        for c in cols_now:
-            st = state[c]
-            r, m = st["k"] - st["below"], st["m"]
-            slack = 2.0 * m / accuracy + 1
-            qs = [max(0.0, (r - slack) / m), min(1.0, (r + slack) / m)]
-            pivots.append(F.percentile_approx(F.when(_in_bracket(c, st), F.col(c)), qs, accuracy).alias(c))
-        piv = df.agg(*pivots).first().asDict()
-        checks = []
-        for c in cols_now:
-            a, b = piv[c]
-            x, inb = F.col(c), _in_bracket(c, state[c])
-            checks += [F.count_if(inb & (x < F.lit(a))).alias(f"{c}__lt_a"),
-                       F.count_if(inb & (x <= F.lit(a))).alias(f"{c}__le_a"),
-                       F.count_if(inb & (x < F.lit(b))).alias(f"{c}__lt_b"),
-                       F.count_if(inb & (x <= F.lit(b))).alias(f"{c}__le_b")]
-        cnt = df.agg(*checks).first().asDict()
-        for c in cols_now:
-            st = state[c]
-            a, b = piv[c]
-            lt_a, le_a, lt_b, le_b = (cnt[f"{c}__{s}"] for s in ("lt_a", "le_a", "lt_b", "le_b"))
-            r = st["k"] - st["below"]
-            if r < lt_a:
-                st.update(hi=a, hi_incl=False, m=lt_a)
-            elif r < le_a:
-                out[c] = a
-                del state[c]
-            elif r < lt_b:
-                st.update(lo=a, lo_incl=False, hi=b, hi_incl=False, below=st["below"] + le_a, m=lt_b - le_a)
-            elif r < le_b:
-                out[c] = b
-                del state[c]
-            else:
-                st.update(lo=b, lo_incl=False, below=st["below"] + le_b, m=st["m"] - le_b)
-        if not state:
-            return out
-    raise RuntimeError(f"median search did not converge for {sorted(state)}")
+def upper_medians(df: DataFrame, cols) -> dict:
+    """Exact upper median of every column in ``cols`` (None when no value is
+    present).  The number of jobs does not depend on the number of columns."""
+    cols = list(cols)
+    names = [f"v{i}" for i in range(len(cols))]
+    counts = _ordered_counts(df, cols)
+    # one row per (column, partition)
+    totals = counts.groupBy("g", "p").agg(F.sum("n").alias("m"))
+    col_rows = Window.partitionBy("g")
+    totals = totals.select(
+        "g", "p", (F.sum("m").over(col_rows.orderBy("p")) - F.col("m")).alias("before"),
+        F.floor(F.sum("m").over(col_rows) / 2).alias("k"))
+    in_order = Window.partitionBy("g", "p").orderBy(*names).rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.col("before") + F.sum("n").over(in_order)
+    hit = (counts.join(totals, ["g", "p"]).withColumn("upto", upto)
+           .where((F.col("upto") > F.col("k")) & (F.col("upto") - F.col("n") <= F.col("k"))))
+    out = dict.fromkeys(cols)
+    for r in hit.select("g", *names).collect():  # at most one row per column
+        out[cols[r["g"]]] = r[names[r["g"]]]
+    return out
 
 
 def select_numeric(df: DataFrame, cols) -> DataFrame:
@@ -103,10 +71,10 @@ def select_numeric(df: DataFrame, cols) -> DataFrame:
 
 
 def impute_upper_median(df: DataFrame, cols) -> DataFrame:
-    """M1: each column's NULLs <- its upper median (columns independent).
-    Only one small row of medians reaches the driver."""
+    """M1: each column's missing values <- its upper median (columns
+    independent; NaN counts as missing)."""
     med = upper_medians(df, cols)
-    types = {f.name: f.dataType for f in df.schema.fields}
     return df.select(*[
-        (F.coalesce(F.col(c), F.lit(med[c]).cast(types[c])) if med[c] is not None else F.col(c)).alias(c)
+        (F.coalesce(_present(df, c), F.lit(med[c]).cast(df.schema[c].dataType)) if med[c] is not None
+         else F.col(c)).alias(c)
         for c in cols])

@@ -7,8 +7,9 @@ of the child's distinct keys against the parent's keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cabflow.operators.joins import bounded_broadcast
 
@@ -31,43 +32,44 @@ def run_checks(df: DataFrame, *, not_null=(), accepted: dict | None = None,
 
 def relationship_failures(child: DataFrame, key: str, parent: DataFrame, parent_key: str,
                           name: str, max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """Child rows whose non-NULL ``key`` has no ``parent_key`` (NULL passes).
+    """Child rows whose non-NULL ``key`` has no ``parent_key`` (NULL passes)."""
+    return relationships_report([(name, child, key, parent, parent_key)], max_broadcast_rows)
 
-    The child is first reduced to (key, rows) with map-side partial
-    aggregation, so a hot key costs one row per task, then anti-joined to the
-    parent's distinct keys (broadcast when their count is proven small)."""
-    keys = child.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(
-        F.count(F.lit(1)).alias("_n"))
-    pk = bounded_broadcast(parent.select(F.col(parent_key).alias("_k")).distinct(), max_broadcast_rows)
-    orphans = keys.join(pk, "_k", "left_anti")
-    return orphans.agg(F.lit(name).alias("test"),
-                       F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("failures"))
 
+def _comparable(c: Column, kind: T.DataType) -> Column:
+    """A key as text after a cast to the type both sides are compared in, so
+    that equal values have equal texts (1 and 1.00, 0.0 and -0.0)."""
+    c = c.cast(kind)
+    return (c + F.lit(0.0) if isinstance(kind, (T.FloatType, T.DoubleType)) else c).cast("string")
 
-def _fused_failures(checks, max_broadcast_rows: int) -> DataFrame:
+
+def _failures(checks, max_broadcast_rows: int) -> DataFrame:
     """Relationship tests that share one child frame, in one pass over it.
 
     A GROUPING SETS aggregate (one set per key column) reduces the child to
-    (key column, key, rows) with map-side partial aggregation; the keys are
-    compared as text against the union of all parents' keys, each tagged with
-    its test, in a single anti join."""
-    spark = checks[0][1].sparkSession
+    (key column, key, rows) with map-side partial aggregation, so a hot key
+    costs one row per task.  Each test compares its key in the common type of
+    child and parent; a single anti join against the union of the parents'
+    keys, tagged by test, finds the orphans."""
     child = checks[0][1]
+    spark = child.sparkSession
     keys = sorted({c[2] for c in checks})
     counts = child.groupingSets([[k] for k in keys], *keys).agg(
         F.count(F.lit(1)).alias("_n"), *[F.grouping(k).alias(f"_g_{k}") for k in keys])
-    long = counts.select(
-        F.coalesce(*[F.when(F.col(f"_g_{k}") == 0, F.lit(k)) for k in keys]).alias("_col"),
-        F.coalesce(*[F.when(F.col(f"_g_{k}") == 0, F.col(k).cast("string")) for k in keys]).alias("_k"),
-        "_n").where(F.col("_k").isNotNull())
-    tests = spark.createDataFrame([(name, key) for name, _, key, _, _ in checks], "test string, _col string")
-    parents = None
-    for name, _, _, parent, pkey in checks:
-        p = parent.select(F.lit(name).alias("test"), F.col(pkey).cast("string").alias("_k"))
+    tested, parents = [], None
+    for name, _, key, parent, pkey in checks:
+        # analysis only: the type a comparison of the two columns would use
+        kind = child.select(F.col(key).alias("_k")).union(parent.select(F.col(pkey).alias("_k"))).schema[0].dataType
+        tested.append(F.when((F.col(f"_g_{key}") == 0) & F.col(key).isNotNull(),
+                             F.struct(F.lit(name).alias("test"), _comparable(F.col(key), kind).alias("_k"))))
+        p = parent.where(F.col(pkey).isNotNull()).select(
+            F.lit(name).alias("test"), _comparable(F.col(pkey), kind).alias("_k"))
         parents = p if parents is None else parents.unionByName(p)
-    parents = bounded_broadcast(parents.where(F.col("_k").isNotNull()).distinct(), max_broadcast_rows)
-    orphans = (long.join(F.broadcast(tests), "_col").join(parents, ["test", "_k"], "left_anti")
-               .groupBy("test").agg(F.sum("_n").alias("_f")))
+    long = counts.select("_n", F.explode(F.filter(F.array(*tested), lambda x: x.isNotNull())).alias("_t")).select(
+        "_n", "_t.test", "_t._k")
+    parents = bounded_broadcast(parents.distinct(), max_broadcast_rows)
+    orphans = long.join(parents, ["test", "_k"], "left_anti").groupBy("test").agg(F.sum("_n").alias("_f"))
+    tests = spark.createDataFrame([(c[0],) for c in checks], "test string")
     # at most one row per test: a structural bound, so it is broadcast
     return (tests.join(F.broadcast(orphans), "test", "left")
             .select("test", F.coalesce(F.col("_f"), F.lit(0)).cast("long").alias("failures")))
@@ -76,18 +78,14 @@ def _fused_failures(checks, max_broadcast_rows: int) -> DataFrame:
 def relationships_report(checks, max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Union of relationship tests given as (name, child, key, parent, parent_key).
 
-    Tests on the same child frame share ONE pass over it (``_fused_failures``),
-    so the ten foreign keys of the fact cost one narrow scan of the fact."""
+    Tests on the same child frame share ONE pass over it, so the ten foreign
+    keys of the fact cost one narrow scan of the fact."""
     by_child: dict[int, list] = {}
     for chk in checks:
         by_child.setdefault(id(chk[1]), []).append(chk)
     out = None
     for group in by_child.values():
-        if len({c[2] for c in group}) == 1 and len(group) == 1:
-            name, child, key, parent, pkey = group[0]
-            r = relationship_failures(child, key, parent, pkey, name, max_broadcast_rows)
-        else:
-            r = _fused_failures(group, max_broadcast_rows)
+        r = _failures(group, max_broadcast_rows)
         out = r if out is None else out.unionByName(r)
     return out
 

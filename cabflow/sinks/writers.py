@@ -84,7 +84,8 @@ def _raise_on_violations(report: DataFrame, what: str) -> None:
 
 def write_fact(fact: DataFrame, path: str, *, lo: date | None = None, hi: date | None = None,
                cluster: bool = False) -> DataFrame:
-    """K8: the fact partitioned by ``pickup_month`` (RANGE by month).
+    """K8: the fact partitioned by ``pickup_month`` (RANGE by month), replaced
+    as a whole.
 
     With ``lo``/``hi`` the month domain is checked first (K11).  Input read
     from slice-partitioned silver is already clustered by month (a silver row's
@@ -98,17 +99,19 @@ def write_fact(fact: DataFrame, path: str, *, lo: date | None = None, hi: date |
     # split over several tasks instead of landing in one.
     spread = F.xxhash64("pickup_time_key", "pickup_location_key", "dropoff_location_key", "total_amount")
     out = fact.repartitionByRange("pickup_month", "pickup_date", spread) if cluster else fact
+    # a full rebuild: months the new fact does not have must go
     (out.sortWithinPartitions("pickup_month", "pickup_date")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
         .partitionBy("pickup_month").parquet(path))
-    return fact.sparkSession.read.parquet(path)
+    return fact.sparkSession.read.schema(fact.schema).parquet(path)
 
 
 def write_list_partitioned(df: DataFrame, path: str, col: str, allowed) -> DataFrame:
     """K9: LIST partitioning on ``col``; values outside ``allowed`` are an error."""
     _raise_on_violations(check_partition_domain(df, col, allowed=allowed), path)
-    df.write.mode("overwrite").partitionBy(col).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+       .partitionBy(col).parquet(path))
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def hash_bucket(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -120,4 +123,4 @@ def hash_bucket(df: DataFrame, key: str, n: int) -> DataFrame:
 def write_hash_bucketed(df: DataFrame, path: str, key: str, n: int) -> DataFrame:
     """``n`` files, one per hash bucket of ``key``."""
     df.repartition(n, key).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

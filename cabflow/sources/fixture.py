@@ -92,10 +92,15 @@ def zones_view(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def zones_csv_frame(t: dict[str, DataFrame]) -> DataFrame:
-    """The zone lookup as its CSV names its columns."""
-    z = zones_view(t)
-    return z.select(F.col("location_id").alias("LocationID"), F.col("borough").alias("Borough"),
-                    F.col("zone_name").alias("Zone"), "service_zone")
+    """The zone lookup as its CSV names its columns and writes what is missing:
+    ``N/A``.  Nation 24, which the lookup lacks, stands there with nothing
+    known about it."""
+    z = zones_view(t).unionByName(t["nation"].where(F.col("n_nationkey") == 24).select(
+        (F.col("n_nationkey") + 240).alias("location_id"), F.lit(None).cast("string").alias("borough"),
+        F.lit(None).cast("string").alias("zone_name"), F.lit(None).cast("string").alias("service_zone")))
+    return z.select(F.col("location_id").alias("LocationID"), F.coalesce("borough", F.lit("N/A")).alias("Borough"),
+                    F.coalesce("zone_name", F.lit("N/A")).alias("Zone"),
+                    F.coalesce("service_zone", F.lit("N/A")).alias("service_zone"))
 
 
 def write_landing(raw: DataFrame, base: str) -> None:

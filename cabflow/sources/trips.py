@@ -26,8 +26,9 @@ def slice_path(base: str, service: str, month: str) -> str:
 def _cast_to(c: str, src: T.DataType, dst: T.DataType):
     col = F.col(c)
     if isinstance(dst, _INTEGRAL) and isinstance(src, _FRACTIONAL):
-        # integral codes stored as double: round half to even, as ::int does
-        return F.rint(col).cast(dst)
+        # integral codes stored as double: round half to even, as ::int does;
+        # NaN, infinities and values beyond the type are missing
+        return F.rint(col).try_cast(dst)
     return col.cast(dst)
 
 
@@ -62,66 +63,60 @@ def conform_slice(df: DataFrame, service: str, month,
     return df.select(*cols)
 
 
-def read_slice(spark: SparkSession, base: str, service: str, month: str,
-               ingest_ts: datetime) -> DataFrame | None:
-    """One slice, or None when its folder does not exist (coverage marks it
-    ``missing``).  Any other read error propagates (D9)."""
+def slice_files(spark: SparkSession, base: str, service: str, months) -> list[str]:
+    """Paths of the Parquet files of the given slices (one string a file; only
+    listed, not read).  Missing and empty folders give none."""
+    root = f"{base.rstrip('/')}/{service}"
+    if not months:
+        return []
     try:
-        df = spark.read.parquet(slice_path(base, service, month))
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                 .load(f"{root}/source_month={{{','.join(months)}}}").select("path"))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return None
+            return []
         raise
-    return conform_slice(df, service, month, ingest_ts)
-
-
-# Groups of at most this many slices are opened one by one.
-_MIN_MERGED_GROUP = 8
-
-
-def _read_slices(spark: SparkSession, base: str, service: str, months, ingest_ts) -> list[DataFrame]:
-    # Opening a slice lists its folder and reads one footer on the driver;
-    # doing that for several slices at once hides the storage latency.
-    with ThreadPoolExecutor(max_workers=min(8, max(1, len(months)))) as pool:
-        parts = list(pool.map(lambda m: read_slice(spark, base, service, m, ingest_ts), months))
-    return [p for p in parts if p is not None]
+    return sorted(r.path for r in files.collect())
+
+
+def _by_schema(spark: SparkSession, files: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Files grouped by their own footer's schema.
+
+    Each footer is read by itself, a few at a time, so files that do not agree
+    never meet in one schema merge.  A folder whose files all agree is given
+    as one path."""
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema, files))
+    kinds: dict[str, T.StructType] = {}
+    folders: dict[str, dict[str, list[str]]] = {}
+    for f, schema in zip(files, schemas):
+        kind = schema.simpleString()
+        kinds.setdefault(kind, schema)
+        folders.setdefault(f.rsplit("/", 1)[0], {}).setdefault(kind, []).append(f)
+    paths: dict[str, list[str]] = {kind: [] for kind in kinds}
+    for folder, parts in folders.items():
+        for kind, own in parts.items():
+            paths[kind] += [folder] if len(parts) == 1 else own
+    return [(kinds[kind], found) for kind, found in paths.items()]
 
 
 def _read_service(spark: SparkSession, base: str, service: str, months: list[str],
                   ingest_ts: datetime) -> list[DataFrame]:
-    """All requested slices of one service.
-
-    First as ONE scan: a brace glob over the slice folders (missing months
-    simply match nothing) with ``mergeSchema``, whose footer merge runs as a
-    distributed job; ``source_month`` comes from the folder names.  When the
-    footers cannot be merged (a column is int in one month and double in
-    another, or names differ only in case), the months are split in halves
-    and each half is tried again, so a drifted slice ends up read on its own
-    footer schema while the others stay merged.
-    """
-    if not months:
-        return []
-    if len(months) <= _MIN_MERGED_GROUP:
-        return _read_slices(spark, base, service, months, ingest_ts)
+    """All requested slices of one service: one scan per footer schema that
+    occurs, each with that schema given, whatever the number of months.  The
+    months come from the folder names."""
     root = f"{base.rstrip('/')}/{service}"
-    pattern = f"{root}/source_month={{{','.join(months)}}}"
-    try:
-        df = spark.read.option("basePath", root).option("mergeSchema", "true").parquet(pattern)
-        names = [f.name.lower() for f in df.schema.fields]
-        merged_ok = len(set(names)) == len(names)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return []
-        raise
-    except Exception as e:  # the schema merge job failed on incompatible footers
-        if "CANNOT_MERGE" not in str(e) and "Failed to merge" not in str(e):
-            raise
-        merged_ok = False
-    if merged_ok:
-        return [conform_slice(df, service, F.col("source_month"), ingest_ts)]
-    mid = len(months) // 2
-    return (_read_service(spark, base, service, months[:mid], ingest_ts)
-            + _read_service(spark, base, service, months[mid:], ingest_ts))
+    return [conform_slice(spark.read.schema(schema).option("basePath", root).parquet(*paths),
+                          service, F.col("source_month"), ingest_ts)
+            for schema, paths in _by_schema(spark, slice_files(spark, base, service, months))]
+
+
+def read_slice(spark: SparkSession, base: str, service: str, month: str,
+               ingest_ts: datetime) -> DataFrame | None:
+    """One slice, or None when it has no file (coverage marks it ``missing``).
+    Any other read error propagates (D9)."""
+    parts = _read_service(spark, base, service, [month], ingest_ts)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
 
 
 def read_trips(spark: SparkSession, base: str, services, months,
@@ -136,11 +131,31 @@ def read_trips(spark: SparkSession, base: str, services, months,
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def read_zones(spark: SparkSession, path: str) -> DataFrame:
-    """Zone lookup CSV with a header (LocationID, Borough, Zone, service_zone)."""
-    return spark.read.csv(path, header=True, schema=ZONE_CSV_SCHEMA, enforceSchema=False)
+# Texts read as missing in CSV cells (the reader the reference
+# uses takes them so by default).
+MISSING_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+
+def _present(c: str) -> Column:
+    """The cell's text, or NULL where it stands for a missing value."""
+    return F.when(~F.trim(F.col(f"`{c}`")).isin(*MISSING_TOKENS), F.col(f"`{c}`"))
+
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """S3: any CSV with a header; missing-value tokens become NULL, then each
+    column is cast to the schema's type (no schema: text)."""
+    df = spark.read.csv(path, header=True)
+    if schema is None:
+        return df.select(*[_present(c).alias(c) for c in df.columns])
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    names = {c.lower(): c for c in df.columns}
+    return df.select(*[_present(names[f.name.lower()]).cast(f.dataType).alias(f.name) for f in schema.fields])
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """S3: any CSV with a header and an explicit schema (no inference)."""
-    return spark.read.csv(path, header=True, schema=schema)
+
+def read_zones(spark: SparkSession, path: str) -> DataFrame:
+    """Zone lookup CSV with a header (LocationID, Borough, Zone, service_zone)."""
+    return read_csv(spark, path, ZONE_CSV_SCHEMA)

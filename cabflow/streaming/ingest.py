@@ -37,7 +37,9 @@ def slice_arrivals(spark: SparkSession, landing: str, max_files_per_trigger: int
     """Streaming frame of (service_type, source_month), one row per newly
     seen file.  The ``binaryFile`` source yields one row per file, and only
     its path is selected, so file contents are never read here."""
-    reader = spark.readStream.format("binaryFile").schema(_FILE_SCHEMA)
+    # A file counts as new by its path alone: by default the source would skip
+    # files a week older than the newest one seen, as a backfill's are.
+    reader = spark.readStream.format("binaryFile").schema(_FILE_SCHEMA).option("maxFileAge", "36500d")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     files = (reader

@@ -43,7 +43,76 @@ def test_zone_csv_round_trip(spark, tables, scratch):
     write_csv(fixture.zones_csv_frame(tables).coalesce(1), f"{scratch}/zones")
     z = bronze_zones(read_zones(spark, f"{scratch}/zones"))
     assert z.columns == ["location_id", "borough", "zone_name", "service_zone"]
-    assert z.count() == 24 and z.where(F.col("location_id") == 24).count() == 0
+    assert z.count() == 25 and z.where(F.col("location_id") == 24).count() == 0
+    unknown = z.where(F.col("location_id") == 264).first()
+    assert (unknown.borough, unknown.zone_name, unknown.service_zone) == (None, None, None)   # N/A in the file
+
+
+def test_csv_missing_tokens(spark, scratch):
+    from cabflow.sources.trips import MISSING_TOKENS, read_csv
+    rows = [(str(i), t) for i, t in enumerate([*MISSING_TOKENS, "Nairobi", "none", "0"])]
+    write_csv(spark.createDataFrame(rows, "id string, v string").coalesce(1), f"{scratch}/c")
+    got = {r.id: r.v for r in read_csv(spark, f"{scratch}/c", "id int, v string").collect()}
+    n = len(MISSING_TOKENS)
+    assert [got[i] for i in range(n)] == [None] * n and [got[n], got[n + 1], got[n + 2]] == ["Nairobi", "none", "0"]
+
+
+def _landing_with_drift(spark, base):
+    """Twelve months; one slice of two files, the first without a column; one
+    of three files that store an id as int, double (NaN among them) and long;
+    one empty folder."""
+    import os
+    from datetime import datetime
+    cols = "vendorid int, tpep_pickup_datetime timestamp_ntz, trip_distance double, pulocationid int, tip_amount double"
+    ts = datetime(2024, 1, 1)
+    for m in range(1, 13):
+        path = f"{base}/yellow/source_month=2024-{m:02d}"
+        df = spark.createDataFrame([(1, ts, 1.0, 5, 2.0), (2, ts, 1.0, 6, 2.0)], cols)
+        if m == 3:
+            df.drop("tip_amount").coalesce(1).write.mode("append").parquet(path)
+            df.coalesce(1).write.mode("append").parquet(path)
+        elif m == 7:
+            df.coalesce(1).write.mode("append").parquet(path)
+            nan = spark.createDataFrame([(3, ts, 1.0, float("nan"), 2.0), (4, ts, 1.0, 7.0, 2.0)],
+                                        cols.replace("pulocationid int", "pulocationid double"))
+            nan.coalesce(1).write.mode("append").parquet(path)
+            df.withColumn("pulocationid", F.col("pulocationid").cast("long")).coalesce(1).write.mode("append").parquet(path)
+        elif m == 9:
+            os.makedirs(path)
+        else:
+            df.coalesce(1).write.parquet(path)
+
+
+def test_read_does_not_depend_on_the_months_asked_for(spark, scratch):
+    from datetime import datetime
+    _landing_with_drift(spark, scratch)
+    months = [f"2024-{m:02d}" for m in range(1, 13)]
+    read = lambda ms: sorted(map(str, (tuple(r) for r in read_trips(
+        spark, scratch, ["yellow", "green"], ms, datetime(2026, 1, 1)).collect())))
+    whole = read_trips(spark, scratch, ["yellow"], months, datetime(2026, 1, 1))
+    per_month = {r.source_month: r for r in whole.groupBy("source_month").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("tip_amount").alias("tip"), F.count("pulocationid").alias("ids")).collect()}
+    assert "2024-09" not in per_month and len(per_month) == 11
+    assert (per_month["2024-03"].n, per_month["2024-03"].tip) == (4, 4.0)
+    assert (per_month["2024-07"].n, per_month["2024-07"].ids) == (6, 5)          # NaN is missing
+    assert read(months) == sorted(sum((read([m]) for m in months), []))
+    assert read(["2024-09"]) == [] == read(["2031-01"])
+
+
+def test_stream_takes_files_older_than_those_seen(spark, tables, scratch):
+    import glob
+    import os
+    import time
+    raw = fixture.raw_trips(tables).where(F.col("source_month").between("1997-01", "1997-02"))
+    landing, bronze, ckpt = f"{scratch}/landing", f"{scratch}/bronze", f"{scratch}/ckpt"
+    fixture.write_landing(raw.where(F.col("source_month") == "1997-02"), landing)
+    ingest_available(spark, landing, bronze, ckpt, fixture.FIXTURE_INGEST_TS)
+    fixture.write_landing(raw.where(F.col("source_month") == "1997-01"), landing)
+    old = time.time() - 30 * 86400
+    for f in glob.glob(f"{landing}/*/source_month=1997-01/*.parquet"):
+        os.utime(f, (old, old))
+    ingest_available(spark, landing, bronze, ckpt, fixture.FIXTURE_INGEST_TS)
+    assert spark.read.parquet(bronze).count() == raw.count()
 
 
 def test_replace_slice_is_idempotent(spark, tables, scratch):

@@ -60,7 +60,7 @@ def test_question_joins_are_broadcast(gold):
 def test_no_python_evaluation_in_registered_queries(spark):
     r = Run(spark, SF001)
     skip = {"scan_trips", "stream_ingest", "replace_slice_rerun", "list_partition_counts", "scan_zones",
-            "impute_median"}
+            "impute_median", "replace_slice_empty", "materialize_kinds", "csv_round_trip", "fact_rebuild"}
     for name, fn in QUERIES.items():
         if name in skip:
             continue
@@ -68,6 +68,40 @@ def test_no_python_evaluation_in_registered_queries(spark):
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
 
 
+def test_registered_queries_prune_written_gold(spark):
+    r = Run(spark, SF001)
+    for q in ("pruned_count", "q01", "q03", "q05", "q09", "q15"):
+        p = plan(QUERIES[q](r))
+        assert "PartitionFilters: [isnotnull(pickup_month" in p, q
+        assert p.count("BroadcastHashJoin") <= 2, q          # the fact is read, not built again
+
+
+def test_profile_scans_bronze_once(spark, gold):
+    from cabflow.operators.silver import slice_profile
+    r = Run(spark, SF001)
+    raw_scans = lambda p: sum("FileScan" in x and "tpep_pickup_datetime" in x for x in p.splitlines())
+    assert raw_scans(plan(slice_profile(r.bronze, r.zones, P))) == 1
+    for q in ("coverage", "reject_reasons", "reject_first_reason"):
+        assert raw_scans(plan(QUERIES[q](r))) == 0, q
+
+
+def test_percentiles_run_over_counts_only(gold):
+    import re
+    t = gold.tables()
+    for q in ("q18", "q19"):
+        p = plan(Q.QUESTIONS[q](t, P))
+        keys = re.findall(r"keys=\[([^\]]*)\], functions=\[partial_(\w+)", p)
+        assert any("trip_duration_minutes" in k and f == "count" for k, f in keys), q
+        assert all("trip_duration_minutes" not in k for k, f in keys if f == "percentile"), q
+
+
+def test_answers_do_not_hang_on_the_broadcast_cap(spark):
+    a, b = Run(spark, SF001), Run(spark, SF001, P.with_(broadcast_max_rows=0))
+    rows = lambda df: sorted(map(str, (tuple(r) for r in df.collect())))
+    for q in ("q02", "q05", "q14", "q20", "unmatched_keys", "dq_relationships", "reject_first_reason", "coverage"):
+        assert rows(QUERIES[q](a)) == rows(QUERIES[q](b)), q
+
+
 def test_fact_scans_read_only_needed_columns(gold):
     import re
     t = gold.tables()

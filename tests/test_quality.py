@@ -38,3 +38,19 @@ def test_fused_relationships_match_separate_tests(spark):
     fused = {r.test: r.failures for r in relationships_report(checks).collect()}
     single = {name: relationship_failures(c, k, p, pk, name).first().failures for name, c, k, p, pk in checks}
     assert fused == single == {"t1": 2, "t2": 2, "t3": 1, "t1_again": 5}
+
+
+def test_keys_compare_in_their_common_type(spark):
+    """1 and 1.00 are one key, however many tests share the child."""
+    from decimal import Decimal
+
+    from cabflow.operators.quality import relationships_report
+    child = spark.createDataFrame([(1, 0.0, "a"), (2, 5.0, "b"), (3, None, None)], "k int, x double, s string")
+    dec = spark.createDataFrame([(Decimal("1.00"),), (Decimal("2.00"),), (Decimal("2.50"),)], "d decimal(5,2)")
+    dbl = spark.createDataFrame([(-0.0,), (5.0,)], "f double")
+    longs = spark.createDataFrame([(1,), (3,)], "n long")
+    checks = [("dec", child, "k", dec, "d"), ("dbl", child, "x", dbl, "f"), ("long", child, "k", longs, "n")]
+    want = {"dec": 1, "dbl": 0, "long": 1}
+    assert {r.test: r.failures for r in relationships_report(checks).collect()} == want
+    for c in checks:
+        assert relationships_report([c]).first().failures == want[c[0]]

@@ -68,16 +68,28 @@ def test_questions_on_fixture_have_expected_shapes(spark):
                              (F.col("pickup_date") <= date(1997, 1, 31))).count())
 
 
-def test_approx_percentiles_switch(spark):
-    from cabflow.plans.catalog import Run
+def test_money_at_its_limit_does_not_overflow(spark):
+    """The largest tip over the smallest fare, and the longest trip in one
+    minute, average exactly."""
+    from decimal import Decimal
+    from fractions import Fraction
+
+    from cabflow.params import FIXTURE_PARAMS as P
     from cabflow.plans import questions as Q
-    from tests.conftest import SF001
-    r = Run(spark, SF001)
-    exact = {x.borough: (x.p50, x.p90) for x in Q.q18(r.t, r.p).collect()}
-    approx = {x.borough: (x.p50, x.p90) for x in Q.q18(r.t, r.p.with_(approx_percentiles=True)).collect()}
-    assert exact.keys() == approx.keys()
-    for b in exact:
-        assert abs(exact[b][0] - approx[b][0]) <= 1.0 and abs(exact[b][1] - approx[b][1]) <= 1.0
+    top, cent = Decimal("999999999999.99"), Decimal("0.01")
+    rows = [(1, top, cent, top, 1), (1, Decimal("1.00"), Decimal("3.00"), Decimal("2.00"), 7),
+            (1, -top, top, cent, 61), (1, top, Decimal("0.00"), cent, 0), (1, None, cent, None, 30)]
+    fact = spark.createDataFrame([(*r, date(1997, 1, 5), date(1997, 1, 1), Decimal("0.00")) for r in rows],
+                                 "payment_type_key int, tip_amount decimal(14,2), fare_amount decimal(14,2), "
+                                 "trip_distance decimal(14,2), trip_duration_minutes int, pickup_date date, "
+                                 "pickup_month date, total_amount decimal(14,2)")
+    got = Q.q14({"fct_trips": fact}, P).first().avg_tip_pct
+    cut = lambda x: int(x)  # noqa: E731  toward zero
+    ratios = [cut(Fraction(t) / Fraction(f) * 10**9) for _, t, f, _, _ in rows if t is not None and f]
+    assert got == float(sum(ratios)) / float(len(ratios)) / 1e7
+    speed = fact.agg(Q.exact_mean(Q._SPEED_E9, 1e9)).first()[0]
+    speeds = [cut(Fraction(d) * 60 * 10**9 / m) for _, _, _, d, m in rows if d is not None and m]
+    assert speed == float(sum(speeds)) / float(len(speeds)) / 1e9
 
 
 def test_exact_mean_is_partition_independent(spark):

@@ -6,7 +6,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from cabflow.operators.bronze import bronze_trips
-from cabflow.operators.silver import reject_first_reason, reject_reasons, silver_trips
+from cabflow.operators.silver import reject_first_reason, reject_reasons, silver_trips, slice_profile
 from cabflow.params import FIXTURE_PARAMS, Params
 from cabflow.sources import fixture
 from tests.conftest import SF001
@@ -52,7 +52,7 @@ def test_each_rule_rejects_its_row(spark):
     b, z = _frames(spark)
     s = silver_trips(b, z, P)
     assert s.count() == 1 + len(KEPT_EXTRA)
-    first = {r.first_reason: r.trips for r in reject_first_reason(b, z, P).collect()}
+    first = {r.first_reason: r.trips for r in reject_first_reason(slice_profile(b, z, P)).collect()}
     for reason in EDGE:
         if reason != "kept":
             assert first.get(reason) == 1, reason
@@ -62,7 +62,7 @@ def test_each_rule_rejects_its_row(spark):
 
 def test_reject_reasons_overlap(spark):
     b, z = _frames(spark)
-    rr = {r.rule: r.rejected for r in reject_reasons(b, z, P).collect()}
+    rr = {r.rule: r.rejected for r in reject_reasons(slice_profile(b, z, P)).collect()}
     # rules overlap: the NULL pickup / dropoff rows also fail the comparison
     # (a NULL comparison does not pass), so they are counted there too
     assert rr["pickup_after_dropoff"] == 3
@@ -95,7 +95,7 @@ def test_fixture_counts_match_spec(spark):
     assert (agg.n, agg.yellow, agg.months) == (3417, 1720, 68)
     assert str(agg.total) == "179649976.78"
     assert agg.y1997 == 594
-    rr = {r.rule: r.rejected for r in reject_reasons(b, z, FIXTURE_PARAMS).collect()}
+    rr = {r.rule: r.rejected for r in reject_reasons(slice_profile(b, z, FIXTURE_PARAMS)).collect()}
     assert rr["pickup_after_dropoff"] == 158
     assert rr["negative_total"] == 276
     assert rr["pickup_before_min_date"] == 962

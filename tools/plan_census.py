@@ -18,7 +18,7 @@ from cabflow.operators.bronze import bronze_trips  # noqa: E402
 from cabflow.operators.coverage import coverage  # noqa: E402
 from cabflow.operators.dims import dimension_domains  # noqa: E402
 from cabflow.operators.fact import fct_trips, unmatched_keys  # noqa: E402
-from cabflow.operators.silver import reject_reasons  # noqa: E402
+from cabflow.operators.silver import reject_reasons, slice_profile  # noqa: E402
 from cabflow.params import FIXTURE_PARAMS as P  # noqa: E402
 from cabflow.plans import questions as Q  # noqa: E402
 from cabflow.plans.gold import build_gold  # noqa: E402
@@ -61,8 +61,11 @@ def main():
     jobs["pruned_count"] = Q.pruned_count(tables, P)
     jobs["(build) dimension_domains"] = dimension_domains(gold.silver)
     jobs["(build) fct_trips"] = fct_trips(gold.silver, gold.dims, P)
-    jobs["coverage"] = coverage(bronze, gold.silver, slice_grid_from(bronze, P.services))
-    jobs["reject_reasons"] = reject_reasons(bronze, zones, P)
+    jobs["(build) slice_profile"] = slice_profile(bronze, zones, P)
+    jobs["(build) slice_profile"].write.parquet(f"{work}/profile")
+    profile = spark.read.parquet(f"{work}/profile")
+    jobs["coverage"] = coverage(profile, slice_grid_from(profile, P.services))
+    jobs["reject_reasons"] = reject_reasons(profile)
     jobs["unmatched_keys"] = unmatched_keys(tables["fct_trips"])
     for k, df in quality_reports(gold, zones, P).items():
         jobs[k] = df
