@@ -28,9 +28,9 @@ SAMPLE_MAX_CHARS = 200_000
 #: A word or n-gram enters the model when seen this often in the sample.
 MIN_COUNT = 2
 #: n-gram lengths tried for unknown words, longest first.
-ORDERS = (5, 4, 3, 2, 1)
+ORDERS = (4, 3, 2, 1)
 #: Words remembered per worker beside the model's own.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 UNDETERMINED = "und"
 
