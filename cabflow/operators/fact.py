@@ -101,7 +101,8 @@ def rowcount_invariant(silver: DataFrame, fact: DataFrame) -> DataFrame:
     return s.unionByName(f)
 
 
-def dimension_usage(fact: DataFrame, dim: DataFrame, dim_key: str, fact_key: str | None = None) -> DataFrame:
+def dimension_usage(fact: DataFrame, dim: DataFrame, dim_key: str, fact_key: str | None = None,
+                    max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Dimension rows with the number of fact rows referencing each (0 when
     none).  The fact is reduced to one row per key with map-side partial
     aggregation before the (small) join."""
@@ -110,5 +111,6 @@ def dimension_usage(fact: DataFrame, dim: DataFrame, dim_key: str, fact_key: str
         F.count(F.lit(1)).alias("trips"))
     # the fact's key column holds only dimension keys (unmatched codes became
     # NULL in fct_trips), so ``used`` has at most as many rows as ``dim``
-    return (dim.join(F.broadcast(used), dim_key, "left")
+    used = F.broadcast(used) if row_count_at_most(dim, max_broadcast_rows) else used
+    return (dim.join(used, dim_key, "left")
             .withColumn("trips", F.coalesce(F.col("trips"), F.lit(0).cast("long"))))

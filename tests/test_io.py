@@ -227,3 +227,28 @@ def test_stream_slice_spread_over_micro_batches(spark, tables, scratch):
     want = {(r.service_type, r.source_month): r["count"]
             for r in raw.groupBy("service_type", "source_month").count().collect()}
     assert got == want
+
+
+def test_narrow_types_halves_doubles_and_longs(spark):
+    from cabflow.operators.bronze import narrow_types
+    df = spark.createDataFrame([(1.1, 2**31 - 1, "x", 3)], "d double, n long, s string, i int")
+    out = narrow_types(df)
+    assert dict(out.dtypes) == {"d": "float", "n": "int", "s": "string", "i": "int"}
+    assert out.first().n == 2**31 - 1
+
+
+def test_layers_have_the_reference_types(spark, tables):
+    """Native column types, which the comparison with DuckDB widens."""
+    from cabflow.params import FIXTURE_PARAMS as P
+    from cabflow.plans.gold import build_gold
+    gold = build_gold(spark, bronze_trips(fixture.raw_trips(tables)), fixture.zones_view(tables), P)
+    money = "decimal(14,2)"
+    want = {"pickup_date": "date", "passengers_count": "int", "trip_distance": money, "fare_amount": money,
+            "tip_amount": money, "tolls_amount": money, "total_amount": money, "trip_duration_minutes": "int",
+            "service_type_key": "string", "pickup_month": "date"}
+    want |= {k: "int" for k in ("pickup_date_key", "dropoff_date_key", "pickup_time_key", "dropoff_time_key",
+                                "pickup_location_key", "dropoff_location_key", "payment_type_key", "vendor_key",
+                                "ratecode_key")}
+    assert dict(gold.fact.dtypes) == want
+    assert dict(gold.dims["dim_date"].dtypes)["full_date"] == "date"
+    assert dict(gold.silver.dtypes)["pickup_ts"] == "timestamp_ntz"
