@@ -10,10 +10,13 @@ ascend together, one bit at a time, until the ranges hold ``CANDIDATES`` rows
 in all.  The rows in the ranges at that depth are scored exactly.
 
 On Spark the arrays of all trees are one table, range-partitioned and sorted by
-(tree, string) and numbered.  It is cut into blocks of ``BLOCK`` rows, each with
-``HALO`` rows of its neighbours, so that a query's range lies inside its own
-block: memory is bounded whatever the number of equal strings.  Strings travel
-first (depths), vectors once a tree (scores).
+(tree, string) and numbered, so a range is an interval of numbers.  First the
+strings alone: in blocks of ``BLOCK`` rows, with ``HALO`` rows of the
+neighbours, each query finds its ranges at all depths.  The few ranges that
+reach a block's edge are found exactly by an aggregate over the prefix.  Then
+the vectors: each row lies in one block, each query goes to the blocks its
+ranges touch and scores its share of them there.  Memory is bounded by the
+block, whatever the number of equal strings, and no range is cut.
 """
 
 from __future__ import annotations
@@ -34,9 +37,8 @@ SYMBOL_BITS, SYMBOLS = 7, 4
 BITS = SYMBOL_BITS * SYMBOLS
 #: Rows in the ranges of all trees, ends of the ascent.
 CANDIDATES = 18_000
-#: Rows of a block, and rows of its neighbours on either side; a range is cut
-#: to so many rows on either side of the query.
-BLOCK, HALO = 8192, 768
+#: Rows of a block, and rows of its neighbours that it sees on either side.
+BLOCK, HALO = 8192, 1024
 _ROWS = 2048
 
 
@@ -126,72 +128,99 @@ def _numbered(forest: DataFrame) -> DataFrame:
 
 def _blocked(numbered: DataFrame, block: int, halo: int) -> DataFrame:
     """Rows with their block; data rows near an edge once more for the
-    neighbouring block."""
+    neighbouring block, which sees them."""
     here = F.floor(F.col("pos") / block).cast("long")
     inside = F.col("pos") % block
     near = F.filter(F.array(here,
                             F.when(~F.col("asks") & (inside < halo) & (here > 0), here - 1),
                             F.when(~F.col("asks") & (inside >= block - halo), here + 1)), lambda b: b.isNotNull())
-    return numbered.select("tree", "code", "rep", "asks", F.explode(near).alias("block"))
+    return numbered.select("tree", "code", "rep", "asks", "pos", F.explode(near).alias("block"))
 
 
-def _ranges(tree, code, at_tree, at_code, depth):
+def _ranges(tree, code, at_tree, at_code, depth: int):
     """Range of the sorted (tree, code) rows that share ``depth`` bits with
     each asked (tree, code)."""
-    keys = (tree.astype(np.uint64) << np.uint64(BITS)) | code.astype(np.uint64)
-    asked = (at_tree.astype(np.uint64) << np.uint64(BITS)) | at_code.astype(np.uint64)
-    low = asked >> (BITS - depth).astype(np.uint64) << (BITS - depth).astype(np.uint64)
-    high = low + (np.uint64(1) << (BITS - depth).astype(np.uint64))
-    return np.searchsorted(keys, low, "left"), np.searchsorted(keys, high, "left"), np.searchsorted(keys, asked, "left")
-
-
-def _cut(lo, hi, at, halo):
-    return np.maximum(lo, at - halo), np.minimum(hi, at + halo)
-
-
-def _depth_counts(halo: int):
-    out = pa.schema([("rep", pa.int64()), ("n", pa.list_(pa.int64()))])
-
-    def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("tree", "ascending"), ("code", "ascending"), ("rep", "ascending")])
-        asks = t.column("asks").to_numpy()
-        tree, code, rep = (t.column(c).to_numpy() for c in ("tree", "code", "rep"))
-        n = np.zeros((int(asks.sum()), BITS + 1), dtype=np.int64)
+    rest = np.uint64(BITS - depth)
+    key = lambda t, c: ((t.astype(np.uint64) << np.uint64(BITS)) | c.astype(np.uint64)) >> rest
+    rows, asked = key(tree, code), key(at_tree, at_code)
+    return np.searchsorted(rows, asked, "left"), np.searchsorted(rows, asked, "right")
+
+
+_FOUND = pa.schema([("rep", pa.int64()), ("tree", pa.int32()), ("code", pa.int64()), ("lo", pa.list_(pa.int64())),
+                    ("hi", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())), ("open", pa.list_(pa.bool_()))])
+
+
+def _find_ranges(t: pa.Table) -> pa.Table:
+    """For each query of a block and each depth: the interval of numbers of the
+    rows that share so many bits, their count, and whether the interval reaches
+    the edge of what the block sees (then it may go on beyond)."""
+    t = t.sort_by("pos")
+    asks = t.column("asks").to_numpy()
+    tree, code, rep, pos = (t.column(c).to_numpy() for c in ("tree", "code", "rep", "pos"))
+    at = pos[~asks]
+    m = int(asks.sum())
+    lo, hi, n = (np.zeros((m, BITS + 1), dtype=np.int64) for _ in range(3))
+    edge = np.zeros((m, BITS + 1), dtype=bool)
+    if len(at):
         for depth in range(BITS + 1):
-            lo, hi, at = _ranges(tree[~asks], code[~asks], tree[asks], code[asks], np.full(len(n), depth))
-            lo, hi = _cut(lo, hi, at, halo)
-            n[:, depth] = hi - lo
-        return pa.table({"rep": rep[asks], "n": list(n)}, schema=out)
-
-    return run
-
-
-def _scores(halo: int, best: int):
+            a, b = _ranges(tree[~asks], code[~asks], tree[asks], code[asks], depth)
+            n[:, depth] = b - a
+            lo[:, depth] = at[np.minimum(a, len(at) - 1)]
+            hi[:, depth] = np.where(b > a, at[np.maximum(b, 1) - 1] + 1, lo[:, depth])
+            edge[:, depth] = (a == 0) | (b == len(at))
+    else:
+        edge[:] = True
+    return pa.table({"rep": rep[asks], "tree": tree[asks], "code": code[asks], "lo": list(lo), "hi": list(hi),
+                     "n": list(n), "open": list(edge)}, schema=_FOUND)
+
+
+def _intervals(found: DataFrame, numbered: DataFrame, candidates: int) -> DataFrame:
+    """rep, tree, lo, hi: each query's interval in each tree at the depth where
+    all trees' intervals together hold ``candidates`` rows."""
+    level = (found.select("rep", *[F.col("n")[d].alias(f"n{d}") for d in range(BITS + 1)])
+             .groupBy("rep").agg(*[F.sum(f"n{d}").alias(f"n{d}") for d in range(BITS + 1)]))
+    deepest = F.coalesce(*[F.when(F.col(f"n{d}") >= candidates, F.lit(d)) for d in range(BITS, -1, -1)], F.lit(0))
+    depths = written(level.select("rep", deepest.cast("int").alias("depth")), "ann_depths")
+    at = lambda c: F.element_at(c, F.col("depth") + 1)
+    picked = written(found.join(depths, "rep").select(
+        "rep", "tree", "depth", F.expr(f"shiftright(code, {BITS} - depth)").alias("prefix"),
+        at("lo").alias("lo"), at("hi").alias("hi"), at("open").alias("open")), "ann_picked")
+    # the open ones: first and last number of their prefix, over all rows
+    used = sorted(r["depth"] for r in picked.where("open").select("depth").distinct().collect())  # a few depths
+    closed = picked.where(~F.col("open")).select("rep", "tree", "lo", "hi")
+    if not used:
+        return closed
+    prefix = ["tree", "depth", "prefix"]
+    ends = (numbered.where(~F.col("asks")).withColumn("depth", F.explode(F.array(*[F.lit(d) for d in used])))
+            .withColumn("prefix", F.expr(f"shiftright(code, {BITS} - depth)"))
+            .groupBy(*prefix).agg(F.min("pos").alias("lo"), (F.max("pos") + 1).alias("hi")))
+    return closed.unionAll(picked.where("open").select("rep", *prefix).join(written(ends, "ann_ends"), prefix)
+                           .select("rep", "tree", "lo", "hi"))
+
+
+def _scores(best: int):
     out = pa.schema([("rep", pa.int64()), ("found", pa.int64()), ("score", pa.float64())])
 
     def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("tree", "ascending"), ("code", "ascending"), ("rep", "ascending")])
+        t = t.sort_by("lo")
         asks = t.column("asks").to_numpy()
-        tree, code, rep = (t.column(c).to_numpy() for c in ("tree", "code", "rep"))
-        x = _stack(t.column("vector").combine_chunks())
-        data = ~asks
-        depth = t.column("depth").to_numpy(zero_copy_only=False)[asks].astype(np.int64)
-        lo, hi, at = _ranges(tree[data], code[data], tree[asks], code[asks], depth)
-        lo, hi = _cut(lo, hi, at, halo)
-        ids, rows = rep[data], x[data]
+        rep, lo, hi = (t.column(c).to_numpy() for c in ("rep", "lo", "hi"))
         q, f, s = [], [], []
-        for r, v, a, b in zip(rep[asks].tolist(), x[asks], lo.tolist(), hi.tolist(), strict=True):
-            if a >= b:
-                continue
-            score, who = rows[a:b] @ v, ids[a:b]
-            if b - a > best:  # keep all ties of the last place
-                low = np.partition(score, b - a - best)[b - a - best]
-                k = score >= low
-                score, who = score[k], who[k]
-            k = np.lexsort((who, -score))[:best]
-            q.append(np.full(len(k), r))
-            f.append(who[k])
-            s.append(score[k])
+        if asks.any() and not asks.all():
+            x = _stack(t.column("vector").combine_chunks())
+            ids, rows, pos = rep[~asks], x[~asks], lo[~asks]
+            first, last = np.searchsorted(pos, lo[asks]), np.searchsorted(pos, hi[asks])
+            for r, v, a, b in zip(rep[asks].tolist(), x[asks], first.tolist(), last.tolist(), strict=True):
+                if a >= b:
+                    continue
+                score, who = rows[a:b] @ v, ids[a:b]
+                if b - a > best:  # keep all ties of the last place
+                    k = score >= np.partition(score, b - a - best)[b - a - best]
+                    score, who = score[k], who[k]
+                k = np.lexsort((who, -score))[:best]
+                q.append(np.full(len(k), r))
+                f.append(who[k])
+                s.append(score[k])
         return pa.table({"rep": np.concatenate(q) if q else [], "found": np.concatenate(f) if f else [],
                          "score": np.concatenate(s) if s else []}, schema=out)
 
@@ -241,18 +270,20 @@ def search(vectors: DataFrame, is_query, column: str = "embedding", k: int = 20,
                            (F.col("vec_id") == F.col("rep")) & rows["h1"].eqNullSafe(classes["h1"])
                            & rows["h2"].eqNullSafe(classes["h2"]))
                      .select("rep", F.col("any").alias("asks"), "vector").dropDuplicates(["rep"]), "ann_vectors")
-    numbered = _numbered(_forest(stands, trees, float(longest)))
-    blocks = written(_blocked(numbered, block, halo), "ann_blocks")
+    numbered = written(_numbered(_forest(stands, trees, float(longest))), "ann_numbered")
     ship(spark)
-    level = (blocks.groupBy("block").applyInArrow(_depth_counts(halo), "rep long, n array<long>")
-             .select("rep", *[F.col("n")[d].alias(f"n{d}") for d in range(BITS + 1)])
-             .groupBy("rep").agg(*[F.sum(f"n{d}").alias(f"n{d}") for d in range(BITS + 1)]))
-    deepest = F.coalesce(*[F.when(F.col(f"n{d}") >= candidates, F.lit(d)) for d in range(BITS, -1, -1)], F.lit(0))
-    depths = written(level.select("rep", deepest.cast("int").alias("depth")), "ann_depths")
-    carried = (blocks.join(stands.select("rep", "vector"), "rep").join(depths, "rep", "left")
-               .select("block", "tree", "code", "rep", "asks", F.when(F.col("asks"), F.col("depth")).otherwise(0).alias("depth"),
-                       "vector"))
-    hits = carried.groupBy("block").applyInArrow(_scores(halo, k + 1), "rep long, found long, score double")
+    found = written(_blocked(numbered, block, halo).groupBy("block").applyInArrow(
+        _find_ranges, "rep long, tree int, code long, lo array<long>, hi array<long>, n array<long>, open array<boolean>"),
+        "ann_ranges")
+    intervals = written(_intervals(found, numbered, candidates).where("hi > lo"), "ann_intervals")
+    place = F.floor(F.col("lo") / block).cast("long")
+    visits = intervals.select(
+        F.explode(F.sequence(place, F.floor((F.col("hi") - 1) / block).cast("long"))).alias("block"),
+        "rep", F.lit(True).alias("asks"), "lo", "hi")
+    rows = numbered.where(~F.col("asks")).select(F.floor(F.col("pos") / block).cast("long").alias("block"), "rep", "asks",
+                                                 F.col("pos").alias("lo"), (F.col("pos") + 1).alias("hi"))
+    hits = (rows.unionAll(visits).join(stands.select("rep", "vector"), "rep")
+            .groupBy("block").applyInArrow(_scores(k + 1), "rep long, found long, score double"))
     hits = written(hits.groupBy("rep", "found").agg(F.max("score").alias("score")), "ann_hits")
     ids = written(_smallest_ids(members, k + 1), "ann_ids")
     best = (hits.join(ids, hits["found"] == ids["rep"]).select(hits["rep"], "score", F.explode("ids").alias("vec_id"))

@@ -71,6 +71,20 @@ def test_search_with_room_for_all_equals_brute_force(spark, norms):
             assert i == j or s == pytest.approx(t, abs=1e-12)
 
 
+def test_ranges_beyond_a_block_are_searched_whole(spark):
+    """400 vectors so close that they share their strings, in blocks of 64."""
+    g = np.random.default_rng(9)
+    c = g.normal(size=24)
+    c /= np.linalg.norm(c)
+    rows = [(i, (c + 1e-4 * g.normal(size=24)).tolist()) for i in range(400)]
+    rows += [(1001 + i, g.normal(size=24).tolist()) for i in range(300)]
+    got = found(search(vectors(spark, rows), F.col("vec_id") % 20 == 0, candidates=600, trees=4, block=64, halo=8))
+    want = brute(rows, 20)
+    assert set(got) == set(want)
+    hits = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want if q < 1000]
+    assert np.mean(hits) > 0.98
+
+
 def test_search_of_few_and_no_rows(spark):
     assert found(search(vectors(spark, [(0, [1, 0]), (20, [0, 1]), (3, [1, 1])]), F.col("vec_id") % 20 == 0)) == {
         0: [(3, 1.0), (20, 0.0)], 20: [(3, 1.0), (0, 0.0)]}
