@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -24,8 +23,9 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package's source to the executors once per application, so
-    that Python tasks run wherever the job was submitted from."""
+    """Send the package's source to the executors once per application, by way
+    of the shared checkpoint folder, so that Python tasks run wherever the job
+    was submitted from."""
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
@@ -37,10 +37,12 @@ def ship(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     p = os.path.join(folder, name)
                     z.write(p, os.path.relpath(p, os.path.dirname(root)))
-    path = os.path.join(tempfile.mkdtemp(prefix="cabflow-src-"), "cabflow_src.zip")
-    with open(path, "wb") as f:
-        f.write(buf.getvalue())
-    sc.addPyFile(path)  # the driver's file server hands it out
+    path = f"{scratch_path(spark, 'src')}/cabflow_src.zip"
+    jvm_path = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = jvm_path.getFileSystem(sc._jsc.hadoopConfiguration()).create(jvm_path)
+    out.write(bytearray(buf.getvalue()))
+    out.close()
+    sc.addPyFile(path)
     _shipped.add(sc.applicationId)
 
 
