@@ -90,3 +90,15 @@ def test_registered(spark):
     q, o = entry.queries(), entry.oracle_sql()
     assert {f"op{n}_" for n in range(1, 11)} == {k.partition("_")[0] + "_" for k in q if k.startswith("op")}
     assert "pipeline" in q and "op8_mixing" in o and set(o) <= set(q)
+
+
+@pytest.mark.parametrize("key", ["op5_ngram_join", "op10_vector_dedup"])
+def test_equals_duckdb(spark, key):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF01}/{t}.parquet')")
+    got = entry.queries()[key](spark, SF01)
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({entry.oracle_sql()[key]})").fetchall()
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
