@@ -26,7 +26,7 @@ from cabflow.llm.common import arrow_map, emit, slices
 from cabflow.llm.vocab import Vocab, broadcast_vocab, load
 
 #: Pre-tokens remembered per worker, and the longest one remembered.
-CACHE_ENTRIES, CACHE_CHARS = 300_000, 64
+CACHE_ENTRIES, CACHE_CHARS = 600_000, 64
 
 _codecs: dict[int, "Codec"] = {}
 
@@ -55,7 +55,16 @@ class Codec:
                     self.shorter[i] = j
                     break
         self.length = [len(b) for b in vocab.bytes_of]
-        self.pairs: dict[tuple[int, int], bool] = {}
+        #: left id * size + right id -> compatible, filled as pairs are met
+        self.pairs: dict[int, bool] = {}
+        self.size = size
+        #: whether a token's own bytes encode as itself: tokens by rank, so
+        #: that both parts are known before their join
+        self.alone = [True] * size
+        for tok in sorted(range(size), key=self.rank.__getitem__):
+            if self.rank[tok] >= 0:
+                self.alone[tok] = self.alone[self.left[tok]] and self.alone[self.right[tok]] and self._seam_holds(
+                    self.left[tok], self.right[tok], joined=True)
         # decoder
         self.blob = np.frombuffer(b"".join(vocab.bytes_of), dtype=np.uint8)
         self.lens = np.array(self.length, dtype=np.int64)
@@ -66,24 +75,27 @@ class Codec:
     # ------------------------------------------------------------- encoding
 
     def compatible(self, a: int, b: int) -> bool:
-        """Whether the bytes of a and b on end encode as [a, b]: no merge
-        across the seam may come before the merges that made the two sides,
-        which are undone here from the latest to the earliest."""
-        key = (a, b)
+        """Whether the bytes of a and b on end encode as [a, b]."""
+        key = a * self.size + b
         known = self.pairs.get(key)
         if known is None:
-            known = self.pairs[key] = self._compatible(a, b)
+            known = self.pairs[key] = self._seam_holds(a, b)
         return known
 
-    def _compatible(self, a: int, b: int) -> bool:
+    def _seam_holds(self, a: int, b: int, joined: bool = False) -> bool:
+        """Whether no merge across the seam of a and b comes before the merges
+        that make the two sides, which are undone here from the latest to the
+        earliest.  ``joined``: the merge of a and b themselves is the one meant.
+        """
         rank, merge = self.rank, self.vocab.merge
         # A seam merge wins over the next merge of a side if its rank is lower,
         # or equal and further left (only the right side's merge is further right).
-        bound, on_tie = float("inf"), False
+        bound, on_tie, first = float("inf"), False, joined
         while True:
             m = merge.get((a, b))
-            if m and (m[0] < bound or (on_tie and m[0] == bound)):
+            if not first and m and (m[0] < bound or (on_tie and m[0] == bound)):
                 return False
+            first = False
             ra, rb = rank[a], rank[b]
             if ra < 0 and rb < 0:
                 return True
@@ -102,63 +114,37 @@ class Codec:
             s = end - k + 1
             if k > size[s]:
                 size[s], longest[s] = k, tok
-        if size and size[0] == n:
-            whole = longest[0]
-            if self._alone(whole):
-                return [whole]
-        length, shorter, compatible = self.length, self.shorter, self.compatible
+        alone = self.alone
+        if n and size[0] == n and alone[longest[0]]:
+            return [longest[0]]
+        length, shorter, pairs, compatible, width = self.length, self.shorter, self.pairs, self.compatible, self.size
         dead = bytearray(n + 1)
         out: list[int] = []
-        pos = 0
+        pos, last = 0, -1
         tok = longest[0] if n else -1
         while pos < n:
             while tok >= 0:
-                end = pos + length[tok]
-                if not dead[end] and self._alone(tok) and (not out or compatible(out[-1], tok)):
-                    break
+                if not dead[pos + length[tok]] and alone[tok]:
+                    if last < 0:
+                        break
+                    fits = pairs.get(last * width + tok)
+                    if fits or (fits is None and compatible(last, tok)):
+                        break
                 tok = shorter[tok]
             if tok >= 0:
                 out.append(tok)
                 pos += length[tok]
+                last = tok
                 if pos < n:
                     tok = longest[pos]
             else:
                 dead[pos] = 1
-                last = out.pop()
-                pos -= length[last]
-                tok = shorter[last]
+                gone = out.pop()
+                pos -= length[gone]
+                last = out[-1] if out else -1
+                tok = shorter[gone]
         return out
 
-    def _alone(self, tok: int) -> bool:
-        """Whether a token's own bytes encode as itself."""
-        key = (tok, -1)
-        known = self.pairs.get(key)
-        if known is None:
-            known = self.rank[tok] < 0 or (
-                self._alone(self.left[tok]) and self._alone(self.right[tok])
-                and self._seam(tok))
-            self.pairs[key] = known
-        return known
-
-    def _seam(self, tok: int) -> bool:
-        """The two parts stay apart until the token's own merge joins them."""
-        a, b = self.left[tok], self.right[tok]
-        rank, merge = self.rank, self.vocab.merge
-        bound, on_tie = float("inf"), False
-        first = True
-        while True:
-            m = merge.get((a, b))
-            if not first and m and (m[0] < bound or (on_tie and m[0] == bound)):
-                return False
-            first = False
-            ra, rb = rank[a], rank[b]
-            if ra < 0 and rb < 0:
-                return True
-            if ra > rb:
-                bound, on_tie, a = ra, False, self.right[a]
-            else:
-                bound, on_tie, b = rb, True, self.left[b]
-
     def _piece(self, piece: str) -> tuple[str, bytes]:
         ids = self.encode_piece(piece.encode())
         made = (",".join(map(str, ids)), np.array(ids, dtype=np.int32).tobytes())

@@ -19,7 +19,7 @@ from cabflow.llm.common import arrow_map, emit, slices
 from cabflow.llm.vocab import Vocab, broadcast_vocab, load
 
 #: Rest pre-tokens remembered per worker, and the longest one remembered.
-CACHE_ENTRIES, CACHE_CHARS = 400_000, 64
+CACHE_ENTRIES, CACHE_CHARS = 1_000_000, 64
 
 _counters: dict[int, "TokenCounter"] = {}
 
