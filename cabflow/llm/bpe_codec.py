@@ -22,15 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.llm.common import arrow_map, emit, slices
-from cabflow.llm.vocab import Vocab, broadcast_vocab, load
+from cabflow.llm.common import arrow_map, emit, resident, slices
+from cabflow.llm.vocab import Vocab, broadcast_vocab, digest
 
 #: Pre-tokens remembered per worker, and the longest one remembered.
 CACHE_ENTRIES, CACHE_CHARS = 600_000, 64
 
-_codecs: dict[int, "Codec"] = {}
-
-
 class Codec:
     def __init__(self, vocab: Vocab):
         self.vocab = vocab
@@ -188,10 +185,7 @@ class Codec:
 
 
 def codec_of(raw: bytes) -> Codec:
-    vocab = load(raw)
-    if id(vocab) not in _codecs:
-        _codecs[id(vocab)] = Codec(vocab)
-    return _codecs[id(vocab)]
+    return resident(("codec", digest(raw)), lambda: Codec(Vocab(raw)))
 
 
 def _texts(docs: DataFrame) -> DataFrame:

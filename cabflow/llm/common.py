@@ -97,6 +97,19 @@ def emit(schema: pa.Schema, **columns) -> pa.RecordBatch:
          else columns[f.name].cast(f.type) for f in schema], schema=schema)
 
 
+_resident: list = []
+
+
+def resident(key, build: Callable):
+    """The large object of a worker: kept between tasks, one at a time, so
+    that a worker that serves one operator after another holds only the last
+    one's tables."""
+    if not _resident or _resident[0] != key:
+        _resident.clear()
+        _resident[:] = [key, build()]
+    return _resident[1]
+
+
 def unsigned_crc32(col):
     return F.crc32(F.encode(col.cast("string"), "UTF-8"))
 

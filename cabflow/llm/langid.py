@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.llm.common import arrow_map, emit, fresh, hashed_fraction, slices, with_computed
+from cabflow.llm.common import arrow_map, emit, fresh, hashed_fraction, resident, slices, with_computed
 
 #: Texts to learn from per language, expected number (a hash of doc_id picks them).
 SAMPLE_PER_LANG = 800
@@ -35,7 +35,6 @@ CACHE_WORDS = 200_000
 UNDETERMINED = "und"
 
 _words = regex.compile(r"\p{L}+").findall
-_scorers: dict[str, "Scorer"] = {}
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -151,10 +150,7 @@ class Scorer:
 
 
 def scorer_of(token: str, raw: bytes) -> Scorer:
-    if token not in _scorers:
-        _scorers.clear()
-        _scorers[token] = Scorer(pickle.loads(raw))
-    return _scorers[token]
+    return resident(("scorer", token), lambda: Scorer(pickle.loads(raw)))
 
 
 def predict(docs: DataFrame, model: dict, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:

@@ -15,15 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.llm.common import arrow_map, emit, slices
-from cabflow.llm.vocab import Vocab, broadcast_vocab, load
+from cabflow.llm.common import arrow_map, emit, resident, slices
+from cabflow.llm.vocab import Vocab, broadcast_vocab, digest
 
 #: Rest pre-tokens remembered per worker, and the longest one remembered.
 CACHE_ENTRIES, CACHE_CHARS = 1_000_000, 64
 
-_counters: dict[int, "TokenCounter"] = {}
-
-
 def merged_length(vocab: Vocab, raw: bytes) -> int:
     """Number of tokens left when the merges are applied by rank, leftmost
     first: a heap of mergeable neighbours over a doubly linked list."""
@@ -103,10 +100,7 @@ class TokenCounter:
 
 
 def counter_of(raw: bytes) -> TokenCounter:
-    vocab = load(raw)
-    if id(vocab) not in _counters:
-        _counters[id(vocab)] = TokenCounter(vocab)
-    return _counters[id(vocab)]
+    return resident(("counter", digest(raw)), lambda: TokenCounter(Vocab(raw)))
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])

@@ -1,5 +1,5 @@
 """Byte-level BPE vocabularies: read once on the driver, broadcast as bytes
-(a bounded file), parsed once in each Python worker."""
+(a bounded file), parsed in the Python workers."""
 
 from __future__ import annotations
 
@@ -17,9 +17,6 @@ MAX_VOCAB_BYTES = 64 << 20
 PRETOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
             r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 
-_parsed: dict[str, "Vocab"] = {}
-
-
 def default_path() -> str:
     import public_tokenizers
 
@@ -66,11 +63,8 @@ class Vocab:
             if self.special else (lambda text: [text])
 
 
-def load(raw: bytes) -> Vocab:
-    key = hashlib.sha256(raw).hexdigest()
-    if key not in _parsed:
-        _parsed[key] = Vocab(raw)
-    return _parsed[key]
+def digest(raw: bytes) -> str:
+    return hashlib.sha256(raw).hexdigest()
 
 
 def broadcast_vocab(spark: SparkSession, path: str | None):

@@ -11,13 +11,13 @@ from tokenizers import Tokenizer
 
 from cabflow.llm.bpe_codec import Codec, decode, encode, round_trip_digests
 from cabflow.llm.token_counts import TokenCounter, merged_length, token_counts
-from cabflow.llm.vocab import load
+from cabflow.llm.vocab import Vocab
 from tests.llm.helpers import clashing, frame
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIB = Tokenizer.from_file(PATH)
 with open(PATH, "rb") as f:
-    VOCAB = load(f.read())
+    VOCAB = Vocab(f.read())
 CODEC, COUNTER = Codec(VOCAB), TokenCounter(VOCAB)
 
 ODD = ["", " ", "\n\n  x", "don't 'start ''s  'll", "<|endoftext|>", "a<|endoftext|> b<|endoftext|><|endoftext|>",
