@@ -41,28 +41,26 @@ def _fact(t: Tables, p: Params, *, year: bool = False, since_min: bool = False)
     return f
 
 
-def _quotient(a: str, b: str) -> str:
-    """a / b truncated toward zero, for whole decimals: exact at any size a
-    decimal(14,2) can have (a bigint product would overflow); NULL for b = 0."""
-    return f"CAST(({a} - {a} % {b}) / {b} AS DECIMAL(38,0))"
-
-
-def _whole(x: str, scale: int) -> str:
-    """x * 100 * scale as a whole decimal, for x a decimal(14,2)."""
-    return f"(CAST({x} * 100 AS DECIMAL(16,0)) * CAST({scale} AS DECIMAL(10,0)))"
+def _ratio(x: str, scale: int, y: str) -> str:
+    """x * 100 * scale / y truncated toward zero, for x a decimal(14,2) and y
+    whole; NULL for y = 0.  In bigint where the product fits, else in whole
+    decimals, which hold any decimal(14,2)."""
+    fits = (2**63 - 1) // (100 * scale)
+    big = f"CAST((CAST({x} * 100 AS BIGINT) * {scale}) div nullif(CAST({y} AS BIGINT), 0) AS DECIMAL(38,0))"
+    n = f"(CAST({x} * 100 AS DECIMAL(16,0)) * CAST({scale} AS DECIMAL(10,0)))"
+    d = f"nullif(CAST({y} AS DECIMAL(16,0)), 0BD)"
+    return f"CASE WHEN abs({x}) < {fits} THEN {big} ELSE CAST(({n} - {n} % {d}) / {d} AS DECIMAL(38,0)) END"
 
 
 # Means are exact and reproducible: each averaged quantity is a fixed-point
 # integer (ratios at 1e-9 resolution, truncated toward zero), summed as
 # decimal(38,0), and divided once in double.  A double AVG would depend on
 # how rows are split over tasks; this does not.
-_TIP_RATIO_E9 = _quotient(_whole("tip_amount", 1_000_000_000), "nullif(CAST(fare_amount * 100 AS DECIMAL(16,0)), 0BD)")
+_TIP_RATIO_E9 = _ratio("tip_amount", 1_000_000_000, "fare_amount * 100")
 # mph * 1e9: distance in hundredths * 60 * 1e7 / minutes
-_SPEED_E9 = _quotient(_whole("trip_distance", 600_000_000),
-                      "nullif(CAST(trip_duration_minutes AS DECIMAL(10,0)), 0BD)")
+_SPEED_E9 = _ratio("trip_distance", 600_000_000, "trip_duration_minutes")
 # q17_ref: minutes div 60 whole hours, as written in the reference
-_SPEED_REF_E9 = _quotient(_whole("trip_distance", 10_000_000),
-                          "nullif(CAST(trip_duration_minutes div 60 AS DECIMAL(10,0)), 0BD)")
+_SPEED_REF_E9 = _ratio("trip_distance", 10_000_000, "trip_duration_minutes div 60")
 
 
 def exact_mean(x, scale: float = 1.0):
