@@ -26,7 +26,7 @@ from cabflow.llm.common import arrow_map, emit, resident, slices
 from cabflow.llm.vocab import Vocab, broadcast_vocab, digest
 
 #: Pre-tokens remembered per worker, and the longest one remembered.
-CACHE_ENTRIES, CACHE_CHARS = 400_000, 64
+CACHE_ENTRIES, CACHE_CHARS = 250_000, 64
 
 class Codec:
     def __init__(self, vocab: Vocab):
