@@ -24,7 +24,9 @@ from cabflow.llm.components import connected_components
 
 def distinct_buckets(entries: DataFrame) -> DataFrame:
     """key, c, rep of the buckets (key, rep) with several members, one bucket
-    for each set of members."""
+    for each set of members.  An item that enters a bucket twice counts once:
+    its hashes would cancel out, and other sets of members look the same."""
+    entries = written(entries.select("key", "rep").distinct(), "entered")
     buckets = (entries.groupBy("key")
                .agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("lo"), F.bit_xor(F.xxhash64("rep")).alias("x"),
                     F.bit_xor(F.xxhash64(F.lit(1), F.col("rep"))).alias("y"))

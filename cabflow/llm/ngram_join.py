@@ -166,12 +166,11 @@ def ngram_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Data
                       "classes")
     entries = (prints.where(~alone).join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
                .select(F.col("doc_id").alias("rep"), F.explode("keys").alias("key")))
-    entries = written(entries, "entries")
 
     def linker(items: DataFrame):
         texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string"))
         # a shuffle join at every size: how many candidates there are grows with the corpus
-        texts = written(texts.join(items.hint("merge"), "rep", "left_semi"), "texts")
+        texts = written(texts.join(items.hint("merge"), "rep", "left_semi").distinct(), "texts")
         return lambda groups: _links(groups, texts, words, percent)
 
     parts = bucket_components(entries, linker, BLOCK, ACROSS)

@@ -229,9 +229,10 @@ def near_duplicates(vectors: DataFrame, column: str = "embedding", least: float
     classes = written(prints.where(usable).groupBy("h1", "h2")
                       .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("count")), "vec_classes")
     reps = classes.select("rep", "count")
-    entries = written(prints.where(usable).join(reps, F.col("vec_id") == F.col("rep"), "left_semi")
-                      .select(F.explode("keys").alias("key"), F.col("vec_id").alias("rep")), "vec_entries")
-    stands = rows.select(F.col("vec_id").alias("rep"), "vector").where(F.col("vector").isNotNull())
+    entries = (prints.where(usable).join(reps, F.col("vec_id") == F.col("rep"), "left_semi")
+               .select(F.explode("keys").alias("key"), F.col("vec_id").alias("rep")))
+    stands = written(rows.select(F.col("vec_id").alias("rep"), "vector").where(F.col("vector").isNotNull())
+                     .join(reps.select("rep"), "rep", "left_semi").distinct(), "vec_stands")
     parts = bucket_components(entries, lambda items: _linker(stands, least), BLOCK, ACROSS)
     members = (parts.join(reps, F.col("node") == F.col("rep")).select("component", "rep", "count")
                .join(stands, "rep"))

@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 
 from cabflow.llm import ngram_join
+from cabflow.llm.bucket_links import distinct_buckets
 from cabflow.llm.common import table
 from cabflow.llm.components import connected_components
 from cabflow.llm.ngram_join import keep_one, ngram_components, shingle_sets
@@ -137,3 +138,30 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, k) for k in range(8, 60)] + [(3, 3), (None, 5), (60, 59)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 141)}, **{i: 7 for i in range(7, 61)}}
+
+
+def test_stars_of_near_copies_with_every_row_repeated(spark):
+    """Each leaf links with its hub alone, and every row is there twice: a
+    bucket's members must not be taken for those of another."""
+    r = rng(11)
+    rows, i = [], 0
+    for _ in range(150):
+        hub = [f"w{r.randrange(10 ** 6)}" for _ in range(103)]
+        rows.append((i, " ".join(hub)))
+        for k in range(5):
+            leaf = list(hub)
+            leaf[10 + 20 * k] = f"x{r.randrange(10 ** 6)}"
+            leaf[18 + 20 * k] = f"y{r.randrange(10 ** 6)}"
+            rows.append((i + 1 + k, " ".join(leaf)))
+        i += 6
+    for n in (2, 3):
+        got = ngram_components(spark.createDataFrame(rows * n, "doc_id long, text string")).collect()
+        assert len(got) == n * len(rows)
+        assert {x["doc_id"]: x["component_id"] for x in got} == {j: j - j % 6 for j, _ in rows}
+
+
+def test_buckets_of_repeated_items_are_told_apart(spark):
+    rows = [(1, 1), (1, 2), (2, 1), (2, 3), (3, 4), (3, 4), (4, 2), (4, 1)]
+    entries = spark.createDataFrame([(k, x) for k, x in rows for _ in range(2)], "key long, rep long")
+    got = distinct_buckets(entries).collect()
+    assert sorted((x["key"], x["c"], x["rep"]) for x in got) == [(1, 2, 1), (1, 2, 2), (2, 2, 1), (2, 2, 3)]

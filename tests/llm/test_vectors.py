@@ -171,3 +171,12 @@ def test_near_duplicates_of_repeated_rows_and_nulls(spark):
     assert got == sorted([(1, 2, 1, True), (1, 2, 1, True), (None, 0, None, False), (None, 0, None, False),
                           (2, 2, 1, False)], key=str)
     assert near_duplicates(vectors(spark, [])).count() == 0
+
+
+def test_near_duplicates_with_every_row_repeated_equal_brute_force(spark):
+    rows = _near(5, groups=40, size=6, spread=0.3)
+    want = plain_groups(rows)
+    weight = 3
+    for r in near_duplicates(vectors(spark, rows * weight)).collect():
+        links, component, _ = want[r["vec_id"]]
+        assert (r["n_links"], r["component_id"]) == (weight * links + weight - 1, component)
