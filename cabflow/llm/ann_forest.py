@@ -6,8 +6,8 @@ rotation), written as bits.  A tree is the sorted array of the strings; the
 vectors below an inner node of the tree, a prefix, are a range of the array.
 
 A query descends each tree to its longest matching prefix, then all trees
-ascend together, one bit at a time, until the ranges hold ``CANDIDATES`` rows
-in all.  The rows in the ranges at that depth are scored exactly.
+ascend together, one bit at a time, until the ranges hold ``CANDIDATES``
+rows in all.  The rows in the ranges at that depth are scored exactly.
 
 On Spark the arrays of all trees are one table, range-partitioned and sorted by
 (tree, string) and numbered, so a range is an interval of numbers.  First the
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,9 +33,8 @@ from cabflow.llm.common import arrow_map, emit, parallelism, ship, written
 from cabflow.llm.vector_dedup import rotated
 
 TREES = 44
-#: Bits of a symbol, symbols of a string.
-SYMBOL_BITS, SYMBOLS = 7, 4
-BITS = SYMBOL_BITS * SYMBOLS
+#: Symbols of a string, and the most bits of a string (fewer symbols beyond).
+SYMBOLS, MOST_BITS = 4, 48
 #: Rows in the ranges of all trees, ends of the ascent.
 CANDIDATES = 18_000
 #: Rows of a block, and rows of its neighbours that it sees on either side.
@@ -50,19 +50,25 @@ def valid(column: str):
         & F.exists(c, lambda x: x != 0), F.lit(False))
 
 
+def layout(d: int) -> tuple[int, int, int]:
+    """Padded width, bits of a symbol (axis and sign, none cut off) and symbols
+    of a string for vectors of ``d`` components."""
+    wide = 1 << max(1, (d - 1).bit_length())
+    bits = (2 * wide - 1).bit_length()
+    return wide, bits, min(SYMBOLS, max(1, MOST_BITS // bits))
+
+
 def strings(x: np.ndarray, tree: int) -> np.ndarray:
     """The tree's hash string of each row (any length; rows of one width)."""
     n, d = x.shape
-    wide = 1 << max(1, (d - 1).bit_length())
+    wide, bits, symbols = layout(d)
     padded = np.zeros((n, wide))
     padded[:, :d] = x
     out = np.zeros(n, dtype=np.int64)
-    for k in range(SYMBOLS):
+    for k in range(symbols):
         r = rotated(padded, 7_000_000 + 1000 * tree + k)
         axis = np.abs(r).argmax(axis=1)
-        symbol = axis * 2 + (r[np.arange(n), axis] < 0)
-        bits = max(SYMBOL_BITS, (2 * wide - 1).bit_length())
-        out = (out << SYMBOL_BITS) | ((symbol >> (bits - SYMBOL_BITS)) & ((1 << SYMBOL_BITS) - 1))
+        out = (out << bits) | (axis * 2 + (r[np.arange(n), axis] < 0))
     return out
 
 
@@ -74,34 +80,43 @@ def _stack(column: pa.Array) -> np.ndarray:
 _STRING = pa.schema([("tree", pa.int32()), ("code", pa.int64()), ("rep", pa.int64()), ("asks", pa.bool_())])
 
 
-def _forest(classes: DataFrame, trees: int, longest: float) -> DataFrame:
+def _by_length(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(row numbers, matrix) of the vectors of each length."""
+    size = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    return [(at, _stack(column.take(pa.array(at)))) for d in np.unique(size) for at in [np.flatnonzero(size == d)]]
+
+
+def _forest(classes: DataFrame, trees: int, lengths: dict[int, tuple[int, float, bool]]) -> DataFrame:
     """tree, code, rep, asks: every class's string in every tree, and those of
-    the classes that hold a query once more as queries.
+    the classes that hold a query once more as queries.  Each vector length has
+    its own trees.
 
-    Largest inner product becomes smallest angle by one more component:
-    sqrt(longest**2 - |x|**2) for rows, 0 for queries.
+    ``lengths``: number, longest norm, and whether all norms are equal, of each
+    vector length.  If they are not, largest inner product becomes smallest
+    angle by one more component: sqrt(longest**2 - |x|**2) for rows, 0 for
+    queries; it is added to all vectors of the length or to none.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for s in range(0, b.num_rows, _ROWS):
                 part = b.slice(s, _ROWS)
-                x = _stack(part.column(2))
-                rep = part.column(0).to_numpy()
-                asks = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
-                norm2 = np.minimum((x * x).sum(axis=1) / longest ** 2, 1.0)
-                flat = norm2 > 1 - 1e-6  # equal norms: the component adds nothing
-                extra = np.where(flat, 0.0, np.sqrt(1 - norm2))[:, None]
-                if flat.all():
-                    data = query = x
-                else:
-                    data = np.concatenate([x / longest, extra], axis=1)
-                    query = np.concatenate([x / np.sqrt((x * x).sum(axis=1))[:, None], np.zeros_like(extra)], axis=1)
-                for t in range(trees):
-                    code = strings(data, t)
-                    asked = code[asks] if data is query else strings(query[asks], t)
-                    yield emit(_STRING, tree=np.full(len(rep) + len(asked), t, np.int32),
-                               code=np.concatenate([code, asked]), rep=np.concatenate([rep, rep[asks]]),
-                               asks=np.concatenate([np.zeros(len(rep), bool), np.ones(len(asked), bool)]))
+                for at, x in _by_length(part.column(2)):
+                    rep = part.column(0).to_numpy()[at]
+                    asks = part.column(1).to_numpy(zero_copy_only=False).astype(bool)[at]
+                    number, longest, flat = lengths[x.shape[1]]
+                    if flat:
+                        data = query = x
+                    else:
+                        y = x / longest
+                        extra = np.sqrt(1 - np.minimum((y * y).sum(axis=1), 1.0))[:, None]
+                        data = np.concatenate([y, extra], axis=1)
+                        query = np.concatenate([x / np.sqrt((x * x).sum(axis=1))[:, None], np.zeros_like(extra)], axis=1)
+                    for t in range(trees):
+                        code = strings(data, t)
+                        asked = code[asks] if data is query else strings(query[asks], t)
+                        yield emit(_STRING, tree=np.full(len(rep) + len(asked), number * trees + t, np.int32),
+                                   code=np.concatenate([code, asked]), rep=np.concatenate([rep, rep[asks]]),
+                                   asks=np.concatenate([np.zeros(len(rep), bool), np.ones(len(asked), bool)]))
 
     return arrow_map(classes.select("rep", "asks", "vector"), run, "tree int, code long, rep long, asks boolean")
 
@@ -137,11 +152,11 @@ def _blocked(numbered: DataFrame, block: int, halo: int) -> DataFrame:
     return numbered.select("tree", "code", "rep", "asks", "pos", F.explode(near).alias("block"))
 
 
-def _ranges(tree, code, at_tree, at_code, depth: int):
+def _ranges(tree, code, at_tree, at_code, depth: int, bits: int):
     """Range of the sorted (tree, code) rows that share ``depth`` bits with
-    each asked (tree, code)."""
-    rest = np.uint64(BITS - depth)
-    key = lambda t, c: ((t.astype(np.uint64) << np.uint64(BITS)) | c.astype(np.uint64)) >> rest
+    each asked (tree, code); trees numbered from 0 in the block."""
+    rest = np.uint64(bits - depth)
+    key = lambda t, c: ((t.astype(np.uint64) << np.uint64(bits)) | c.astype(np.uint64)) >> rest
     rows, asked = key(tree, code), key(at_tree, at_code)
     return np.searchsorted(rows, asked, "left"), np.searchsorted(rows, asked, "right")
 
@@ -150,20 +165,21 @@ _FOUND = pa.schema([("rep", pa.int64()), ("tree", pa.int32()), ("code", pa.int64
                     ("hi", pa.list_(pa.int64())), ("n", pa.list_(pa.int64())), ("open", pa.list_(pa.bool_()))])
 
 
-def _find_ranges(t: pa.Table) -> pa.Table:
+def _find_ranges(t: pa.Table, bits: int) -> pa.Table:
     """For each query of a block and each depth: the interval of numbers of the
     rows that share so many bits, their count, and whether the interval reaches
     the edge of what the block sees (then it may go on beyond)."""
     t = t.sort_by("pos")
     asks = t.column("asks").to_numpy()
     tree, code, rep, pos = (t.column(c).to_numpy() for c in ("tree", "code", "rep", "pos"))
+    number = np.unique(tree, return_inverse=True)[1]  # a block has few trees: they fit above the string's bits
     at = pos[~asks]
     m = int(asks.sum())
-    lo, hi, n = (np.zeros((m, BITS + 1), dtype=np.int64) for _ in range(3))
-    edge = np.zeros((m, BITS + 1), dtype=bool)
+    lo, hi, n = (np.zeros((m, bits + 1), dtype=np.int64) for _ in range(3))
+    edge = np.zeros((m, bits + 1), dtype=bool)
     if len(at):
-        for depth in range(BITS + 1):
-            a, b = _ranges(tree[~asks], code[~asks], tree[asks], code[asks], depth)
+        for depth in range(bits + 1):
+            a, b = _ranges(number[~asks], code[~asks], number[asks], code[asks], depth, bits)
             n[:, depth] = b - a
             lo[:, depth] = at[np.minimum(a, len(at) - 1)]
             hi[:, depth] = np.where(b > a, at[np.maximum(b, 1) - 1] + 1, lo[:, depth])
@@ -174,16 +190,22 @@ def _find_ranges(t: pa.Table) -> pa.Table:
                      "n": list(n), "open": list(edge)}, schema=_FOUND)
 
 
-def _intervals(found: DataFrame, numbered: DataFrame, candidates: int) -> DataFrame:
+def _levels(found: DataFrame, bits: int) -> DataFrame:
+    """rep, n: rows in each query's ranges of all trees, by depth."""
+    return (found.groupBy("rep").agg(*[F.sum(F.col("n")[d]).alias(f"n{d}") for d in range(bits + 1)])
+            .select("rep", F.array(*[f"n{d}" for d in range(bits + 1)]).alias("n")))
+
+
+def _intervals(found: DataFrame, numbered: DataFrame, levels: DataFrame, candidates, trees: int, bits: int) -> DataFrame:
     """rep, tree, lo, hi: each query's interval in each tree at the depth where
-    all trees' intervals together hold ``candidates`` rows."""
-    level = (found.select("rep", *[F.col("n")[d].alias(f"n{d}") for d in range(BITS + 1)])
-             .groupBy("rep").agg(*[F.sum(f"n{d}").alias(f"n{d}") for d in range(BITS + 1)]))
-    deepest = F.coalesce(*[F.when(F.col(f"n{d}") >= candidates, F.lit(d)) for d in range(BITS, -1, -1)], F.lit(0))
-    depths = written(level.select("rep", deepest.cast("int").alias("depth")), "ann_depths")
+    all trees' intervals together hold its ``candidates`` rows; without such a
+    depth one tree whole."""
+    levels = levels.join(candidates, "rep")
+    deepest = F.coalesce(*[F.when(F.col("n")[d] >= F.col("candidates"), F.lit(d)) for d in range(bits, -1, -1)], F.lit(0))
+    depths = written(levels.select("rep", deepest.cast("int").alias("depth")), "ann_depths")
     at = lambda c: F.element_at(c, F.col("depth") + 1)
-    picked = written(found.join(depths, "rep").select(
-        "rep", "tree", "depth", F.expr(f"shiftright(code, {BITS} - depth)").alias("prefix"),
+    picked = written(found.join(depths, "rep").where((F.col("depth") > 0) | (F.col("tree") % trees == 0)).select(
+        "rep", "tree", "depth", F.expr(f"shiftright(code, {bits} - depth)").alias("prefix"),
         at("lo").alias("lo"), at("hi").alias("hi"), at("open").alias("open")), "ann_picked")
     # the open ones: first and last number of their prefix, over all rows
     used = sorted(r["depth"] for r in picked.where("open").select("depth").distinct().collect())  # a few depths
@@ -192,7 +214,7 @@ def _intervals(found: DataFrame, numbered: DataFrame, candidates: int) -> DataFr
         return closed
     prefix = ["tree", "depth", "prefix"]
     ends = (numbered.where(~F.col("asks")).withColumn("depth", F.explode(F.array(*[F.lit(d) for d in used])))
-            .withColumn("prefix", F.expr(f"shiftright(code, {BITS} - depth)"))
+            .withColumn("prefix", F.expr(f"shiftright(code, {bits} - depth)"))
             .groupBy(*prefix).agg(F.min("pos").alias("lo"), (F.max("pos") + 1).alias("hi")))
     return closed.unionAll(picked.where("open").select("rep", *prefix).join(written(ends, "ann_ends"), prefix)
                            .select("rep", "tree", "lo", "hi"))
@@ -207,20 +229,23 @@ def _scores(best: int):
         rep, lo, hi = (t.column(c).to_numpy() for c in ("rep", "lo", "hi"))
         q, f, s = [], [], []
         if asks.any() and not asks.all():
-            x = _stack(t.column("vector").combine_chunks())
-            ids, rows, pos = rep[~asks], x[~asks], lo[~asks]
-            first, last = np.searchsorted(pos, lo[asks]), np.searchsorted(pos, hi[asks])
-            for r, v, a, b in zip(rep[asks].tolist(), x[asks], first.tolist(), last.tolist(), strict=True):
-                if a >= b:
+            for at, x in _by_length(t.column("vector").combine_chunks()):
+                ask = asks[at]
+                if ask.all() or not ask.any():
                     continue
-                score, who = rows[a:b] @ v, ids[a:b]
-                if b - a > best:  # keep all ties of the last place
-                    k = score >= np.partition(score, b - a - best)[b - a - best]
-                    score, who = score[k], who[k]
-                k = np.lexsort((who, -score))[:best]
-                q.append(np.full(len(k), r))
-                f.append(who[k])
-                s.append(score[k])
+                ids, rows, pos = rep[at][~ask], x[~ask], lo[at][~ask]
+                first, last = np.searchsorted(pos, lo[at][ask]), np.searchsorted(pos, hi[at][ask])
+                for r, v, a, b in zip(rep[at][ask].tolist(), x[ask], first.tolist(), last.tolist(), strict=True):
+                    if a >= b:
+                        continue
+                    score, who = rows[a:b] @ v, ids[a:b]
+                    if b - a > best:  # keep all ties of the last place
+                        k = score >= np.partition(score, b - a - best)[b - a - best]
+                        score, who = score[k], who[k]
+                    k = np.lexsort((who, -score))[:best]
+                    q.append(np.full(len(k), r))
+                    f.append(who[k])
+                    s.append(score[k])
         return pa.table({"rep": np.concatenate(q) if q else [], "found": np.concatenate(f) if f else [],
                          "score": np.concatenate(s) if s else []}, schema=out)
 
@@ -256,10 +281,15 @@ def search(vectors: DataFrame, is_query, column: str = "embedding", k: int = 20,
         .where(F.col("vec_id").isNotNull() & valid("vector"))
     rows = rows.withColumn("h1", F.xxhash64("vector")).withColumn("h2", F.hash("vector"))
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    width, longest = rows.agg(F.max(F.size("vector")), F.max(norm)).first()
-    if width is None:
+    sizes = (rows.groupBy(F.size("vector").alias("d"))
+             .agg(F.max(norm).alias("longest"), F.min(norm).alias("shortest")).orderBy("d").collect())  # a row a length
+    if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.where(F.size("vector") == width)
+    sizes = sizes[-1:]
+    rows = rows.where(F.size("vector") == sizes[0]["d"])
+    lengths = {r["d"]: (i, r["longest"], r["shortest"] >= r["longest"] * (1 - 1e-6)) for i, r in enumerate(sizes)}
+    widths = [layout(d if flat else d + 1) for d, (_, _, flat) in lengths.items()]
+    bits = max(b * symbols for _, b, symbols in widths)
     members = written(rows.select("vec_id", "h1", "h2", is_query.alias("asks")), "ann_rows")
     classes = written(members.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.max("asks").alias("asks")),
                       "ann_classes")
@@ -270,12 +300,15 @@ def search(vectors: DataFrame, is_query, column: str = "embedding", k: int = 20,
                            (F.col("vec_id") == F.col("rep")) & rows["h1"].eqNullSafe(classes["h1"])
                            & rows["h2"].eqNullSafe(classes["h2"]))
                      .select("rep", F.col("any").alias("asks"), "vector").dropDuplicates(["rep"]), "ann_vectors")
-    numbered = written(_numbered(_forest(stands, trees, float(longest))), "ann_numbered")
+    numbered = written(_numbered(_forest(stands, trees, lengths)), "ann_numbered")
     ship(spark)
     found = written(_blocked(numbered, block, halo).groupBy("block").applyInArrow(
-        _find_ranges, "rep long, tree int, code long, lo array<long>, hi array<long>, n array<long>, open array<boolean>"),
+        lambda t: _find_ranges(t, bits), "rep long, tree int, code long, lo array<long>, hi array<long>, n array<long>, open array<boolean>"),
         "ann_ranges")
-    intervals = written(_intervals(found, numbered, candidates).where("hi > lo"), "ann_intervals")
+    levels = written(_levels(found, bits), "ann_levels")
+    wanted = spark.createDataFrame([(d, candidates) for d in lengths], "d int, candidates long")
+    wanted = stands.where("asks").select("rep", F.size("vector").alias("d")).join(F.broadcast(wanted), "d").drop("d")
+    intervals = written(_intervals(found, numbered, levels, wanted, trees, bits).where("hi > lo"), "ann_intervals")
     place = F.floor(F.col("lo") / block).cast("long")
     visits = intervals.select(
         F.explode(F.sequence(place, F.floor((F.col("hi") - 1) / block).cast("long"))).alias("block"),

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cabflow.llm import vector_dedup
-from cabflow.llm.ann_forest import search
+from cabflow.llm.ann_forest import search, strings
 from cabflow.llm.common import table
 from cabflow.llm.q_ann_forest import query as ann_query
 from cabflow.llm.vector_dedup import hadamard, near_duplicates
@@ -180,3 +180,10 @@ def test_near_duplicates_with_every_row_repeated_equal_brute_force(spark):
     for r in near_duplicates(vectors(spark, rows * weight)).collect():
         links, component, _ = want[r["vec_id"]]
         assert (r["n_links"], r["component_id"]) == (weight * links + weight - 1, component)
+
+
+def test_strings_keep_sign_and_axis_at_any_width():
+    g = np.random.default_rng(5)
+    for d in (3, 64, 65, 1024):
+        x = g.normal(size=(50, d))
+        assert (strings(x, 0) != strings(-x, 0)).all()
