@@ -271,8 +271,8 @@ def search(vectors: DataFrame, is_query, column: str = "embedding", k: int = 20,
 
     Rows with equal vectors are searched as one and listed each for itself.
     Defined cases: vectors that are null, empty or zero or hold null or
-    non-finite components, and null vec_ids, take no part; vectors of another
-    length than the longest do not either; repeated rows (same vec_id and
+    non-finite components, and null vec_ids, take no part; vectors of different
+    lengths never meet; repeated rows (same vec_id and
     vector) are one; fewer than k rows give all of them, one row alone gives
     nothing; other columns are not read; an empty table gives an empty result.
     """
@@ -285,8 +285,6 @@ def search(vectors: DataFrame, is_query, column: str = "embedding", k: int = 20,
              .agg(F.max(norm).alias("longest"), F.min(norm).alias("shortest")).orderBy("d").collect())  # a row a length
     if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sizes = sizes[-1:]
-    rows = rows.where(F.size("vector") == sizes[0]["d"])
     lengths = {r["d"]: (i, r["longest"], r["shortest"] >= r["longest"] * (1 - 1e-6)) for i, r in enumerate(sizes)}
     widths = [layout(d if flat else d + 1) for d, (_, _, flat) in lengths.items()]
     bits = max(b * symbols for _, b, symbols in widths)

@@ -187,3 +187,12 @@ def test_strings_keep_sign_and_axis_at_any_width():
     for d in (3, 64, 65, 1024):
         x = g.normal(size=(50, d))
         assert (strings(x, 0) != strings(-x, 0)).all()
+
+
+def test_vectors_of_other_lengths_and_norms_lose_nothing(spark):
+    rows = _mixed(norms=True) + [(1020, [1.0] * 13), (1040, [1.0, 2.0]), (1041, [2.0, 1.0])]
+    got = found(search(vectors(spark, rows), F.col("vec_id") % 20 == 0, candidates=10 ** 9, trees=3, block=200, halo=400))
+    want = brute([r for r in rows if r[0] < 1000], 20) | {1040: [(1041, 4.0)]}
+    assert set(got) == set(want)
+    for q in want:
+        assert [s for _, s in got[q]] == pytest.approx([s for _, s in want[q]])
