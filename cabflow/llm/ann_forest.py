@@ -6,8 +6,9 @@ rotation), written as bits.  A tree is the sorted array of the strings; the
 vectors below an inner node of the tree, a prefix, are a range of the array.
 
 A query descends each tree to its longest matching prefix, then all trees
-ascend together, one bit at a time, until the ranges hold ``CANDIDATES``
-rows in all.  The rows in the ranges at that depth are scored exactly.
+ascend together, one bit at a time, until the ranges hold as many rows in all
+as a sample of queries needs to find the share ``TARGET`` of its exact
+neighbours (``CANDIDATES`` at least).  The rows in the ranges at that depth are scored exactly.
 
 On Spark the arrays of all trees are one table, range-partitioned and sorted by
 (tree, string) and numbered, so a range is an interval of numbers.  First the
@@ -21,6 +22,7 @@ block, whatever the number of equal strings, and no range is cut.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +37,11 @@ from cabflow.llm.vector_dedup import rotated
 TREES = 44
 #: Symbols of a string, and the most bits of a string (fewer symbols beyond).
 SYMBOLS, MOST_BITS = 4, 48
-#: Rows in the ranges of all trees, ends of the ascent.
-CANDIDATES = 18_000
+#: Rows in the ranges of all trees that end the ascent, at least; more where
+#: ``SAMPLE`` queries of a length, searched exactly, have less than the share
+#: ``TARGET`` of their neighbours in the ranges.  Lengths beyond the ``LENGTHS``
+#: most frequent are searched whole.
+CANDIDATES, SAMPLE, TARGET, LENGTHS = 18_000, 128, 0.95, 16
 #: Rows of a block, and rows of its neighbours that it sees on either side.
 BLOCK, HALO = 8192, 1024
 _ROWS = 2048
@@ -190,12 +195,75 @@ def _find_ranges(t: pa.Table, bits: int) -> pa.Table:
                      "n": list(n), "open": list(edge)}, schema=_FOUND)
 
 
+def _exact_nearest(stands: DataFrame, samples: dict[int, tuple[list[int], np.ndarray]], k: int) -> DataFrame:
+    """q, rep: the k classes nearest to each sampled query, all rows compared.
+
+    ``samples``: reps and vectors of the sampled queries of each length."""
+    out = pa.schema([("q", pa.int64()), ("rep", pa.int64()), ("score", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for b in batches:
+            for s in range(0, b.num_rows, _ROWS):
+                part = b.slice(s, _ROWS)
+                for at, x in _by_length(part.column(1)):
+                    if (asked := samples.get(x.shape[1])) is None:
+                        continue
+                    rep = part.column(0).to_numpy()[at]
+                    for q, scores in zip(asked[0], asked[1] @ x.T, strict=True):
+                        other = rep != q
+                        old = best.get(q, (np.zeros(0), np.zeros(0, np.int64)))
+                        score = np.concatenate([old[0], scores[other]])
+                        who = np.concatenate([old[1], rep[other]])
+                        top = np.argsort(-score, kind="stable")[:k]
+                        best[q] = score[top], who[top]
+        for q, (score, who) in best.items():
+            yield emit(out, q=np.full(len(who), q), rep=who, score=score)
+
+    found = arrow_map(stands.select("rep", "vector"), run, "q long, rep long, score double")
+    return found.groupBy("q").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "rep"))),
+                                          1, k).alias("best")).select("q", F.explode("best.rep").alias("rep"))
+
+
 def _levels(found: DataFrame, bits: int) -> DataFrame:
     """rep, n: rows in each query's ranges of all trees, by depth."""
     return (found.groupBy("rep").agg(*[F.sum(F.col("n")[d]).alias(f"n{d}") for d in range(bits + 1)])
             .select("rep", F.array(*[f"n{d}" for d in range(bits + 1)]).alias("n")))
 
 
+def _enough(stands: DataFrame, numbered: DataFrame, levels: DataFrame, lengths: list[int], bits: int, k: int,
+            least: int, target: float) -> dict[int, int]:
+    """Candidates of each length with which the share ``target`` of the k
+    exact neighbours of ``SAMPLE`` queries lies in the ranges, ``least`` at
+    least."""
+    samples = {}
+    for d in lengths:
+        asked = (stands.where(F.col("asks") & (F.size("vector") == d)).orderBy(F.xxhash64("rep"), "rep")
+                 .select("rep", F.col("vector").cast("array<double>").alias("vector")).limit(SAMPLE).collect())
+        if asked:
+            samples[d] = [r["rep"] for r in asked], np.array([r["vector"] for r in asked])
+    if not samples:
+        return {}
+    pairs = written(_exact_nearest(stands, samples, k), "ann_sample")
+    theirs = (numbered.where(~F.col("asks")).join(F.broadcast(pairs), "rep")
+              .select("q", "rep", "tree", F.col("code").alias("their")))
+    mine = numbered.where("asks").join(F.broadcast(pairs.select(F.col("q").alias("rep")).distinct()), "rep").select(
+        F.col("rep").alias("q"), "tree", "code")
+    differ = F.col("code").bitwiseXOR(F.col("their"))
+    shared = (theirs.join(mine, ["q", "tree"])
+              .withColumn("common", F.when(differ == 0, bits).otherwise(bits - F.length(F.bin(differ))))
+              .groupBy("q", "rep").agg(F.max("common").alias("common")))
+    # a neighbour is missed where the ascent ends deeper than its common prefix
+    needs = (shared.join(levels.withColumnRenamed("rep", "q"), "q")
+             .select("q", F.when(F.col("common") == bits, 0).otherwise(F.col("n")[F.col("common") + 1] + 1).alias("need"))
+             .collect())  # k rows of each sampled query
+    length_of = {q: d for d, (reps, _) in samples.items() for q in reps}
+    need: dict[int, list[int]] = {}
+    for r in needs:
+        need.setdefault(length_of[r["q"]], []).append(r["need"])
+    return {d: max(least, sorted(v)[math.ceil(target * len(v)) - 1]) for d, v in need.items()}
+
+
 def _intervals(found: DataFrame, numbered: DataFrame, levels: DataFrame, candidates, trees: int, bits: int) -> DataFrame:
     """rep, tree, lo, hi: each query's interval in each tree at the depth where
     all trees' intervals together hold its ``candidates`` rows; without such a
@@ -264,7 +332,7 @@ def _smallest_ids(members: DataFrame, k: int) -> DataFrame:
 
 
 def search(vectors: DataFrame, is_query, column: str = "embedding", k: int = 20, trees: int = TREES,
-           candidates: int = CANDIDATES, block: int = BLOCK, halo: int = HALO) -> DataFrame:
+           candidates: int = CANDIDATES, block: int = BLOCK, halo: int = HALO, target: float = TARGET) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows with the largest inner product
     found for each row with ``is_query`` (a condition on vec_id), the query's
     own row excepted, nearest first, ties to the smaller vec_id.
@@ -304,7 +372,10 @@ def search(vectors: DataFrame, is_query, column: str = "embedding", k: int = 20,
         lambda t: _find_ranges(t, bits), "rep long, tree int, code long, lo array<long>, hi array<long>, n array<long>, open array<boolean>"),
         "ann_ranges")
     levels = written(_levels(found, bits), "ann_levels")
-    wanted = spark.createDataFrame([(d, candidates) for d in lengths], "d int, candidates long")
+    held = stands.groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").collect()
+    asked = [r["d"] for r in held if r["n"] * trees > candidates][:LENGTHS]
+    enough = _enough(stands, numbered, levels, asked, bits, k, candidates, target)
+    wanted = spark.createDataFrame([(d, enough.get(d, 1 << 62)) for d in lengths], "d int, candidates long")
     wanted = stands.where("asks").select("rep", F.size("vector").alias("d")).join(F.broadcast(wanted), "d").drop("d")
     intervals = written(_intervals(found, numbered, levels, wanted, trees, bits).where("hi > lo"), "ann_intervals")
     place = F.floor(F.col("lo") / block).cast("long")

@@ -182,6 +182,27 @@ def test_near_duplicates_with_every_row_repeated_equal_brute_force(spark):
         assert (r["n_links"], r["component_id"]) == (weight * links + weight - 1, component)
 
 
+def recall(got, x, k=20):
+    """Share of the exact neighbours found, x by vec_id."""
+    x = x.astype(np.float32).astype(np.float64)
+    hits = []
+    for q, near in got.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits.append(len({i for i, _ in near} & set(np.argsort(-s)[:k].tolist())) / k)
+    return np.mean(hits)
+
+
+def test_candidates_follow_from_measured_recall(spark):
+    """A least number of candidates that is far too small for the table."""
+    g = np.random.default_rng(4)
+    x = g.normal(size=(6000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    got = found(search(vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)]), F.col("vec_id") % 60 == 0,
+                       trees=12, candidates=300))
+    assert len(got) == 100 and recall(got, x) >= 0.9
+
+
 def test_strings_keep_sign_and_axis_at_any_width():
     g = np.random.default_rng(5)
     for d in (3, 64, 65, 1024):
