@@ -21,6 +21,7 @@ _QUERIES = {
     "op8_mixing": "q_mixing",
     "op9_license_scan": "q_license_scan",
     "op10_vector_dedup": "q_vector_dedup",
+    "op11_token_alignment": "q_token_alignment",
 }
 
 
