@@ -1,0 +1,97 @@
+import math
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+
+import cabflow.llm.mask_ranking as m
+from cabflow.llm.common import table
+from cabflow.llm.q_mask_ranking import ORACLE_SQL, query
+from tests.conftest import SF001, SF01
+from tests.llm.helpers import clashing, frame, rng, words
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return WORD.findall(re.sub("[A-Z]", lambda x: x.group().lower(), text or ""))
+
+
+def brute(docs, items, k=10):
+    held = [(i, Counter(terms(t))) for i, t in docs]
+    held = [(i, c) for i, c in held if c]
+    n_docs, n_all = len(held), sum(sum(c.values()) for _, c in held)
+    df = Counter(w for _, c in held for w in c)
+    asked = defaultdict(set)
+    for i, t in items:
+        asked[i] |= set(terms(t))
+    out = []
+    for item, ws in asked.items():
+        scored = []
+        for i, c in held:
+            mm = 10 + (90 * sum(c.values()) * n_docs) // n_all
+            s = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[w] + 1))) * ((10 ** 9 * c[w]) // (1000 * c[w] + 8 * mm))
+                    for w in ws if c[w])
+            if s > 0:
+                scored.append((-s, i if i is not None else -10 ** 18, i))
+        scored.sort(key=lambda x: x[:2])
+        out += [(item, r, i, -s) for r, (s, _, i) in enumerate(scored[:k], 1)]
+    return sorted(out, key=str)
+
+
+def rows_of(df):
+    return sorted(((r["item_id"], r["rank"], r["doc_id"], r["score"]) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("cells,passes", [(1 << 23, 1), (1 << 12, 3)])
+def test_equals_brute_force(spark, monkeypatch, cells, passes):
+    monkeypatch.setattr(m, "BLOCK_CELLS", cells)
+    r = rng(3)
+    docs = [(i, words(r, r.randrange(1, 60), 150)) for i in range(900)]
+    docs += [(1000 + i, "w1 w2 w3 repeated text") for i in range(40)]  # ties
+    docs += [(2000, None), (2001, ""), (2002, "... !!"), (2003, "W1 É-w2ÉCOLE 日本語_w3"), (7, docs[7][1])]
+    items = [(i, words(r, r.randrange(1, 90), 150)) for i in range(25)]
+    items += [(100, None), (101, "..."), (102, "nobody has this"), (103, "É école 日本語 w1 w1"), (104, "repeated"), (104, "w9 w9")]
+    got = rows_of(m.rank_documents(clashing(frame(spark, [(i, t, None, None, None) for i, t in docs]), "n", "rank", "score").repartition(3),
+                                   clashing(spark.createDataFrame(items, "item_id long, text string"), "doc_id", "rank"),
+                                   item_bytes=10 ** 9 if passes == 1 else 4000))
+    assert got == brute(docs, items)
+
+
+def test_edge_rows(spark):
+    docs = frame(spark, [(None, "alpha beta", None, None, None), (5, "alpha", None, None, None), (5, "alpha", None, None, None),
+                         (6, "alpha " * 200_000 + "x" * 300_000, None, None, None), (8, "gamma " * 9, None, None, None)])
+    items = spark.createDataFrame([(1, "Alpha"), (None, "beta gamma"), (1, "alpha")], "item_id long, text string")
+    got = rows_of(m.rank_documents(docs, items))
+    assert got == brute([(r["doc_id"], r["text"]) for r in docs.collect()], [tuple(r) for r in items.collect()])
+    assert rows_of(m.rank_documents(docs.limit(0), items)) == [] == rows_of(m.rank_documents(docs, items.limit(0)))
+
+
+def test_evaluation_stops_early_and_loses_nothing():
+    r = np.random.default_rng(1)
+    n, q = 3000, 80
+    has = r.random((q, n)) < np.linspace(0.002, 0.7, q)[:, None]
+    term, doc = np.nonzero(has)
+    weight = m.weights(n, has.sum(axis=1))
+    block = m.Block(np.arange(n), np.full(n, 100), term, r.integers(1, 4, len(term)), doc, q, weight)
+    best, seen = m.Best(10), []
+    add = best.add
+    best.add = lambda s, d: (seen.append(len(s)), add(s, d))
+    block.search(np.arange(q), best)
+    score = block.weight @ block.part
+    want = np.lexsort((np.arange(n), -score))[:10]
+    assert best.doc.tolist() == want.tolist() and best.score.tolist() == score[want].tolist()
+    assert sum(seen) < n / 2
+
+
+def test_query_equals_sql(spark):
+    for sf in (SF001, SF01):
+        con = duckdb.connect()
+        for t in ("documents", "benchmark"):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+        got = query(spark, sf)
+        assert got.columns == ["item_id", "rank", "doc_id", "score"]
+        assert rows_of(got) == sorted(con.execute(ORACLE_SQL).fetchall(), key=str)
+        assert got.count() >= 10 and table(spark, sf, "benchmark").count() * 10 >= got.count()
