@@ -1,0 +1,24 @@
+"""op12_toxicity: toxicity of every document, learned from labelled ones whose
+crc32(doc_id) mod 5 is not 0.
+
+No SQL: a fitted classifier; ``tests/llm`` holds it against held-out labels and
+against a fit without the counterfactual term."""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cabflow.llm.common import table, unsigned_crc32
+from cabflow.llm.toxicity import fit, score
+
+
+def held_out():
+    return F.coalesce(unsigned_crc32(F.col("doc_id")) % 5 == 0, F.lit(False))
+
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = fit(docs.where(~held_out()), labels.where(~held_out()))
+    return (score(docs, model)
+            .select("doc_id", held_out().alias("held_out"), "score",
+                    (F.col("score") >= 0.5).cast("int").alias("predicted")))

@@ -22,6 +22,7 @@ _QUERIES = {
     "op9_license_scan": "q_license_scan",
     "op10_vector_dedup": "q_vector_dedup",
     "op11_token_alignment": "q_token_alignment",
+    "op12_toxicity": "q_toxicity",
     "op13_mask_ranking": "q_mask_ranking",
 }
 
