@@ -95,10 +95,36 @@ class Rows:
         self.row, self.column = np.divmod(cell, max(1, len(features)))
         self.n = len(self.owner)
 
+    @classmethod
+    def of(cls, texts: list[str], features: np.ndarray) -> Rows:
+        """The rows of many texts, made some at a time."""
+        out = cls(pa.array([], pa.string()), features)
+        parts, at = [], 0
+        for some in _runs(texts):
+            r = cls(pa.array(some, pa.large_string()), features)
+            parts.append((r.row + out.n, r.column, r.owner + at))
+            out.n, at = out.n + r.n, at + len(some)
+        if parts:
+            out.row, out.column, out.owner = (np.concatenate(x) for x in zip(*parts))
+        return out
+
     def scores(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, weights=weights[self.column], minlength=self.n)
 
 
+def _runs(texts: list[str], size: int = 1 << 19):
+    """The texts in runs of about ``size`` characters."""
+    run, have = [], 0
+    for t in texts:
+        run.append(t)
+        have += len(t)
+        if have >= size:
+            yield run
+            run, have = [], 0
+    if run:
+        yield run
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
@@ -115,16 +141,19 @@ def score_texts(texts: pa.Array, model: dict) -> np.ndarray:
 def select_features(texts: list[str], toxic: np.ndarray) -> np.ndarray:
     """Sorted hashes of the features whose share among toxic documents is
     clearly above that among all."""
-    h, sentence, owner = sentence_features(pa.array(texts, pa.large_string()))
-    doc = owner[sentence] if len(h) else sentence
-    order = np.lexsort((doc, h))
-    h, doc = h[order], doc[order]
-    first = np.ones(len(h), dtype=bool)
-    first[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-    h, doc = h[first], doc[first]
-    names, at = np.unique(h, return_inverse=True)
-    held = np.bincount(at, minlength=len(names)).astype(float)
-    bad = np.bincount(at, weights=toxic[doc], minlength=len(names))
+    names, held, bad, at = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), 0
+    for some in _runs(texts):
+        h, sentence, owner = sentence_features(pa.array(some, pa.large_string()))
+        doc = owner[sentence] if len(h) else sentence
+        order = np.lexsort((doc, h))
+        h, doc = h[order], doc[order]
+        first = np.ones(len(h), dtype=bool)
+        first[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+        h, doc = h[first], doc[first]
+        names, to = np.unique(np.concatenate([names, h]), return_inverse=True)
+        held = np.bincount(to, weights=np.concatenate([held, np.ones(len(h))]), minlength=len(names))
+        bad = np.bincount(to, weights=np.concatenate([bad, toxic[at + doc]]), minlength=len(names))
+        at += len(some)
     n, share = len(texts), toxic.mean() if len(texts) else 0.0
     spread = np.sqrt(np.maximum(held * share * (1 - share) * (1 - held / max(1, n)), 1e-9))
     z = (bad - held * share) / spread
@@ -166,10 +195,9 @@ def train(texts: list[str], toxic: np.ndarray, counterfactual: float = COUNTERFA
     weights, bias = np.zeros(len(features)), float(np.log(prior / (1 - prior)))
     if not len(features):
         return {"features": features, "weights": weights, "bias": bias}
-    rows = Rows(pa.array(texts, pa.large_string()), features)
+    rows = Rows.of(texts, features)
     left, right = swapped_sentences(texts, identity)
-    whole = lambda t: Rows(pa.array([_DATA_END.sub(" ", x) for x in t], pa.large_string()), features)
-    l_rows, r_rows = whole(left), whole(right)
+    l_rows, r_rows = Rows.of(left, features), Rows.of(right, features)
     # one sentence a swapped text; texts without a word have none, on both sides alike
     d_row = np.concatenate([l_rows.owner[l_rows.row], r_rows.owner[r_rows.row]])
     d_column = np.concatenate([l_rows.column, r_rows.column])
@@ -215,7 +243,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_bytes: int = SAMPLE_BYTES, se
     marked = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
               .groupBy("doc_id").agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic")))
     texts = docs.where(F.octet_length("text") <= SAMPLE_MAX_BYTES).select("doc_id", "text")
-    size = texts.join(marked, "doc_id").agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    sizes = texts.select("doc_id", F.octet_length("text").alias("_size"))
+    size = sizes.join(marked, "doc_id").agg(F.sum("_size")).first()[0] or 0
     picked = hashed_fraction(F.col("doc_id"), seed) < min(1.0, sample_bytes / max(1, size))
     rows = texts.where(picked).join(marked.where(picked), "doc_id").select("toxic", "text").distinct().collect()
     rows = sorted((r["text"], r["toxic"]) for r in rows)  # any order of tasks gives one model
