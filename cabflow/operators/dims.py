@@ -2,10 +2,10 @@
 
 The four data-driven dimensions come from ONE pass over silver: a GROUPING
 SETS aggregate whose sets are the pickup day, dropoff day, pickup minute,
-dropoff minute, pickup zone, dropoff zone and service type.  Spark expands
-each row into the seven sets and aggregates partially on the map side, so the
-shuffle carries at most (days + minutes + zones + services) rows per task,
-whatever the size of silver or the skew of any key.
+dropoff minute, pickup zone, dropoff zone and service type, each by month.
+Spark expands each row into the seven sets and aggregates partially on the map
+side, so the shuffle carries at most (days + minutes + zones + services) rows
+per task and month, whatever the size of silver or the skew of any key.
 """
 
 from __future__ import annotations
@@ -28,10 +28,12 @@ _SETS = {
 
 
 def dimension_domains(silver: DataFrame) -> DataFrame:
-    """Distinct values of every dimension attribute, tagged by set, in one
-    scan of the needed silver columns.  Output is small (bounded by distinct
-    days + 2 x 1440 minutes + zones + services)."""
+    """Distinct values of every dimension attribute of each month, tagged by
+    set, in one scan of the needed silver columns.  Output is small (bounded,
+    for each month, by its days + 2 x 1440 minutes + zones + services); rows of
+    several months say the same again, so a month's rows can be replaced."""
     src = silver.select(
+        "source_month",
         F.col("pickup_ts").cast("date").alias("p_day"),
         F.col("dropff_ts").cast("date").alias("d_day"),
         F.hour("pickup_ts").alias("p_hour"), F.minute("pickup_ts").alias("p_minute"),
@@ -46,7 +48,7 @@ def dimension_domains(silver: DataFrame) -> DataFrame:
     )
     cols = [c for s in _SETS.values() for c in s]
     flags = [F.grouping(s[0]).alias(f"g_{name}") for name, s in _SETS.items()]
-    return src.groupingSets([s for s in _SETS.values()], *cols).agg(*flags)
+    return src.groupingSets([["source_month", *s] for s in _SETS.values()], "source_month", *cols).agg(*flags)
 
 
 def _in_set(dom: DataFrame, name: str) -> DataFrame:
@@ -96,6 +98,14 @@ def dim_service_type(domains: DataFrame) -> DataFrame:
                                               F.col("service_type")).distinct())
 
 
+def months_with(domains: DataFrame, days: list, minutes: list) -> list[str]:
+    """Months whose dropoffs fall on one of the days or (hour, minute)s."""
+    day = F.col("d_day").isin(days) if days else F.lit(False)
+    minute = (F.col("d_hour") * 60 + F.col("d_minute")).isin([h * 60 + m for h, m in minutes]) if minutes else F.lit(False)
+    hit = domains.where(((F.col("g_d_day") == 0) & day) | ((F.col("g_d_time") == 0) & minute))
+    return sorted(r[0] for r in hit.select("source_month").distinct().collect())
+
+
 def data_dims(silver: DataFrame, params: Params, *, domains: DataFrame | None = None) -> dict[str, DataFrame]:
     dom = domains if domains is not None else dimension_domains(silver)
     return {

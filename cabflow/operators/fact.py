@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concurrent.futures import ThreadPoolExecutor
-
 from cabflow.operators.joins import row_count_at_most
 from cabflow.params import Params
 from cabflow.schemas import FACT_COLUMNS, STATIC_DIMS
@@ -23,14 +21,8 @@ STRUCTURAL_BOUNDS = {"dim_time": MINUTES_PER_DAY, **{k: len(v[0]) for k, v in ST
 
 def broadcastable(dims: dict[str, DataFrame], cap: int) -> dict[str, bool]:
     """Which dimensions may be broadcast: proven by construction
-    (``STRUCTURAL_BOUNDS``) or by a bounded count; the counts run
-    concurrently (they are small independent jobs)."""
-    out = {n: True for n in dims if STRUCTURAL_BOUNDS.get(n, cap + 1) <= cap}
-    rest = [n for n in dims if n not in out]
-    with ThreadPoolExecutor(max_workers=max(1, len(rest))) as pool:
-        for n, ok in zip(rest, pool.map(lambda n: row_count_at_most(dims[n], cap), rest)):
-            out[n] = ok
-    return out
+    (``STRUCTURAL_BOUNDS``) or by the bytes of their files; no job runs."""
+    return {n: STRUCTURAL_BOUNDS.get(n, cap + 1) <= cap or row_count_at_most(d, cap) for n, d in dims.items()}
 
 
 def _lookup(dim: DataFrame, small: bool, *cols) -> DataFrame:
@@ -42,8 +34,8 @@ def fct_trips(silver: DataFrame, dims: dict[str, DataFrame], params: Params) ->
     """Silver LEFT JOIN the ten dimension roles.
 
     Every dimension is broadcast once its size is proven (dim_time by
-    construction, static dims by their fixed rows, the others by a bounded
-    count), so the fact is built without any shuffle of trip rows: each
+    construction, static dims by their fixed rows, the others by their
+    files' bytes), so the fact is built without any shuffle of trip rows: each
     task probes ten small hash tables.  Unmatched codes keep a NULL key (D6).
     Adds ``pickup_month`` (first day of the month), the partition column of
     the written fact.
@@ -114,3 +106,14 @@ def dimension_usage(fact: DataFrame, dim: DataFrame, dim_key: str, fact_key: str
     used = F.broadcast(used) if row_count_at_most(dim, max_broadcast_rows) else used
     return (dim.join(used, dim_key, "left")
             .withColumn("trips", F.coalesce(F.col("trips"), F.lit(0).cast("long"))))
+
+
+def usage_by_bucket(fact: DataFrame, dim: DataFrame, dim_key: str, fact_key: str, buckets: int) -> DataFrame:
+    """The same counts for a dimension of any size, stored in ``buckets`` by
+    ``dim_key``: a merge join that deals the counts (one row a key) by the
+    dimension's buckets and leaves the dimension where it is."""
+    used = fact.where(F.col(fact_key).isNotNull()).groupBy(F.col(fact_key).alias(dim_key)).agg(
+        F.count(F.lit(1)).alias("trips"))
+    used = used.repartition(buckets, dim_key)
+    return (dim.hint("merge").join(used, dim_key, "left")
+            .withColumn("trips", F.coalesce(F.col("trips"), F.lit(0).cast("long"))))

@@ -98,3 +98,17 @@ def assert_defined(df: DataFrame | None, name: str = "output") -> DataFrame:
     if df.isEmpty():
         raise AssertionError(f"{name} is empty")
     return df
+
+
+#: SQL names of the types the layers use.
+SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "float": "FLOAT", "double": "DOUBLE", "string": "VARCHAR",
+             "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def column_types(df: DataFrame, layer: str) -> DataFrame:
+    """(layer, column_name, type, present): each column's own type under its
+    SQL name and the number of its values, in one aggregate."""
+    types = F.create_map(*[F.lit(x) for c, t in df.dtypes for x in (c, SQL_TYPES.get(t, t.upper()))])
+    wide = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    return wide.unpivot([], df.columns, "column_name", "present").select(
+        F.lit(layer).alias("layer"), "column_name", types[F.col("column_name")].alias("type"), "present")

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,14 +23,15 @@ from pyspark.sql import types as T
 
 from cabflow.operators.bronze import bronze_trips, bronze_zones, narrow_types
 from cabflow.operators.coverage import coverage
-from cabflow.operators.fact import dimension_usage, rowcount_invariant, unmatched_keys
+from cabflow.operators.fact import dimension_usage, rowcount_invariant, unmatched_keys, usage_by_bucket
 from cabflow.operators.impute import impute_upper_median
-from cabflow.operators.quality import assert_defined, run_checks
+from cabflow.operators.quality import assert_defined, column_types, run_checks
 from cabflow.operators.silver import reject_first_reason, reject_reasons, slice_profile
 from cabflow.params import FIXTURE_PARAMS, Params
 from cabflow.plans import checks
 from cabflow.plans import questions as Q
-from cabflow.plans.gold import Gold, build_gold
+from cabflow.plans.gold import ZONE_BUCKETS, Gold, build_gold, update_gold
+from cabflow.plans.relations import gold_relations
 from cabflow.plans.reports import RESHAPED, reshaped
 from cabflow.schemas import PAYMENT_CATEGORIES, SERVICE_TYPES
 from cabflow.session import ensure_checkpoint_dir, scratch_path
@@ -40,6 +41,7 @@ from cabflow.sinks.writers import (
 )
 from cabflow.sources import fixture
 from cabflow.sources.generators import month_partitions_from, slice_grid_from
+from cabflow.sources.manifest import Manifest
 from cabflow.sources.trips import read_csv, read_trips, read_zones
 from cabflow.streaming.ingest import ingest_available
 
@@ -334,6 +336,48 @@ def _fact_rebuild(r: Run) -> DataFrame:
     return rowcount_invariant(later.silver, later.fact)
 
 
+def _fact_increment(r: Run) -> DataFrame:
+    """K7: gold built without two months of bronze and with part of a third;
+    then these slices arrive and gold is brought up to date: the whole fact."""
+    out, bronze = scratch_path(r.spark, "increment"), scratch_path(r.spark, "increment_bronze")
+    later = ["1997-05", "1998-02"]
+    part = (F.col("source_month") == "1997-08") & (F.col("service_type") == "green")
+    replace_slice(r.bronze.where(~F.col("source_month").isin(later) & ~part), bronze)
+    build_gold(r.spark, r.spark.read.parquet(bronze), r.zones, r.p, out_dir=out, cluster_fact=True)
+    replace_slice(r.bronze.where(F.col("source_month").isin(later) | part), bronze)
+    return update_gold(r.spark, r.spark.read.parquet(bronze), r.zones, r.p, [*later, "1997-08"], out_dir=out,
+                       cluster_fact=True).fact
+
+
+def _landing_manifest(r: Run) -> DataFrame:
+    """Rows per slice by the footers the manifest holds, after the landing
+    was delivered in two parts and one of them again under new file names."""
+    landing = scratch_path(r.spark, "manifest_landing")
+    manifest = Manifest(r.spark, scratch_path(r.spark, "manifest"))
+    early = r.raw.where(F.col("source_month") < "1998-07")
+    for part in (early, r.raw.where(F.col("source_month") >= "1998-07"), early):
+        fixture.write_landing(part, landing)
+        manifest.changes(landing).publish()
+    return manifest.read().groupBy("service_type", "source_month").agg(F.sum("row_count").alias("trips"))
+
+
+def _zone_bucket_join(r: Run) -> DataFrame:
+    """Trips per pickup zone, joined to the zones by their buckets."""
+    return usage_by_bucket(r.gold.fact, r.gold.dims["dim_zone"], "zone_key", "pickup_location_key", ZONE_BUCKETS)
+
+
+def _gold_by_name(r: Run) -> DataFrame:
+    """The fact, asked for by its name alone."""
+    return gold_relations(r.spark, scratch_path(r.spark, "by_name"), lambda: r.raw, lambda: r.zones, r.p).ref("fct_trips")
+
+
+def _layer_types(r: Run) -> DataFrame:
+    """The layers' own column types, which ``normalize`` widens."""
+    layers = {"narrowed": narrow_types(r.raw.drop("ingest_ts")), "bronze": r.bronze, "silver": r.silver,
+              "fct_trips": r.gold.fact, "dim_date": r.gold.dims["dim_date"]}
+    return reduce(lambda a, b: a.unionByName(b), [column_types(df, name) for name, df in layers.items()])
+
+
 QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     **{k: _q(k) for k in Q.QUESTIONS},
     "pruned_count": _q("pruned_count"),
@@ -375,6 +419,11 @@ QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     "impute_median": _impute_median,
     **{name: (lambda r, _n=name: reshaped(r.t, r.zones, r.p)[_n]()) for name in RESHAPED},
     "stream_ingest": _stream_ingest,
+    "fact_increment": _fact_increment,
+    "landing_manifest": _landing_manifest,
+    "zone_bucket_join": _zone_bucket_join,
+    "gold_by_name": _gold_by_name,
+    "layer_types": _layer_types,
 }
 
 

@@ -535,6 +535,30 @@ LAYER_SQL["hash_bucket"] = _w(
     GOLD + ",\n" + _murmur3_int("dim_zone", "zone_key"))
 
 
+def _types(layer: str, cols, src: str) -> str:
+    """Native types of a layer's columns and their counts; codes and ids are
+    cast as the models state it."""
+    expr = [f"CAST({c} AS INTEGER)" if k == I else (f"CAST({c} AS FLOAT)" if k == "float" else c) for c, k in cols]
+    return (f"SELECT '{layer}' AS layer, unnest([{', '.join(repr(c) for c, _ in cols)}]) AS column_name, "
+            f"unnest([{', '.join(f'any_value(typeof({e}))' for e in expr)}]) AS type, "
+            f"unnest([{', '.join(f'CAST(count({e}) AS BIGINT)' for e in expr)}]) AS present FROM {src}")
+
+
+LAYER_SQL["fact_increment"] = LAYER_SQL["gold_by_name"] = LAYER_SQL["fct_trips"]
+LAYER_SQL["landing_manifest"] = LAYER_SQL["replace_slice_rerun"]
+LAYER_SQL["zone_bucket_join"] = _w(
+    "SELECT CAST(z.zone_key AS BIGINT) AS zone_key, z.zone_name, z.borough, coalesce(u.trips, 0) AS trips FROM dim_zone z "
+    "LEFT JOIN (SELECT pickup_location_key AS zone_key, COUNT(*) AS trips FROM fct_trips GROUP BY 1) u USING (zone_key)")
+LAYER_SQL["layer_types"] = _w(" UNION ALL ".join([
+    _types("narrowed", [(c, "float" if k == D else k) for c, k in RAW_T], "raw"),
+    _types("bronze", BRONZE_T, "bronze"),
+    _types("silver", SILVER_T, "silver"),
+    _types("fct_trips", FACT_T, "(SELECT *, CAST(date_trunc('month', pickup_date) AS DATE) AS pickup_month FROM fct_trips)"),
+    _types("dim_date", [("date_key", I), ("full_date", X)] + [(c, I) for c in (
+        "year", "month", "day", "day_of_week", "week_of_year", "quarter")], "dim_date"),
+]), f"{GOLD},\n{RAW}")
+
+
 def oracle_queries() -> dict[str, str]:
     out = {k: _w(v) for k, v in QUESTIONS_SQL.items()}
     out.update(LAYER_SQL)

@@ -3,10 +3,14 @@ partitioned fact, LIST and HASH layouts, partition-domain checks."""
 
 from __future__ import annotations
 
+import hashlib
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cabflow.sinks.versioned import VersionedTable
 
 SLICE_KEYS = ("service_type", "source_month")
 
@@ -83,9 +87,11 @@ def _raise_on_violations(report: DataFrame, what: str) -> None:
 
 
 def write_fact(fact: DataFrame, path: str, *, lo: date | None = None, hi: date | None = None,
-               cluster: bool = False) -> DataFrame:
-    """K8: the fact partitioned by ``pickup_month`` (RANGE by month), replaced
-    as a whole.
+               cluster: bool = False, months=None, meta: dict | None = None) -> DataFrame:
+    """K8: the fact partitioned by ``pickup_month`` (RANGE by month), published
+    as a new version of the table at ``path`` (see ``VersionedTable``): the
+    whole fact or, with ``months`` (first days), these months alone, the files
+    of the others untouched.  A write that dies leaves the fact as it was.
 
     With ``lo``/``hi`` the month domain is checked first (K11).  Input read
     from slice-partitioned silver is already clustered by month (a silver row's
@@ -99,11 +105,8 @@ def write_fact(fact: DataFrame, path: str, *, lo: date | None = None, hi: date |
     # split over several tasks instead of landing in one.
     spread = F.xxhash64("pickup_time_key", "pickup_location_key", "dropoff_location_key", "total_amount")
     out = fact.repartitionByRange("pickup_month", "pickup_date", spread) if cluster else fact
-    # a full rebuild: months the new fact does not have must go
-    (out.sortWithinPartitions("pickup_month", "pickup_date")
-        .write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy("pickup_month").parquet(path))
-    return fact.sparkSession.read.schema(fact.schema).parquet(path)
+    table = VersionedTable(fact.sparkSession, path, "pickup_month")
+    return table.replace(out.sortWithinPartitions("pickup_month", "pickup_date"), months, meta)
 
 
 def write_list_partitioned(df: DataFrame, path: str, col: str, allowed) -> DataFrame:
@@ -120,7 +123,26 @@ def hash_bucket(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.withColumn("bucket", F.pmod(F.hash(F.col(key)), F.lit(n)))
 
 
+def _bucket_table(path: str) -> str:
+    return "cabflow_bucketed_" + hashlib.sha256(path.encode()).hexdigest()[:16]
+
+
 def write_hash_bucketed(df: DataFrame, path: str, key: str, n: int) -> DataFrame:
-    """``n`` files, one per hash bucket of ``key``."""
-    df.repartition(n, key).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """A table bucketed by HASH of ``key`` into ``n`` files, sorted within
+    each.  The returned frame reads it with its buckets, so a join or an
+    aggregate on ``key`` needs no exchange on this side."""
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {_bucket_table(path)}")
+    (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key).sortBy(key).format("parquet")
+       .option("path", path).saveAsTable(_bucket_table(path)))
+    return spark.table(_bucket_table(path))
+
+
+def read_hash_bucketed(spark: SparkSession, path: str, schema: T.StructType, key: str, n: int) -> DataFrame:
+    """A table written by ``write_hash_bucketed``, also by another session
+    whose catalog does not know it: its files are declared over again."""
+    name = _bucket_table(path)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+              f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {n} BUCKETS LOCATION '{path}'")
+    return spark.table(name)

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import json
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from cabflow.functions.calendar import ntz_literal
 from cabflow.schemas import GREEN_RENAMES, LINEAGE_FIELDS, RAW_TRIP_SCHEMA, ZONE_CSV_SCHEMA
+from cabflow.sources.manifest import read_footers
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -63,68 +63,54 @@ def conform_slice(df: DataFrame, service: str, month,
     return df.select(*cols)
 
 
-def slice_files(spark: SparkSession, base: str, service: str, months) -> list[str]:
-    """Paths of the Parquet files of the given slices (one string a file; only
-    listed, not read).  Missing and empty folders give none."""
-    root = f"{base.rstrip('/')}/{service}"
-    if not months:
-        return []
-    try:
-        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-                 .load(f"{root}/source_month={{{','.join(months)}}}").select("path"))
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return []
-        raise
-    return sorted(r.path for r in files.collect())
-
-
-def _by_schema(spark: SparkSession, files: list[str]) -> list[tuple[T.StructType, list[str]]]:
-    """Files grouped by their own footer's schema.
-
-    Each footer is read by itself, a few at a time, so files that do not agree
-    never meet in one schema merge.  A folder whose files all agree is given
-    as one path."""
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema, files))
-    kinds: dict[str, T.StructType] = {}
-    folders: dict[str, dict[str, list[str]]] = {}
-    for f, schema in zip(files, schemas):
-        kind = schema.simpleString()
-        kinds.setdefault(kind, schema)
-        folders.setdefault(f.rsplit("/", 1)[0], {}).setdefault(kind, []).append(f)
-    paths: dict[str, list[str]] = {kind: [] for kind in kinds}
-    for folder, parts in folders.items():
-        for kind, own in parts.items():
-            paths[kind] += [folder] if len(parts) == 1 else own
-    return [(kinds[kind], found) for kind, found in paths.items()]
-
-
-def _read_service(spark: SparkSession, base: str, service: str, months: list[str],
-                  ingest_ts: datetime) -> list[DataFrame]:
-    """All requested slices of one service: one scan per footer schema that
-    occurs, each with that schema given, whatever the number of months.  The
-    months come from the folder names."""
-    root = f"{base.rstrip('/')}/{service}"
-    return [conform_slice(spark.read.schema(schema).option("basePath", root).parquet(*paths),
+def _kinds(found: DataFrame) -> list[tuple[str, T.StructType, list[str]]]:
+    """(service, schema, paths) of the files, one entry per service and footer
+    schema: one job, whose result has a path a file.  A folder whose files all
+    agree is given as one path."""
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    rows = (found.withColumn("folder", folder).groupBy("service_type", "schema_id", "folder")
+            .agg(F.first("schema").alias("schema"), F.sort_array(F.collect_list("path")).alias("paths")).collect())
+    kinds_of: dict[str, int] = {}
+    for r in rows:
+        kinds_of[r.folder] = kinds_of.get(r.folder, 0) + 1
+    out: dict[tuple[str, str], tuple[T.StructType, list[str]]] = {}
+    for r in sorted(rows, key=lambda r: (r.service_type, r.schema_id, r.folder)):
+        if (r.service_type, r.schema_id) not in out:
+            out[r.service_type, r.schema_id] = (T.StructType.fromJson(json.loads(r.schema)), [])
+        out[r.service_type, r.schema_id][1].extend([r.folder] if kinds_of[r.folder] == 1 else r.paths)
+    return [(service, *kind) for (service, _), kind in out.items()]
+
+
+def _read(spark: SparkSession, base: str, found: DataFrame, ingest_ts: datetime) -> list[DataFrame]:
+    """One scan per service and footer schema, each with that schema given,
+    whatever the number of files and months, so files that do not agree never
+    meet in one schema merge.  The months come from the folder names."""
+    return [conform_slice(spark.read.schema(schema).option("basePath", f"{base.rstrip('/')}/{service}").parquet(*paths),
                           service, F.col("source_month"), ingest_ts)
-            for schema, paths in _by_schema(spark, slice_files(spark, base, service, months))]
+            for service, schema, paths in _kinds(found)]
 
 
 def read_slice(spark: SparkSession, base: str, service: str, month: str,
                ingest_ts: datetime) -> DataFrame | None:
     """One slice, or None when it has no file (coverage marks it ``missing``).
     Any other read error propagates (D9)."""
-    parts = _read_service(spark, base, service, [month], ingest_ts)
+    parts = _read(spark, base, read_footers(spark, base, [service], [month]), ingest_ts)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
 
 
 def read_trips(spark: SparkSession, base: str, services, months,
-               ingest_ts: datetime) -> DataFrame:
+               ingest_ts: datetime, manifest: DataFrame | None = None) -> DataFrame:
     """S1 + P1 + P2 + U2: every existing (service, month) slice, conformed and
-    stacked with ``unionByName(allowMissingColumns=True)``."""
-    months = sorted(set(months))
-    parts = [p for s in services for p in _read_service(spark, base, s, months, ingest_ts)]
+    stacked with ``unionByName(allowMissingColumns=True)``.
+
+    The footers come from ``manifest`` (rows of a ``Manifest``, its files still
+    there) or are read by one job over all files."""
+    services, months = sorted(set(services)), sorted(set(months))
+    if manifest is None:
+        found = read_footers(spark, base, services, months)
+    else:
+        found = manifest.where(F.col("service_type").isin(services) & F.col("source_month").isin(months))
+    parts = _read(spark, base, found, ingest_ts)
     if not parts:
         schema = T.StructType(list(RAW_TRIP_SCHEMA.fields) + LINEAGE_FIELDS)
         return spark.createDataFrame([], schema)

@@ -1,3 +1,3 @@
 """Incremental arrival of monthly slice files (ST1)."""
 
-from cabflow.streaming.ingest import ingest_available, slice_arrivals  # noqa: F401
+from cabflow.streaming.ingest import arrivals, ingest_available  # noqa: F401

@@ -1,74 +1,99 @@
 """ST1: process newly arrived slice files once, safely rerunnable.
 
-A Structured Streaming ``binaryFile`` source over the landing folders
-remembers, in its checkpoint, which files it has seen.  Each micro-batch only
-tells which (service, month) slices received files; the batch function then
-re-reads those slices whole from their raw folders (``read_trips``: merged
-where footers agree, a drifted slice on its own footer schema) and replaces
-them in bronze with a dynamic partition overwrite.  So a slice
-spread over several micro-batches, a redelivered slice (new file names,
-newest delivery wins) and a run with nothing new all leave the bronze counts
-right.  Trips have no natural key, so rows are never de-duplicated.
+A landing ``Manifest`` under the checkpoint tells which files are new: one row
+a landing file, in a table, none of it on the driver.  New files become packs
+in an arrival log, which a Structured Streaming query drains (trigger
+availableNow): a pack names files of one slice, so a micro-batch tells which
+(service, month) slices received files.  The batch function re-reads those
+slices whole from their raw folders, each file by the footer schema the
+manifest holds, and replaces them in bronze with a dynamic partition overwrite.
+Only then are the arrivals recorded, so a run that dies finds them again.
+
+So a slice spread over several micro-batches, a redelivered slice (new file
+names, newest delivery wins), files older than others seen before, and a run
+with nothing new all leave the bronze counts right.  Trips have no natural key,
+so rows are never de-duplicated.
+
+State stays bounded by what is open: drained log files are deleted by the
+stream source, whose own record of them ages out, and files that left the
+landing leave the manifest.  ``months`` keeps closed months from being listed.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cabflow.operators.bronze import bronze_trips
 from cabflow.sinks.writers import replace_slice
+from cabflow.sources.manifest import Changes, Manifest
 from cabflow.sources.trips import read_trips
 
-_PATH_RE = r"/([^/]+)/source_month=([0-9]{4}-[0-9]{2})/[^/]+$"
-# The binaryFile source's fixed schema (a stream source must be given one).
-_FILE_SCHEMA = T.StructType([
-    T.StructField("path", T.StringType(), False),
-    T.StructField("modificationTime", T.TimestampType(), False),
-    T.StructField("length", T.LongType(), False),
-    T.StructField("content", T.BinaryType(), True),
+_LOG_SCHEMA = T.StructType([
+    T.StructField("service_type", T.StringType()),
+    T.StructField("source_month", T.StringType()),
+    T.StructField("path", T.StringType()),
 ])
 
 
-def slice_arrivals(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame of (service_type, source_month), one row per newly
-    seen file.  The ``binaryFile`` source yields one row per file, and only
-    its path is selected, so file contents are never read here."""
-    # A file counts as new by its path alone: by default the source would skip
-    # files a week older than the newest one seen, as a backfill's are.
-    reader = spark.readStream.format("binaryFile").schema(_FILE_SCHEMA).option("maxFileAge", "36500d")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    files = (reader
-             .load(f"{landing.rstrip('/')}/*/source_month=*/*.parquet"))
-    path = F.col("path")
-    return files.select(F.regexp_extract(path, _PATH_RE, 1).alias("service_type"),
-                        F.regexp_extract(path, _PATH_RE, 2).alias("source_month"))
+def landing_manifest(spark: SparkSession, checkpoint: str) -> Manifest:
+    """The manifest a checkpoint folder keeps of its landing."""
+    return Manifest(spark, f"{checkpoint.rstrip('/')}/manifest")
+
+
+def log_arrivals(changes: Changes, log: str, max_files: int | None = None) -> None:
+    """Append the new files to the arrival log as packs: of one slice and at
+    most ``max_files`` files each, or all in one."""
+    new = changes.arrived.select(*_LOG_SCHEMA.names)
+    if max_files:
+        turn = F.row_number().over(Window.partitionBy("service_type", "source_month").orderBy("path")) - 1
+        new = new.withColumn("pack", F.concat_ws("_", "service_type", "source_month", F.floor(turn / max_files)))
+    else:
+        new = new.withColumn("pack", F.lit("all"))
+    (new.withColumn("version", F.lit(changes.number)).repartition("pack").write.mode("append")
+        .partitionBy("version", "pack").parquet(log))
+
+
+def arrivals(spark: SparkSession, log: str, packs_per_batch: int | None = None) -> DataFrame:
+    """Streaming frame of (service_type, source_month, path) over the log."""
+    reader = spark.readStream.schema(_LOG_SCHEMA).option("cleanSource", "delete")
+    if packs_per_batch:
+        reader = reader.option("maxFilesPerTrigger", int(packs_per_batch))
+    return reader.parquet(f"{log}/version=*/pack=*").select(*_LOG_SCHEMA.names)
 
 
 def ingest_available(spark: SparkSession, landing: str, bronze_path: str, checkpoint: str,
-                     ingest_ts: datetime, max_files_per_trigger: int | None = None):
+                     ingest_ts: datetime, max_files_per_trigger: int | None = None, months=None):
     """Run once over everything not yet processed (trigger availableNow) and
-    return the finished StreamingQuery.  ``max_files_per_trigger`` bounds
-    the files per micro-batch (availableNow still drains everything)."""
+    return the finished StreamingQuery, or None when nothing ever arrived.
+    ``max_files_per_trigger`` bounds the files per micro-batch (availableNow
+    still drains everything); ``months`` restricts the run to these months."""
+    root = checkpoint.rstrip("/")
+    log = f"{root}/arrivals"
+    manifest = landing_manifest(spark, root)
+    changes = manifest.changes(landing, months=months)
+    if changes.slices():
+        log_arrivals(changes, log, max_files_per_trigger)
+    elif not manifest.table.exists():
+        return None
+    current = changes.files()
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         # One row per slice touched by this micro-batch: a bounded set.
-        touched = batch.distinct().collect()
-        if not touched:
-            return
+        touched = batch.select("service_type", "source_month").distinct().collect()
         for service in sorted({r.service_type for r in touched}):
-            months = sorted({r.source_month for r in touched if r.service_type == service})
-            raw = read_trips(spark, landing, [service], months, ingest_ts)
+            of_service = sorted({r.source_month for r in touched if r.service_type == service})
+            raw = read_trips(spark, landing, [service], of_service, ingest_ts, manifest=current)
             replace_slice(bronze_trips(raw), bronze_path)
 
-    q = (slice_arrivals(spark, landing, max_files_per_trigger).writeStream
+    q = (arrivals(spark, log, 1 if max_files_per_trigger else None).writeStream
          .foreachBatch(process)
-         .option("checkpointLocation", checkpoint)
+         .option("checkpointLocation", f"{root}/stream")
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
+    changes.publish()
     return q
