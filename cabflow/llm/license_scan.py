@@ -8,7 +8,10 @@ coverage.
 
 A text may hold a license more than once, or far from its start, so alignment
 is done around places: runs of the text in which the template's distinctive
-words follow each other closely.  All places of a text are looked at.
+words follow each other closely, and, as copies one after the other leave no
+word unique in such a run, windows inside it.  A word that the template holds
+once tells where a copy it belongs to begins; where the words of one copy agree
+on that to within a few words is a window.  All places of a text are returned.
 """
 
 from __future__ import annotations
@@ -49,7 +52,56 @@ TEMPLATES = {
         "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
         "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
         "GNU General Public License for more details."),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE "
+        "SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING "
+        "ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."),
+    "BSD-2-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: Redistributions of source code must retain the above copyright notice, this "
+        "list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above "
+        "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution."),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: Redistributions of source code must retain the above copyright notice, this "
+        "list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above "
+        "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution. Neither the name of the copyright holder nor the names of its "
+        "contributors may be used to endorse or promote products derived from this software without specific prior "
+        "written permission."),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+        "held liable for any damages arising from the use of this software. Permission is granted to anyone to use "
+        "this software for any purpose, including commercial applications, and to alter it and redistribute it "
+        "freely, subject to the following restrictions:"),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means."),
+    "BSL-1.0-notice": "Distributed under the Boost Software License, Version 1.0.",
 }
+#: A table of templates beyond this size is refused rather than sent to the tasks.
+MAX_TEMPLATE_BYTES = 16 << 20
+
+
+def read_templates(table: DataFrame) -> dict[str, str]:
+    """Templates from a table (name, text): null and wordless ones are left
+    out, the rows of one name must agree, and all together must be within
+    ``MAX_TEMPLATE_BYTES``."""
+    rows = table.select(F.col("name").cast("string"), F.col("text").cast("string")).dropna().distinct()
+    if (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) > MAX_TEMPLATE_BYTES:
+        raise ValueError("templates are too large")
+    out: dict[str, str] = {}
+    for r in rows.collect():
+        if words_of(r["text"]) and out.setdefault(r["name"], r["text"]) != r["text"]:
+            raise ValueError(f"template {r['name']!r} has several texts")
+    return out
+
 
 #: A template is found when this share of its words is matched.
 LEAST_COVERAGE = 0.8
@@ -126,6 +178,10 @@ class Template:
     def __init__(self, name: str, text: str):
         self.name, self.words = name, words_of(text)
         self.marks = frozenset(self.words) - _PLAIN or frozenset(self.words)
+        #: marks that the template holds once, with their places in it
+        self.once = {w: i for w, i in _once(self.words, 0, len(self.words)).items() if w in self.marks}
+        #: words by which the beginnings that a copy's marks tell may differ
+        self.slack = max(2, len(self.words) // 8)
 
     def places(self, words: list[str], at: list[int]) -> list[tuple[int, int]]:
         """Runs of the text around close marks (positions ``at``), widened to
@@ -144,26 +200,45 @@ class Template:
                 last = i
         return runs
 
-    def best(self, words: list[str], at: list[int]) -> tuple[float, int, int]:
-        """Largest coverage over all places, and the matched words' bounds."""
-        found = (0.0, 0, 0)
-        for lo, hi in self.places(words, at):
-            for s, e in self._parts(words, lo, hi):
-                pairs = align(words[s:e], self.words)
-                if pairs and len(pairs) / len(self.words) > found[0]:
-                    found = (len(pairs) / len(self.words), s + pairs[0][0], s + pairs[-1][0] + 1)
-        return found
-
-    def _parts(self, words: list[str], lo: int, hi: int) -> list[tuple[int, int]]:
-        """The run, and a stretch of it from every copy of the template's first
-        mark when it comes more than once: copies one after the other leave no
-        word unique."""
-        first = next(w for w in self.words if w in self.marks)
-        lead = self.words.index(first)
-        starts = [i for i in range(lo, hi) if words[i] == first]
-        if len(starts) < 2:
-            return [(lo, hi)]
-        return [(lo, hi)] + [(max(lo, i - lead), min(hi, i + len(self.words) + len(self.words) // 2)) for i in starts]
+    def windows(self, words: list[str], at: list[int]) -> list[tuple[int, int]]:
+        """Stretches of a copy's length where enough different marks tell
+        nearly the same beginning."""
+        told = sorted((i - self.once[words[i]], words[i]) for i in at if words[i] in self.once)
+        need = max(1, 2 * len(self.once) // 5)
+        out: list[tuple[int, int]] = []
+        held: dict[str, int] = {}
+        lo, taken = 0, None
+        for hi, (begin, w) in enumerate(told):
+            held[w] = held.get(w, 0) + 1
+            while begin - told[lo][0] > self.slack:
+                old = told[lo][1]
+                held[old] -= 1
+                if not held[old]:
+                    del held[old]
+                lo += 1
+            # the fullest window of a copy: take it when the next beginning leaves it
+            leaves = hi + 1 == len(told) or told[hi + 1][0] - told[lo][0] > self.slack
+            if leaves and len(held) >= need and (taken is None or told[lo][0] > taken):
+                taken = begin
+                out.append((max(0, told[lo][0]), min(len(words), begin + len(self.words))))
+        return out
+
+    def found(self, words: list[str], at: list[int], least: float) -> list[tuple[float, int, int]]:
+        """(coverage, first word, end word) of the places covered to at least
+        ``least``, in text order; of places that share more words than the
+        slack the best one, of equally good ones the shortest.  A run counts where no window does: it
+        may have borrowed from two copies."""
+        kept: list[tuple[float, int, int]] = []
+        for stretches in (self.windows(words, at), self.places(words, at)):
+            tried = []
+            for lo, hi in stretches:
+                pairs = align(words[lo:hi], self.words)
+                if pairs and len(pairs) / len(self.words) >= least:
+                    tried.append((len(pairs) / len(self.words), lo + pairs[0][0], lo + pairs[-1][0] + 1))
+            for place in sorted(tried, key=lambda x: (-x[0], x[2] - x[1], x[1])):
+                if all(min(place[2], e) - max(place[1], s) <= self.slack for _, s, e in kept):
+                    kept.append(place)
+        return sorted(kept, key=lambda x: x[1])
 
 
 class Scanner:
@@ -172,17 +247,15 @@ class Scanner:
         self.marks = frozenset().union(*[t.marks for t in self.templates]) if templates else frozenset()
 
     def scan(self, text: str | None, least: float) -> list[tuple[str, float, int, int]]:
-        """(template, coverage, first word, end word) of each template found,
-        in the order of the names."""
+        """(template, coverage, first word, end word) of each place found, by
+        template name and then in text order."""
         words = words_of(text) if text else []
         marked = [(i, w) for i, w in enumerate(words) if w in self.marks]
         out = []
         for t in self.templates if marked else ():
             at = [i for i, w in marked if w in t.marks]
             if at:
-                cover, s, e = t.best(words, at)
-                if cover >= least:
-                    out.append((t.name, cover, s, e))
+                out += [(t.name, *place) for place in t.found(words, at, least)]
         return out
 
 
@@ -192,13 +265,16 @@ _OUT = pa.schema([("doc_id", pa.int64()), ("found", pa.list_(pa.struct([
 
 def license_spans(docs: DataFrame, templates: dict[str, str] | None = None,
                   least: float = LEAST_COVERAGE) -> DataFrame:
-    """doc_id, found: for every row (doc_id, text) the templates covered to at
-    least ``least``, each with its coverage and the words it spans, by name.
+    """doc_id, found: for every row (doc_id, text) the places where a template
+    is covered to at least ``least``, each with its coverage and the words it
+    spans, by name and then in text order.
 
     Defined cases: null and empty texts, and texts without a word, hold none
     (an empty list); every row gives one row, repeated rows and null doc_ids
-    included; of equally covered places the first counts; other columns are
-    not read; an empty table gives an empty result.
+    included; of places of one template that overlap the best counts, then the
+    shortest, then the first; a very long text is held whole as words (about
+    100 times its bytes in a worker); other columns are not read; an empty
+    table gives an empty result.
     """
     known = dict(TEMPLATES if templates is None else templates)
 

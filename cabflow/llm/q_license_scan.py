@@ -16,7 +16,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                                f["first_word"].alias("first_word"),
                                                                f["end_word"].alias("end_word"))))[0]
     return (found.withColumn("top", F.when(F.size("found") > 0, top))
-            .select("doc_id", F.size("found").alias("n_licenses"),
-                    F.concat_ws(",", F.transform("found", lambda f: f["license"])).alias("licenses"),
+            .withColumn("names", F.array_distinct(F.transform("found", lambda f: f["license"])))
+            .select("doc_id", F.size("names").alias("n_licenses"), F.concat_ws(",", "names").alias("licenses"),
                     F.col("top.license").alias("best_license"), (-F.col("top.minus")).alias("best_coverage"),
-                    F.col("top.first_word").alias("first_word"), F.col("top.end_word").alias("end_word")))
+                    F.col("top.first_word").alias("first_word"), F.col("top.end_word").alias("end_word"),
+                    F.size("found").alias("n_places")))

@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from cabflow.llm.common import table
-from cabflow.llm.license_scan import TEMPLATES, Scanner, align, increasing, license_spans, words_of
+from cabflow.llm.license_scan import TEMPLATES, Scanner, align, increasing, license_spans, read_templates, words_of
 from cabflow.llm.q_license_scan import query
 from tests.conftest import SF01
 from tests.llm.helpers import clashing, edited, frame, rng, words
@@ -63,6 +63,37 @@ def test_finds_a_license_anywhere(name):
     assert name in {f[0] for f in SCANNER.scan(twice, 0.8)}
 
 
+@pytest.mark.parametrize("name", ["MIT", "Apache-2.0", "GPL-3.0"])
+@pytest.mark.parametrize("copies", [1, 2, 3, 7])
+def test_altered_copies_in_a_row_are_found_each_with_its_span(name, copies):
+    """Any word may be the changed one, the first included; against dynamic
+    programming on each copy."""
+    r = rng(6)
+    t = words_of(TEMPLATES[name])
+    for changed in (0, 1, 7, len(t) // 2, len(t) - 1, None):
+        parts, bounds, at = [words(r, 40).split()], [], 40
+        for _ in range(copies):
+            copy = edited(r, " ".join(t), 0.05).split()
+            if changed is not None:
+                copy[changed] = "distributed0"
+            bounds.append((at, at + len(copy), lcs(copy, t) / len(t)))
+            parts.append(copy)
+            at += len(copy)
+        text = " ".join(w for p in [*parts, words(r, 30).split()] for w in p)
+        got = [f for f in SCANNER.scan(text, 0.8) if f[0] == name]
+        assert len(got) == copies, (changed, got)
+        for (_, cover, s, e), (lo, hi, best) in zip(got, bounds, strict=True):
+            assert cover >= best - 0.03 and abs(s - lo) <= 6 and abs(e - hi) <= 6, (changed, s, e, lo, hi)
+
+
+def test_copies_with_text_between_and_inside():
+    r = rng(7)
+    t = TEMPLATES["Apache-2.0"].split()
+    split = " ".join([*t[:40], *words(r, 35).split(), *t[40:]])
+    got = [f[0] for f in SCANNER.scan(f"{split} {words(r, 200)} {' '.join(t)} {words(r, 3)} {' '.join(t)}", 0.8)]
+    assert got.count("Apache-2.0") == 3
+
+
 def test_leaves_other_texts_alone():
     r = rng(5)
     for t in [words(r, 500), "this is a version of the general public opinion under license", "mit " * 5000, "license " * 20_000]:
@@ -80,6 +111,17 @@ def test_edge_rows(spark):
     assert license_spans(frame(spark, [])).count() == 0
 
 
+def test_templates_from_a_table(spark):
+    rows = [("Own", "this very own notice binds nobody"), ("Own", "this very own notice binds nobody"), ("None", None),
+            (None, "x"), ("Blank", "...")]
+    own = read_templates(spark.createDataFrame(rows, "name string, text string"))
+    assert own == {"Own": "this very own notice binds nobody"}
+    got = license_spans(frame(spark, [(1, "so This VERY own notice binds nobody. ok", "en", "a", 1)]), own).first()
+    assert [(f["license"], f["first_word"], f["end_word"]) for f in got["found"]] == [("Own", 1, 7)]
+    with pytest.raises(ValueError):
+        read_templates(spark.createDataFrame([("A", "one"), ("A", "two")], "name string, text string"))
+
+
 def test_query_equals_plain_search_for_the_planted_notices(spark):
     texts = {r["doc_id"]: r["text"] for r in table(spark, SF01, "documents").collect()}
     got = {r["doc_id"]: set(filter(None, r["licenses"].split(","))) for r in query(spark, SF01).collect()}
