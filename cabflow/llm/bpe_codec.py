@@ -27,6 +27,8 @@ from cabflow.llm.vocab import Vocab, broadcast_vocab, digest
 
 #: Pre-tokens remembered per worker, and the longest one remembered.
 CACHE_ENTRIES, CACHE_CHARS = 250_000, 64
+#: Pairs of neighbouring tokens remembered per worker (about 100 bytes each).
+PAIR_ENTRIES = 1_000_000
 
 class Codec:
     def __init__(self, vocab: Vocab):
@@ -52,7 +54,8 @@ class Codec:
                     self.shorter[i] = j
                     break
         self.length = [len(b) for b in vocab.bytes_of]
-        #: left id * size + right id -> compatible, filled as pairs are met
+        #: left id * size + right id -> compatible, filled as pairs are met and
+        #: emptied at ``PAIR_ENTRIES``
         self.pairs: dict[int, bool] = {}
         self.size = size
         #: whether a token's own bytes encode as itself: tokens by rank, so
@@ -76,6 +79,8 @@ class Codec:
         key = a * self.size + b
         known = self.pairs.get(key)
         if known is None:
+            if len(self.pairs) >= PAIR_ENTRIES:
+                self.pairs.clear()
             known = self.pairs[key] = self._seam_holds(a, b)
         return known
 

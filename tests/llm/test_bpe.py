@@ -37,6 +37,17 @@ def test_odd_texts(text):
     assert CODEC.decode(CODEC.encode(text)) == LIB.decode(ids, skip_special_tokens=False) == text
 
 
+def test_pair_table_is_bounded(monkeypatch):
+    import cabflow.llm.bpe_codec as m
+    monkeypatch.setattr(m, "PAIR_ENTRIES", 200)
+    r = random.Random(5)
+    codec = Codec(VOCAB)
+    for _ in range(60):
+        text = "".join(r.choice("abcdefghij klmno") for _ in range(300))
+        assert codec.encode(text).tolist() == lib_ids(text)
+        assert len(codec.pairs) <= 200
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=60))
 def test_any_text(text):
