@@ -29,8 +29,9 @@ SAMPLE_MAX_CHARS = 200_000
 MIN_COUNT = 2
 #: n-gram lengths tried for unknown words, longest first.
 ORDERS = (4, 3, 2, 1)
-#: Words remembered per worker beside the model's own.
-CACHE_WORDS = 200_000
+#: Words remembered per worker beside the model's own, and the longest word
+#: that is remembered or enters the model as a word (its n-grams always do).
+CACHE_WORDS, WORD_LETTERS = 200_000, 64
 
 UNDETERMINED = "und"
 
@@ -53,11 +54,11 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen.setdefault(lang, Counter()).update(_words(text.lower()))
         rows = []
         for lang, words in seen.items():
-            rows += [(lang, 0, w, c) for w, c in words.items() if len(w) <= 64]
+            rows += [(lang, 0, w, c) for w, c in words.items() if len(w) <= WORD_LETTERS]
             by_order = {n: Counter() for n in ORDERS}
             for w, c in words.items():
                 for n in ORDERS:
-                    for g in grams(w[:64], n):
+                    for g in grams(w, n):
                         by_order[n][g] += c
             rows += [(lang, n, g, c) for n, cs in by_order.items() for g, c in cs.items()]
         yield emit(_COUNTS, lang=[r[0] for r in rows], n=[r[1] for r in rows], gram=[r[2] for r in rows],
@@ -68,8 +69,9 @@ def fit(labelled: DataFrame, per_lang: int = SAMPLE_PER_LANG, seed: int = 4) ->
     """The model of rows (doc_id, text, lang); null texts and langs are left out.
 
     Learns from about ``per_lang`` texts of each language, so its size is
-    bounded by that and the number of languages.  Without any labelled row the
-    model has no language and every prediction is ``und``.
+    bounded by that and the number of languages.  Words of more than
+    ``WORD_LETTERS`` letters enter it by their n-grams alone.  Without any
+    labelled row the model has no language and every prediction is ``und``.
     """
     rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()
                           & (F.length("text") <= SAMPLE_MAX_CHARS)).select("doc_id", "text", "lang")
@@ -142,8 +144,11 @@ class Scorer:
             get, add = self.index.get, self._add
             at = [get(w) for w in part]
             if None in at:
+                for i, w in zip(at, part, strict=True):
+                    if i is None and len(w) > WORD_LETTERS:
+                        total += self.word(w)  # not remembered
                 at = [i if i is not None else (get(w) if w in self.index else add(w))
-                      for i, w in zip(at, part, strict=True)]
+                      for i, w in zip(at, part, strict=True) if i is not None or len(w) <= WORD_LETTERS]
             total += self.rows[at].sum(axis=0, dtype=np.float64)
         best = int(total.argmax())  # of equal sums the first language by name
         return self.langs[best], 1.0 / float(np.exp(np.maximum(total - total[best], -700)).sum())

@@ -53,6 +53,19 @@ def test_equals_plain_python(model, text):
     assert score == pytest.approx(1 / sum(math.exp(v - best) for v in total.values()), abs=1e-4)
 
 
+def test_long_words_are_scored_whole_and_not_remembered(model):
+    import random
+    r = random.Random(3)
+    scorer = Scorer(model)
+    text = " ".join("".join(r.choice("abcdefghij") for _ in range(20_000)) + "hund" * 20_000 for _ in range(40))
+    assert scorer.predict(text)[0] == "de"
+    assert sum(map(len, scorer.index)) < 10_000
+    total = plain_scores("dogthecat" * 30 + " the")
+    lang, score = scorer.predict("dogthecat" * 30 + " the")
+    assert lang == max(total, key=total.get) and score == pytest.approx(
+        1 / sum(math.exp(v - max(total.values())) for v in total.values()), abs=1e-4)
+
+
 def test_edge_rows(spark, model):
     rows = [(1, None, "de", "a", 1), (2, "", "de", "a", 1), (3, "12 34 !?", "de", "a", 1), (4, "der hund", None, None, None),
             (4, "der hund", None, None, None), (None, "the dog", "x", "a", 1), (7, "the cat " * 60_000, "en", "a", 1)]
