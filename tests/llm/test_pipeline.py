@@ -88,8 +88,8 @@ def test_stages_on_odd_rows(spark, name):
 
 def test_registered(spark):
     q, o = entry.queries(), entry.oracle_sql()
-    assert {f"op{n}_" for n in range(1, 11)} == {k.partition("_")[0] + "_" for k in q if k.startswith("op")}
-    assert "pipeline" in q and "op8_mixing" in o and set(o) <= set(q)
+    assert {f"op{n}_" for n in range(1, 14)} == {k.partition("_")[0] + "_" for k in q if k.startswith("op")}
+    assert "pipeline" in q and "op8_mixing" in o and "op13_mask_ranking" in o and set(o) <= set(q)
 
 
 @pytest.mark.parametrize("key", ["op5_ngram_join", "op10_vector_dedup"])
