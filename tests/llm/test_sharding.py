@@ -1,8 +1,11 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from cabflow.llm import sharding
 from cabflow.llm.common import table
 from cabflow.llm.q_sharding import query
 from cabflow.llm.sharding import fisher_yates, to_scratch
@@ -55,6 +58,29 @@ def test_query(spark):
     check_law(out.collect(), table(spark, SF01, "documents").count(), 16)
 
 
+def test_a_row_repeated_by_the_third_is_spread(spark, monkeypatch):
+    """Copies of one row (and of one null row) go to many buckets; every copy
+    is there and the order still depends on rows and seed alone."""
+    sizes = []
+    real = sharding._scattered
+
+    def counted(*args):
+        out = real(*args)
+        sizes.append({r["bucket"]: r["n"] for r in out.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()})
+        return out
+
+    monkeypatch.setattr(sharding, "_scattered", counted)
+    rows = [(7, "again and again", "en", "a", 1)] * 3000 + [(None, None, None, None, None)] * 3000 + [
+        (i, f"text {i}", "en", "a", 1) for i in range(3000)]
+    docs = frame(spark, rows)
+    out = to_scratch(docs, bucket_bytes=1600).collect()
+    check_law(out, 9000, 16)
+    assert Counter((r["doc_id"], r["text"]) for r in out) == Counter((i, t) for i, t, *_ in rows)
+    assert max(sizes[0].values()) < 3 * 9000 / len(sizes[0])
+    place = lambda found: sorted(((r["shard"], r["slot"], r["doc_id"], r["text"]) for r in found), key=str)
+    assert place(out) == place(to_scratch(docs.repartition(7), bucket_bytes=1600).collect())
+
+
 @pytest.mark.parametrize("n", [0, 1])
 def test_tiny_tables(spark, n):
     rows = [(1, "x", "en", "a", 1)][:n]
