@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabflow.llm.bucket_links import blocks_of, bucket_components
@@ -29,8 +29,15 @@ from cabflow.llm.common import arrow_map, emit, mix64, parallelism, written
 from cabflow.llm.signature_tree import Links
 
 TABLES, SYMBOLS, PROBES, CHOICES = 8, 4, 12, 3
-#: Classes compared at a time, when linking and when counting.
-BLOCK, ACROSS, COUNT_BLOCK = 128, 512, 1024
+#: Classes compared at a time when linking.
+BLOCK, ACROSS = 128, 512
+#: Counting: a component of up to COUNT_BLOCK classes is one block; a larger one
+#: is dealt into COUNT_SPLIT blocks at most, until these would be larger than
+#: COUNT_MOST.  So pairs of blocks spread a middling component over tasks, and a
+#: class is copied max(COUNT_SPLIT, classes / COUNT_MOST) times.
+COUNT_BLOCK, COUNT_SPLIT, COUNT_MOST = 128, 8, 4096
+#: Rows of a product of two blocks held at a time.
+_STRIP = 512
 #: Rows hashed at a time.
 _ROWS = 2048
 
@@ -151,8 +158,22 @@ def _streamed(rows: DataFrame, fn, schema: str, spark_schema: str) -> DataFrame:
     return arrow_map(dealt, run, spark_schema)
 
 
-def _pairs(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
-    return x @ y.T >= least
+def count_blocks(m: Column) -> Column:
+    """Blocks of a component of m classes."""
+    return F.least(blocks_of(m, COUNT_BLOCK), F.greatest(F.lit(COUNT_SPLIT).cast("long"), blocks_of(m, COUNT_MOST)))
+
+
+def _linked_weight(x: np.ndarray, wx: np.ndarray, y: np.ndarray, wy: np.ndarray, least: float):
+    """For each row of x the weight of the rows of y it links with, and the
+    other way around; strips of x at a time.  A row does not link with itself."""
+    nx, ny = np.zeros(len(x), dtype=np.int64), np.zeros(len(y), dtype=np.int64)
+    for s in range(0, len(x), _STRIP):
+        link = x[s:s + _STRIP] @ y.T >= least
+        if x is y:
+            link[np.arange(len(link)), s + np.arange(len(link))] = False
+        nx[s:s + _STRIP] = link @ wy
+        ny += link.T @ wx[s:s + _STRIP]
+    return nx, ny
 
 
 def _linker(vectors: DataFrame, least: float):
@@ -185,7 +206,7 @@ def _link_counts(members: DataFrame, least: float) -> DataFrame:
     """rep, n: vectors of other classes linked, for members (component, rep,
     count, vector): pairs of blocks of each component."""
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("m")).select(
-        "component", blocks_of(F.col("m"), COUNT_BLOCK).alias("nb"))
+        "component", count_blocks(F.col("m")).alias("nb"))
     rows = members.join(written(sizes, "sizes"), "component").withColumn(
         "mine", F.pmod(F.xxhash64("rep"), F.col("nb"))).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
@@ -199,14 +220,11 @@ def _link_counts(members: DataFrame, least: float) -> DataFrame:
         ids = np.array([r[0] for r in held])
         weight = np.array([r[3] for r in held])
         if held[0][2] is None:
-            link = _pairs(x, x, least)
-            np.fill_diagonal(link, False)
-            n = link @ weight
+            n, _ = _linked_weight(x, weight, x, weight, least)
         else:
             side = np.array([bool(r[2]) for r in held])
             n = np.zeros(len(held), dtype=np.int64)
-            link = _pairs(x[side], x[~side], least)
-            n[side], n[~side] = link @ weight[~side], link.T @ weight[side]
+            n[side], n[~side] = _linked_weight(x[side], weight[side], x[~side], weight[~side], least)
         return {"rep": ids[n > 0], "n": n[n > 0]}
 
     out = _streamed(dealt, counts, [("rep", pa.int64()), ("n", pa.int64())], "rep long, n long")

@@ -155,7 +155,9 @@ def _near(seed, d=32, groups=8, size=25, spread=0.18):
 def test_near_duplicates_equal_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(vector_dedup, "BLOCK", block)
     monkeypatch.setattr(vector_dedup, "ACROSS", block + 1)
-    monkeypatch.setattr(vector_dedup, "COUNT_BLOCK", block * 4)
+    monkeypatch.setattr(vector_dedup, "COUNT_BLOCK", block)
+    monkeypatch.setattr(vector_dedup, "COUNT_MOST", block + 4)
+    monkeypatch.setattr(vector_dedup, "_STRIP", 2 + block % 5)
     rows = _near(1) + [(1000 + i, v) for i, v in _near(2, groups=3, spread=0.3)] + [
         (2000 + k, _near(1)[3][1]) for k in range(40)] + [
         (3000, None), (3001, []), (3002, [0] * 32), (3003, [None] + [1] * 31), (3004, [float("nan")] * 32),
