@@ -1,13 +1,16 @@
 import itertools
 import math
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
+from cabflow.llm import quality_crf
 from cabflow.llm.common import table
 from cabflow.llm.q_quality_crf import query
-from cabflow.llm.quality_crf import fit, forward_backward, line_features, reject, score, score_texts
+from cabflow.llm.quality_crf import (NODE_FEATURES, fit, forward_backward, line_features, line_scores, node_features,
+                                     reject, score, score_texts)
 from tests.conftest import SF01
 from tests.llm.helpers import clashing, frame
 
@@ -15,11 +18,12 @@ GOOD = "A plain line of text, with words in it.\nAnother line of text follows he
 BAD = "BUY!! NOW!! $$$ ###\nspam spam spam spam spam spam"
 
 
-def test_forward_backward_equals_enumeration():
+@pytest.mark.parametrize("segment", [256, 3, 2, 1])
+def test_forward_backward_equals_enumeration(segment):
     rng = np.random.default_rng(0)
     offsets = np.array([0, 4, 4, 5, 8])
     node, edge = rng.normal(size=8), rng.normal(size=(2, 2))
-    p, pairs = forward_backward(node, edge, offsets, pairs=True)
+    p, pairs = forward_backward(node, edge, offsets, pairs=True, segment=segment)
     want_p, want_pairs = np.zeros(8), np.zeros((2, 2))
     for s, e in zip(offsets[:-1], offsets[1:], strict=True):
         total = 0.0
@@ -46,6 +50,49 @@ def test_line_features_of_one_text_do_not_hang_on_its_neighbours():
         assert np.array_equal(alone, x[off[i]:off[i + 1]]) and np.array_equal(size1, size[off[i]:off[i + 1]])
 
 
+def test_chains_in_segments_equal_whole_chains():
+    rng = np.random.default_rng(3)
+    offsets = np.concatenate([[0], np.cumsum(rng.integers(0, 900, 40))])
+    node, edge = rng.normal(size=offsets[-1]) * 4, rng.normal(size=(2, 2)) * 2
+    p, pairs = forward_backward(node, edge, offsets, pairs=True, segment=10_000)
+    for segment in (7, 64, 256):
+        q, other = forward_backward(node, edge, offsets, pairs=True, segment=segment)
+        assert np.allclose(p, q, rtol=0, atol=1e-12) and np.allclose(pairs, other)
+
+
+def test_line_scores_in_pieces_equal_whole_texts():
+    rng = np.random.default_rng(4)
+    line = ["again", "", "  ", "A line, of words.", "$$$ ###", "x", "no break " * 20, "é ü"]
+    texts = ["\n".join(line[k] for k in rng.integers(0, len(line), n)) for n in (0, 3, 40, 1, 200, 2)]
+    texts = pa.array([None, "", *texts, "again\nagain\nagain\n", "again"])
+    weights = rng.normal(size=NODE_FEATURES)
+    x, size, offsets = line_features(texts)
+    for piece in (1, 5, 60, 1000, 1 << 20):
+        node, sizes, at = line_scores(texts, weights, piece)
+        assert np.allclose(node, node_features(x, offsets) @ weights)
+        assert np.array_equal(size, sizes) and np.array_equal(offsets, at)
+
+
+def test_memory_of_a_text_of_many_short_lines():
+    model = {"weights": np.ones(NODE_FEATURES), "edge": np.eye(2), "prior": 0.5}
+    texts = pa.array(["".join(f"{i % 9973:04d}\n" for i in range(1_200_000))])  # 6 MB
+    score_texts(pa.array(["warm up\n" * 9]), model)
+    tracemalloc.start()
+    score_texts(texts, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * texts.nbytes
+
+
+def test_sample_is_bounded_by_lines(spark, monkeypatch):
+    docs, labels = _labelled(spark)
+    seen = []
+    monkeypatch.setattr(quality_crf, "train", lambda x, offsets, good: seen.append(len(x)) or {"weights": x})
+    fit(docs, labels, sample_lines=60)
+    fit(docs, labels)
+    assert 20 < seen[0] < 100 and seen[1] == 60 * 3
+
+
 def _labelled(spark):
     docs = frame(spark, [(i, (GOOD if i % 2 else BAD) + f"\nline {i}", "en", "a", 1) for i in range(60)])
     labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(1, 1), (3, None), (None, 1), (5, 7)],
