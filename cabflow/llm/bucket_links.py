@@ -4,7 +4,9 @@ all pairs of a large bucket in one place.
 1. Buckets with the same members count once; those of one member go.
 2. A bucket of c items is dealt into ceil(c / block) blocks by another hash in
    every bucket; each block links its items with each other.  Links are
-   verified, and only those that connect something are kept.
+   verified, and only those that connect something are kept.  On request each
+   item's largest bucket goes first; of the others only those are looked at
+   whose items are not all connected by then.
 3. Buckets of several blocks whose items are not all connected by then: the
    items outside the bucket's largest part (probes) meet all its items, in
    larger blocks.  Every pair of a bucket has then been looked at, or was
@@ -39,13 +41,29 @@ def blocks_of(count: Column, block: int) -> Column:
 
 
 def within_blocks(members: DataFrame, block: int) -> DataFrame:
-    """Groups (g1, g2, g3, rep, part, probe): each bucket's blocks."""
+    """Groups (g1, g2, g3, rep, part, probe): each bucket's blocks.  Members
+    without a part are one each."""
+    part = F.col("part") if "part" in members.columns else F.col("rep")
     return members.select(
         F.col("key").alias("g1"), F.pmod(F.xxhash64("rep", "key"), blocks_of(F.col("c"), block)).alias("g2"),
-        F.lit(0).cast("long").alias("g3"), "rep", F.col("rep").alias("part"),
+        F.lit(0).cast("long").alias("g3"), "rep", part.alias("part"),
         F.lit(None).cast("boolean").alias("probe"))
 
 
+def largest_keys(members: DataFrame) -> DataFrame:
+    """key of the buckets that are the largest of one of their members."""
+    return written(members.groupBy("rep").agg(F.max(F.struct("c", "key")).alias("m"))
+                   .select(F.col("m.key").alias("key")).distinct(), "largest")
+
+
+def unconnected(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """key, c, rep, part of the buckets whose members lie in several parts."""
+    told = written(members.join(parts, F.col("rep") == F.col("node"), "left")
+                   .select("key", "c", "rep", F.coalesce("component", "rep").alias("part")), "told")
+    several = told.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a < b").select("key")
+    return written(told.join(written(several, "several"), "key", "left_semi"), "rest")
+
+
 def across_blocks(members: DataFrame, parts: DataFrame, block: int, across: int) -> DataFrame:
     """Groups for the buckets of several blocks that hold several parts: the
     members outside the largest part (probes) against all members, in blocks
@@ -71,20 +89,29 @@ def across_blocks(members: DataFrame, parts: DataFrame, block: int, across: int)
 
 
 def bucket_components(entries: DataFrame, linker: Callable[[DataFrame], Callable[[DataFrame], DataFrame]],
-                      block: int, across: int) -> DataFrame:
+                      block: int, across: int, largest_first: bool = False) -> DataFrame:
     """node, component of the items linked through buckets (key, rep).
 
     ``linker(items)``, for the items (rep) that share a bucket with others,
     returns a function from groups (g1, g2, g3, rep, part, probe) to the
     verified links (a, b) in them: between all items of a group where probe is
     null, else between probes and the others.  Items of one part are known to
-    be connected.
+    be connected.  ``largest_first`` spares the items of buckets that earlier
+    ones connect, for one more round of components.
     """
     members = distinct_buckets(entries)
     links = linker(members.select("rep").distinct())
-    parts = written(connected_components(written(links(within_blocks(members, block)), "links")), "parts")
-    more = written(links(across_blocks(members, parts, block, across)), "links")
-    if more.isEmpty():
-        return parts
-    return written(connected_components(
-        parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)), "parts")
+
+    def extended(parts: DataFrame, more: DataFrame) -> DataFrame:
+        if more.isEmpty():
+            return parts
+        return written(connected_components(
+            parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)), "parts")
+
+    largest = largest_keys(members) if largest_first else None
+    first = members.join(largest, "key", "left_semi") if largest_first else members
+    parts = written(connected_components(written(links(within_blocks(first, block)), "links")), "parts")
+    if largest_first:
+        rest = unconnected(members.join(largest, "key", "left_anti"), parts)
+        parts = extended(parts, written(links(within_blocks(rest, block)), "links"))
+    return extended(parts, written(links(across_blocks(members, parts, block, across)), "links"))

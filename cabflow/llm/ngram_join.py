@@ -10,6 +10,8 @@
    hash in every bucket.  Each block is joined with itself: a signature tree,
    its dual traversal, and the exact test of the pairs that are left, which are
    skipped once they are connected.  Links that connect are kept, not all pairs.
+   Each class's largest bucket goes first; the texts of another bucket travel
+   only if its classes are not all connected by then.
 5. Buckets of several blocks whose classes are not all connected after that:
    the classes outside the bucket's largest part meet all its blocks, in the
    same way.  No pair of a bucket is left out.
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabflow.llm.bucket_links import bucket_components
@@ -173,7 +175,7 @@ def ngram_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Data
         texts = written(texts.join(items.hint("merge"), "rep", "left_semi").distinct(), "texts")
         return lambda groups: _links(groups, texts, words, percent)
 
-    parts = bucket_components(entries, linker, BLOCK, ACROSS)
+    parts = bucket_components(entries, linker, BLOCK, ACROSS, largest_first=True)
     labelled = written(classes.join(parts, F.col("rep") == F.col("node"), "left")
                        .select("f1", "f2", "n_shingles", F.coalesce("component", "rep").alias("component_id")),
                        "labelled")
@@ -184,9 +186,14 @@ def ngram_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Data
 
 def keep_one(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """One document of each group of linked ones (the smallest doc_id), all
-    columns as they are.  Rows with a null doc_id cannot be named and stay."""
+    columns as they are.  Rows with a null doc_id cannot be named and stay; of
+    several rows with one doc_id the one whose hash is smallest stays."""
     found = ngram_components(docs, words, percent)
-    c = fresh(docs, "kept_id_")
+    c, h, n = fresh(docs, "kept_id_"), fresh(docs, "kept_hash_"), fresh(docs, "kept_row_")
+    cells = [F.to_json(F.struct(docs[f.name])) if "map<" in f.dataType.simpleString() else docs[f.name]
+             for f in docs.schema.fields]
     kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(c)).distinct()
-    return (docs.join(kept, F.col("doc_id") == F.col(c), "left_semi").dropDuplicates(["doc_id"])
+    first = Window.partitionBy("doc_id").orderBy(h)
+    return (docs.join(kept, F.col("doc_id") == F.col(c), "left_semi").withColumn(h, F.xxhash64(*cells))
+            .withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).drop(h, n)
             .unionAll(docs.where(F.col("doc_id").isNull())))

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 from cabflow.llm import ngram_join
-from cabflow.llm.bucket_links import distinct_buckets
+from cabflow.llm.bucket_links import distinct_buckets, largest_keys, unconnected
 from cabflow.llm.common import table
 from cabflow.llm.components import connected_components
 from cabflow.llm.ngram_join import keep_one, ngram_components, shingle_sets
@@ -165,3 +165,20 @@ def test_buckets_of_repeated_items_are_told_apart(spark):
     entries = spark.createDataFrame([(k, x) for k, x in rows for _ in range(2)], "key long, rep long")
     got = distinct_buckets(entries).collect()
     assert sorted((x["key"], x["c"], x["rep"]) for x in got) == [(1, 2, 1), (1, 2, 2), (2, 2, 1), (2, 2, 3)]
+
+
+def test_largest_buckets_go_first_and_connected_ones_are_spared(spark):
+    rows = [(1, 3, x) for x in (1, 2, 3)] + [(2, 2, x) for x in (1, 2)] + [(3, 2, x) for x in (3, 4)] \
+        + [(4, 2, x) for x in (5, 6)]
+    members = spark.createDataFrame(rows, "key long, c long, rep long")
+    assert sorted(r["key"] for r in largest_keys(members).collect()) == [1, 3, 4]
+    parts = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "node long, component long")
+    got = sorted(tuple(r) for r in unconnected(members, parts).collect())
+    assert got == [(3, 2, 3, 1), (3, 2, 4, 4), (4, 2, 5, 5), (4, 2, 6, 6)]
+
+
+def test_keep_one_picks_the_same_of_rows_with_one_doc_id(spark):
+    rows = [(3, f"w{k} " * 9 + "tail", "en", "a", k) for k in range(40)]
+    docs = frame(spark, rows)
+    got = [[tuple(r) for r in keep_one(docs.repartition(n)).collect()] for n in (1, 3)]
+    assert got[0] == got[1] and len(got[0]) == 1 and got[0][0][0] == 3
