@@ -96,15 +96,16 @@ def write_fact(fact: DataFrame, path: str, *, lo: date | None = None, hi: date |
     With ``lo``/``hi`` the month domain is checked first (K11).  Input read
     from slice-partitioned silver is already clustered by month (a silver row's
     pickup month equals its source month), so by default there is no shuffle;
-    ``cluster=True`` range-partitions first for unclustered input.  Rows are
-    sorted by pickup_date inside each file so row-group statistics prune.
+    ``cluster=True`` deals unclustered input by month first, in one pass over
+    it: unlike a range exchange, whose bounds come from a sample, it does not
+    compute the fact a second time.  Rows are sorted by pickup_date inside each
+    file so row-group and page statistics prune.
     """
     if lo is not None or hi is not None:
         _raise_on_violations(check_partition_domain(fact, "pickup_date", lo, hi), "fct_trips")
-    # The range key ends in a deterministic row hash, so a hot month or day is
-    # split over several tasks instead of landing in one.
-    spread = F.xxhash64("pickup_time_key", "pickup_location_key", "dropoff_location_key", "total_amount")
-    out = fact.repartitionByRange("pickup_month", "pickup_date", spread) if cluster else fact
+    # A rebalance is split by measured bytes: a hot month goes to several tasks
+    # instead of one, small months share one.
+    out = fact.hint("rebalance", "pickup_month") if cluster else fact
     table = VersionedTable(fact.sparkSession, path, "pickup_month")
     return table.replace(out.sortWithinPartitions("pickup_month", "pickup_date"), months, meta)
 
