@@ -137,7 +137,7 @@ class Run:
 
     def landing(self) -> str:
         base = scratch_path(self.spark, "landing")
-        fixture.write_landing(self.raw, base)
+        fixture.write_landing(fixture.by_slice(self.raw), base)
         return base
 
     def months(self) -> list[str]:
@@ -276,8 +276,9 @@ def _stream_ingest(r: Run) -> DataFrame:
     bronze = scratch_path(r.spark, "stream_bronze")
     ckpt = scratch_path(r.spark, "stream_ckpt")
     mid = "1998-07"
-    early = r.raw.where(F.col("source_month") < mid)
-    late = r.raw.where(F.col("source_month") >= mid)
+    raw = fixture.by_slice(r.raw)
+    early = raw.where(F.col("source_month") < mid)
+    late = raw.where(F.col("source_month") >= mid)
     fixture.write_landing(late, landing)
     ingest_available(r.spark, landing, bronze, ckpt, fixture.FIXTURE_INGEST_TS)
     backfill = scratch_path(r.spark, "stream_backfill")
@@ -370,8 +371,9 @@ def _landing_manifest(r: Run) -> DataFrame:
     was delivered in two parts and one of them again under new file names."""
     landing = scratch_path(r.spark, "manifest_landing")
     manifest = Manifest(r.spark, scratch_path(r.spark, "manifest"))
-    early = r.raw.where(F.col("source_month") < "1998-07")
-    for part in (early, r.raw.where(F.col("source_month") >= "1998-07"), early):
+    raw = fixture.by_slice(r.raw)
+    early = raw.where(F.col("source_month") < "1998-07")
+    for part in (early, raw.where(F.col("source_month") >= "1998-07"), early):
         fixture.write_landing(part, landing)
         manifest.changes(landing).publish()
     return manifest.read().groupBy("service_type", "source_month").agg(F.sum("row_count").alias("trips"))

@@ -27,12 +27,14 @@ def load_tables(spark: SparkSession, sf_dir: str, names=FIXTURE_TABLES) -> dict[
 
 
 def trips_view(t: dict[str, DataFrame]) -> DataFrame:
-    """Typed, bronze-named trips (FIXTURES.md section 3), without duration."""
+    """Typed, bronze-named trips (FIXTURES.md section 3), without duration.
+
+    Customers meet the orders before these meet the trips: where customers
+    outgrow a broadcast, the orders are dealt by customer, not the trips."""
     li, o, p, s, c = t["lineitem"], t["orders"], t["part"], t["supplier"], t["customer"]
-    j = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    j = (li.join(o.join(c, F.col("c_custkey") == F.col("o_custkey")), F.col("l_orderkey") == F.col("o_orderkey"))
          .join(p, F.col("p_partkey") == F.col("l_partkey"))
-         .join(s, F.col("s_suppkey") == F.col("l_suppkey"))
-         .join(c, F.col("c_custkey") == F.col("o_custkey")))
+         .join(s, F.col("s_suppkey") == F.col("l_suppkey")))
     pick_off = (F.col("l_orderkey") * 17 + F.col("l_linenumber") * 61) % 1440
     drop_off = pick_off + (F.col("l_partkey") * 7 + F.col("l_linenumber") * 13) % 200 - 5
     price = F.col("l_extendedprice").cast(MONEY)
@@ -103,6 +105,13 @@ def zones_csv_frame(t: dict[str, DataFrame]) -> DataFrame:
                     F.coalesce("service_zone", F.lit("N/A")).alias("service_zone"))
 
 
+def by_slice(raw: DataFrame) -> DataFrame:
+    """Raw trips dealt by slice, so that ``write_landing`` gives a slice as many
+    files as its bytes want, not one from every task.  Split by measured bytes:
+    a large slice goes to several tasks, small ones share one."""
+    return raw.hint("rebalance", "service_type", "source_month")
+
+
 def write_landing(raw: DataFrame, base: str) -> None:
     """Write raw trips as slice folders ``{base}/{service}/source_month=YYYY-MM``.
 
