@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from cabflow.llm.common import arrow_map, emit, resident, slices
 from cabflow.llm.vocab import Vocab, broadcast_vocab, digest
 
-#: Pre-tokens remembered per worker, and the longest one remembered.
-CACHE_ENTRIES, CACHE_CHARS = 250_000, 64
+#: Pre-tokens remembered per worker (about 350 bytes each), and the longest one remembered.
+CACHE_ENTRIES, CACHE_CHARS = 600_000, 64
 #: Pairs of neighbouring tokens remembered per worker (about 100 bytes each).
 PAIR_ENTRIES = 1_000_000
 
